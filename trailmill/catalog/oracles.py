@@ -251,6 +251,12 @@ _ADS = f"""
 )"""
 
 
+# The same, said of the whole log.
+_LOG_STAT = """
+SELECT strftime(ts, '%Y-%m-%d') AS date, province, city, ad_id, count(*) AS click_count
+FROM log GROUP BY ALL"""
+
+
 def _select(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body}"
 
@@ -343,6 +349,27 @@ ORACLES = {
     "area_top3_product": _select(_AREA, "SELECT * FROM area_top"),
     "area_top3_product_sql": _select(_AREA, "SELECT * FROM area_top"),
     **{name: _select(_ADS, body) for name, body in _AD_QUERIES.items()},
+    "stream_user_daily": _select(_ADS, "SELECT * FROM user_daily"),
+    "stream_blacklist": _select(_ADS, "SELECT * FROM black"),
+    "stream_ad_stat": _select(_ADS, "SELECT * FROM stat"),
+    "stream_province_top3": _select(_ADS, "SELECT * EXCLUDE (rank) FROM province_top"),
+    "stream_click_trend": _select(
+        _ADS.replace("max(ts)) FROM log)", "max(ts)) FROM clean)"), "SELECT * FROM trend"
+    ),
+    "sink_upsert_replace": _select(_ADS, _LOG_STAT),
+    "sink_upsert_add": _select(
+        _ADS,
+        "SELECT date, province, city, ad_id, CASE WHEN date < '2024-01-16' THEN 2 ELSE 1 END "
+        f"* click_count AS click_count FROM ({_LOG_STAT})",
+    ),
+    "sink_replace_slices": _select(
+        _ADS,
+        "SELECT date, province, CASE WHEN date < '2024-01-16' THEN ad_id ELSE -ad_id END "
+        "AS ad_id, click_count FROM (SELECT *, row_number() OVER (PARTITION BY date, province "
+        "ORDER BY click_count DESC, ad_id) AS rank FROM (SELECT date, province, ad_id, "
+        f"CAST(sum(click_count) AS BIGINT) AS click_count FROM ({_LOG_STAT}) GROUP BY ALL)) "
+        "WHERE rank <= 3",
+    ),
     "scalar_string": _select(
         _USERS,
         "SELECT user_id, CAST(age AS VARCHAR) AS age_text, CAST(NULL AS VARCHAR) AS note, "

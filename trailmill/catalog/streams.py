@@ -1 +1,121 @@
-QUERIES = {}
+"""The streaming jobs, run over the whole log until they have caught up.
+
+Each query streams the given events, lets the jobs write their tables in a fresh shared folder, and
+returns the table asked for.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+from .. import schemas
+from ..operators import ads
+from ..plans import scratch
+from ..sinks.tables import BatchTable, replace_slices, read_slices
+from ..sources import adlog, derived
+from ..streaming import adclicks
+from ..streaming.adclicks import UNTIL_CAUGHT_UP, AdTables
+from . import inputs
+
+
+def _log(spark: SparkSession, folder: str) -> DataFrame:
+    return adlog.parse_ad_log(derived.ad_line_stream(spark, folder))
+
+
+def _users(spark: SparkSession, folder: str) -> AdTables:
+    tables = AdTables(scratch.new_folder(spark, "ads"))
+    adclicks.start_user_ad_query(
+        _log(spark, folder), tables, inputs.THRESHOLD, trigger=UNTIL_CAUGHT_UP
+    ).awaitTermination()
+    return tables
+
+
+def _clean(spark: SparkSession, folder: str) -> AdTables:
+    tables = _users(spark, folder)
+    adclicks.start_clean_query(
+        _log(spark, folder), tables, trigger=UNTIL_CAUGHT_UP
+    ).awaitTermination()
+    return tables
+
+
+def stream_user_daily(spark: SparkSession, folder: str) -> DataFrame:
+    return _users(spark, folder).user_counts.latest(spark)
+
+
+def stream_blacklist(spark: SparkSession, folder: str) -> DataFrame:
+    return _users(spark, folder).blacklist.latest(spark)
+
+
+def stream_ad_stat(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _clean(spark, folder)
+    adclicks.start_stat_query(
+        adclicks.clean_stream(spark, tables), tables, top=None, trigger=UNTIL_CAUGHT_UP
+    ).awaitTermination()
+    return tables.stat.latest(spark)
+
+
+def stream_province_top3(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _clean(spark, folder)
+    adclicks.start_stat_query(
+        adclicks.clean_stream(spark, tables), tables, trigger=UNTIL_CAUGHT_UP
+    ).awaitTermination()
+    return adclicks.province_top(spark, tables)
+
+
+def stream_click_trend(spark: SparkSession, folder: str) -> DataFrame:
+    tables = _clean(spark, folder)
+    adclicks.start_trend_query(
+        adclicks.clean_stream(spark, tables), tables, trigger=UNTIL_CAUGHT_UP
+    ).awaitTermination()
+    return adclicks.trend(spark, tables)
+
+
+# ---- sinks -------------------------------------------------------------------------------------
+def _batches(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """The log's daily counts in two batches: the first half of the month, then all of it."""
+    counts = ads.ad_stat(inputs.ad_log(spark, folder))
+    return [counts.where("date < '2024-01-16'"), counts]
+
+
+def sink_upsert_replace(spark: SparkSession, folder: str) -> DataFrame:
+    """Upsert that replaces: rows given twice, and a batch replayed, count once."""
+    first, second = _batches(spark, folder)
+    keys = ("date", "province", "city", "ad_id")
+    table = BatchTable(scratch.new_folder(spark, "upsert"), schemas.AD_STAT, keys, files=4)
+    for batch_id, batch in ((0, first), (1, second), (1, second)):
+        table.publish(batch, batch_id)
+    table.compact(spark)
+    return table.latest(spark)
+
+
+def sink_upsert_add(spark: SparkSession, folder: str) -> DataFrame:
+    """Upsert that adds: the two batches' counts add up, a replayed batch does not."""
+    first, second = _batches(spark, folder)
+    keys = ("date", "province", "city", "ad_id")
+    table = BatchTable(scratch.new_folder(spark, "add"), schemas.AD_STAT, keys, files=4)
+    for batch_id, batch in ((0, first), (1, second), (0, first)):
+        table.publish(batch, batch_id)
+    return table.totals(spark)
+
+
+def sink_replace_slices(spark: SparkSession, folder: str) -> DataFrame:
+    """Delete-and-insert by (date, province): a second write leaves other slices alone."""
+    path = scratch.new_folder(spark, "slices")
+    top = ads.top_ads_by_province(ads.ad_stat(inputs.ad_log(spark, folder))).drop("rank")
+    slices = ["date", "province"]
+    replace_slices(top, path, slices)
+    replace_slices(top.where("date >= '2024-01-16'").withColumn("ad_id", -top.ad_id), path, slices)
+    return read_slices(spark, path, schemas.AD_PROVINCE_TOP3)
+
+
+_ALL = (
+    stream_user_daily,
+    stream_blacklist,
+    stream_ad_stat,
+    stream_province_top3,
+    stream_click_trend,
+    sink_upsert_replace,
+    sink_upsert_add,
+    sink_replace_slices,
+)
+QUERIES = {query.__name__: inputs.in_utc(query) for query in _ALL}

@@ -1,5 +1 @@
 """Whole jobs: scan, operators, result tables."""
-
-from . import reports, session
-
-__all__ = ["reports", "session"]
