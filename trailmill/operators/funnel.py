@@ -9,57 +9,65 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import numbers
 from ..params import PageFlow
 from ..sources.tables import with_event_time
+from .skew import heavy_keys
 
-_CHUNK_SECONDS = 600
+# A session with more rows than this is split by time before it is ordered.
+_HEAVY_ROWS = 1_000_000
+_SLICE_SECONDS = 600
 
 
 def _pair_counts(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("from_page", "to_page").agg(F.count("*").alias("pv"))
 
 
-def page_pairs(actions: DataFrame, chunk_seconds: int = _CHUNK_SECONDS) -> DataFrame:
+def page_pairs(
+    actions: DataFrame, heavy_rows: int = _HEAVY_ROWS, slice_seconds: int = _SLICE_SECONDS
+) -> DataFrame:
     """``from_page, to_page, pv``: how often a page was followed by another within a session.
 
-    Sessions are ordered by time, then ``event_id`` where there is one. A plain window by session
-    would sort a session holding a third of all rows in one task, so the window runs over slices
-    of ``chunk_seconds`` of a session. The pair across two slices is the last page of one and the
-    first of the next; those edges, one row per slice, get a window of their own. Both branches
-    read the same shuffle.
+    Sessions are ordered by time, then by ``event_id`` where there is one, else by page.
+
+    A window by session would order a session holding a third of all rows in one task. Sessions
+    of ``heavy_rows`` or more are therefore cut into slices of time and each slice is ordered by
+    itself. What is missing then is the pair across a cut, from the last page of a slice to the
+    first of the next: it comes from an aggregate that keeps two rows per slice, found on the map
+    side. Other sessions are ordered whole, in one shuffle.
     """
     tie = ["event_id"] if "event_id" in actions.columns else []
-    seconds = F.unix_seconds("ts")
-    visits = with_event_time(actions).select(
-        "session_id",
-        F.call_function("div", seconds, F.lit(chunk_seconds)).alias("chunk"),
-        "ts",
-        *tie,
-        "page_id",
+    order = ["ts", *tie, "page_id"]
+    visits = with_event_time(actions).select("session_id", *order)
+    heavy = F.broadcast(
+        heavy_keys(actions, "session_id", heavy_rows).withColumn("is_heavy", F.lit(True))
     )
-    chunk = Window.partitionBy("session_id", "chunk").orderBy("ts", *tie)
-    placed = visits.withColumns(
-        {
-            "to_page": F.lead("page_id").over(chunk),
-            "is_first": F.row_number().over(chunk) == 1,
-            "is_last": F.lead(F.lit(1)).over(chunk).isNull(),
-        }
+    # Rows without a readable time come first, in a slice of their own.
+    slice_no = F.coalesce(
+        F.call_function("div", F.unix_seconds("ts"), F.lit(slice_seconds)), F.lit(-(2**40))
     )
-    inner = placed.where(~F.col("is_last")).select(F.col("page_id").alias("from_page"), "to_page")
 
+    sliced = visits.join(heavy, "session_id", "left").withColumn(
+        "slice", F.when(F.col("is_heavy"), slice_no)
+    )
+    window = Window.partitionBy("session_id", "slice").orderBy(*order)
+    inner = sliced.select(
+        F.col("page_id").alias("from_page"),
+        F.lead("page_id").over(window).alias("to_page"),
+        F.lead(F.lit(1)).over(window).alias("has_next"),
+    ).where(F.col("has_next").isNotNull())
+
+    visit = F.struct(*order)
     edges = (
-        placed.where(F.col("is_first") | F.col("is_last"))
-        .groupBy("session_id", "chunk")
-        .agg(
-            F.max(F.when(F.col("is_first"), F.col("page_id"))).alias("first_page"),
-            F.max(F.when(F.col("is_last"), F.col("page_id"))).alias("last_page"),
-        )
+        visits.join(heavy, "session_id")
+        .groupBy("session_id", slice_no.alias("slice"))
+        .agg(F.min(visit).alias("first"), F.max(visit).alias("last"))
     )
-    session = Window.partitionBy("session_id").orderBy("chunk")
+    next_slice = Window.partitionBy("session_id").orderBy("slice")
     across = edges.select(
-        F.col("last_page").alias("from_page"),
-        F.lead("first_page").over(session).alias("to_page"),
-        F.lead(F.lit(1)).over(session).isNotNull().alias("has_next"),
-    ).where("has_next")
-    both = _pair_counts(inner).unionByName(_pair_counts(across.drop("has_next")))
+        F.col("last.page_id").alias("from_page"),
+        F.lead("first.page_id").over(next_slice).alias("to_page"),
+        F.lead(F.lit(1)).over(next_slice).alias("has_next"),
+    ).where(F.col("has_next").isNotNull())
+
+    both = _pair_counts(inner).unionByName(_pair_counts(across))
     return both.groupBy("from_page", "to_page").agg(F.sum("pv").alias("pv"))
 
 

@@ -29,13 +29,15 @@ def sample_quotas(hours: DataFrame, total: int = 100) -> DataFrame:
     ``total`` is shared equally among the days that have sessions (whole division); a day's share
     goes to its hours in proportion, rounded down, and never exceeds what an hour has.
 
-    The window over everything sees one row per day, whatever the number of sessions.
+    ``hours`` has at most 24 rows per day whatever the number of sessions, so counting its days
+    in one window is cheap.
     """
-    days = hours.groupBy("date").agg(F.count("*").alias("hours"))
-    days = days.select("date", F.count("*").over(Window.partitionBy()).alias("days"))
+    first_of_day = F.row_number().over(Window.partitionBy("date").orderBy("hour")) == 1
+    days = F.count_if(F.col("first")).over(Window.partitionBy())
     share = F.call_function("div", F.lit(total).cast("bigint"), F.col("days"))
     quota = F.call_function("div", F.col("session_count") * share, F.col("day_count"))
-    return hours.join(days, "date").select(
+    counted = hours.withColumn("first", first_of_day).withColumn("days", days)
+    return counted.select(
         "date",
         "hour",
         "session_count",
