@@ -48,7 +48,7 @@ def session_predicates(spark: SparkSession, folder: str) -> DataFrame:
     tests = sessions.session_predicates(inputs.FILTER)
     tests["sex_equal"] = sessions.equal(F.col("sex"), "female")
     return inputs.enriched(spark, folder).select(
-        "session_id", *[test.alias(name) for name, test in tests.items()]
+        "session_id", *[F.coalesce(test, F.lit(False)).alias(name) for name, test in tests.items()]
     )
 
 

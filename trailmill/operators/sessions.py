@@ -65,31 +65,29 @@ def enrich_sessions(sessions: DataFrame, users: DataFrame) -> DataFrame:
     return sessions.join(attributes, "user_id", "inner")
 
 
+# The predicates below are NULL, hence not true, for a missing value. They are left bare so that
+# they can be pushed into the scan of the users.
 def between(value: Column, low: int | None, high: int | None) -> Column | None:
-    """Inclusive range, applied only if both bounds are given; NULL fails."""
-    if low is None or high is None:
-        return None
-    return F.coalesce(value.between(low, high), F.lit(False))
+    """Inclusive range, applied only if both bounds are given."""
+    return None if low is None or high is None else value.between(low, high)
 
 
 def one_of(value: Column, allowed: Iterable | None) -> Column | None:
-    """Scalar membership; NULL fails, no list passes everything."""
-    if allowed is None:
-        return None
-    return F.coalesce(value.isin(*allowed), F.lit(False))
+    """Scalar membership; no list passes everything."""
+    return None if allowed is None else value.isin(*allowed)
 
 
 def any_of(values: Column, allowed: Iterable | None, kind: str) -> Column | None:
-    """Whether an array column shares a value with the list; an empty array fails."""
+    """Whether an array column shares a value with the list; an empty array does not."""
     if allowed is None:
         return None
     wanted = F.array(*[F.lit(item) for item in allowed]).cast(f"array<{kind}>")
-    return F.coalesce(F.arrays_overlap(values, wanted), F.lit(False))
+    return F.arrays_overlap(values, wanted)
 
 
 def equal(value: Column, wanted) -> Column | None:
-    """Equality; NULL fails, no wanted value passes everything."""
-    return None if wanted is None else F.coalesce(value == F.lit(wanted), F.lit(False))
+    """Equality; no wanted value passes everything."""
+    return None if wanted is None else value == F.lit(wanted)
 
 
 def session_predicates(f: SessionFilter) -> dict[str, Column]:

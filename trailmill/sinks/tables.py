@@ -75,24 +75,34 @@ class BatchTable:
         newest = max(ids["snapshot-"], default=None)
         return newest, sorted(i for i in ids["batch-"] if newest is None or i > newest)
 
-    def _publish(self, df: DataFrame, name: str) -> None:
-        spark = df.sparkSession
+    def _stage(self, df: DataFrame, name: str) -> str:
         if self.files is not None:
             df = df.repartition(self.files, *self.keys)
         staged = f"{self.path}/_staging/{name}"
         df.write.mode("overwrite").parquet(staged)
+        return staged
+
+    def _show(self, spark: SparkSession, staged: str, name: str) -> None:
         fs, path = self._fs(spark)
         if not fs.rename(path(staged), path(f"{self.path}/{name}")):
             raise OSError(f"could not publish {name} of {self.path}")
 
     # ---- writing -------------------------------------------------------------------------------
     def publish(self, df: DataFrame, batch_id: int) -> bool:
-        """Add the rows of a batch. Does nothing, and says so, if the batch is there already."""
-        snapshot, batches = self._published(df.sparkSession)
+        """Add the rows of a batch; false, and no change, if the batch is there already.
+
+        The rows are computed either way: a replayed streaming batch has to run through its
+        stateful operators before the stream may go on.
+        """
+        spark = df.sparkSession
+        stamp = F.lit(batch_id).cast("bigint").alias(_BATCH)
+        staged = self._stage(df.select(*self.schema.names, stamp), f"batch-{batch_id}")
+        snapshot, batches = self._published(spark)
         if batch_id in batches or (snapshot is not None and batch_id <= snapshot):
+            fs, path = self._fs(spark)
+            fs.delete(path(staged), True)
             return False
-        stamp = F.lit(batch_id).cast("bigint").alias(_BATCH)
-        self._publish(df.select(*self.schema.names, stamp), f"batch-{batch_id}")
+        self._show(spark, staged, f"batch-{batch_id}")
         return True
 
     def compact(self, spark: SparkSession, additive: bool = False) -> int | None:
@@ -102,7 +112,8 @@ class BatchTable:
             return None
         current = self.totals(spark) if additive else self.latest(spark)
         stamp = F.lit(batches[-1]).cast("bigint").alias(_BATCH)
-        self._publish(current.select("*", stamp), f"snapshot-{batches[-1]}")
+        name = f"snapshot-{batches[-1]}"
+        self._show(spark, self._stage(current.select("*", stamp), name), name)
         return batches[-1]
 
     def vacuum(self, spark: SparkSession) -> int:
