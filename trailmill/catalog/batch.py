@@ -83,7 +83,9 @@ def session_sample_quota(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _sample(spark: SparkSession, folder: str) -> DataFrame:
-    return sampling.sample_sessions(inputs.filtered(spark, folder), SAMPLE_TOTAL, SAMPLE_SEED)
+    return sampling.sample_sessions(
+        inputs.filtered_once(spark, folder), SAMPLE_TOTAL, SAMPLE_SEED
+    )
 
 
 def session_sample(spark: SparkSession, folder: str) -> DataFrame:
@@ -130,9 +132,9 @@ def category_session_clicks(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def top10_category_session(spark: SparkSession, folder: str) -> DataFrame:
-    return categories.top_sessions_by_category(
-        inputs.details(spark, folder), top10_category(spark, folder)
-    )
+    details = inputs.details(spark, folder)
+    top = categories.top_categories(categories.category_counts(details))
+    return categories.top_sessions_by_category(details, top)
 
 
 def top10_session_detail(spark: SparkSession, folder: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import ads, sessions
 from ..params import DateRange, PageFlow, SessionFilter
+from ..plans import scratch
 from ..sources import adlog, derived, tables
 
 TASK_ID = 1
@@ -56,8 +57,13 @@ def filtered(spark: SparkSession, folder: str) -> DataFrame:
     return sessions.filter_sessions(enriched(spark, folder), FILTER)
 
 
+def filtered_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The filtered sessions, for queries that need them more than once or join them."""
+    return scratch.stored(filtered(spark, folder), "sessions")
+
+
 def details(spark: SparkSession, folder: str) -> DataFrame:
-    return sessions.session_details(actions(spark, folder), filtered(spark, folder))
+    return sessions.session_details(actions(spark, folder), filtered_once(spark, folder))
 
 
 def ad_log(spark: SparkSession, folder: str) -> DataFrame:
@@ -69,4 +75,5 @@ def blacklist(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_log(spark: SparkSession, folder: str) -> DataFrame:
-    return ads.exclude_users(ad_log(spark, folder), blacklist(spark, folder))
+    listed = scratch.stored(blacklist(spark, folder), "blacklist")
+    return ads.exclude_users(ad_log(spark, folder), listed)

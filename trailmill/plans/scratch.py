@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def new_folder(spark: SparkSession, name: str) -> str:
@@ -19,3 +19,15 @@ def new_folder(spark: SparkSession, name: str) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="trailmill-")
     return f"{shared.rstrip('/')}/trailmill/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to a fresh folder and read back.
+
+    For a result that is used more than once, or joined with something much larger: it is computed
+    once, survives lost executors, and Spark plans the join by its true size, so a small one is
+    broadcast without the large side ever being shuffled.
+    """
+    folder = new_folder(df.sparkSession, name)
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -30,8 +30,10 @@ def file_lines(spark: SparkSession, path: str, files_per_batch: int | None = Non
 
 
 def _parsed(lines: DataFrame) -> tuple[DataFrame, Column]:
-    part = F.split(F.col("value"), " ")
-    fields = lines.select(
+    # Exploding a one-element array splits each line once; as a plain column the split would be
+    # repeated in every condition that Spark moves below it.
+    part = F.col("part")
+    fields = lines.select("value", F.explode(F.array(F.split("value", " "))).alias("part")).select(
         "value",
         F.get(part, F.lit(0)).try_cast("bigint").alias("epoch_ms"),
         F.get(part, F.lit(1)).alias("province"),

@@ -12,9 +12,19 @@ from ..functions import times
 
 _WEEK = 604_800
 
+# Declared, so that opening a table runs no job to look its columns up.
+_SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+    "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string",
+}
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _event_seconds():
@@ -27,7 +37,8 @@ def _event_key():
 
 
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One action per event; ``event_id`` is kept as the tie-break of equal times."""
+    """One action per event; ``event_id`` is kept as the tie-break of equal times, ``ts`` is the
+    action time as a timestamp."""
     events = _read(spark, sf_dir, "events")
     squeeze = F.element_at(
         F.array(*[F.lit(10**n) for n in range(6)]), (F.col("user_id") % 6 + 1).cast("int")
@@ -66,6 +77,7 @@ def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(kind == "purchase", k.cast("string")).alias("pay_product_ids"),
         (F.col("event_id") % 25).alias("city_id"),
         "event_id",
+        F.col("t").alias("ts"),
     )
 
 
@@ -130,7 +142,6 @@ def ad_lines(spark: SparkSession, sf_dir: str, one_word: bool = True) -> DataFra
 
 def ad_line_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines as a stream over the stored events."""
-    schema = _read(spark, sf_dir, "events").schema
     # The bracket makes the path a glob, so a single file and a folder of files both stream.
-    events = spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
+    events = spark.readStream.schema(_SCHEMAS["events"]).parquet(f"{sf_dir}/events.parque[t]")
     return ad_lines_of(events, city_info(spark, sf_dir))

@@ -108,6 +108,8 @@ def start_user_ad_query(
         counts.publish(batch, batch_id)
         # Read back what was published rather than running the stateful plan again.
         changed = counts.batch_rows(spark, batch_id) if counts.has_batch(spark, batch_id) else batch
+        if changed.isEmpty():  # a batch that only moved the watermark
+            return
         found = ads.blacklist(changed, threshold)
         listed.publish(found.join(listed.latest(spark), "user_id", "left_anti"), batch_id)
 
@@ -152,6 +154,8 @@ def start_stat_query(
         if top is None:
             return
         changed = stat.batch_rows(spark, batch_id) if stat.has_batch(spark, batch_id) else batch
+        if changed.isEmpty():  # a batch that only moved the watermark
+            return
         slices = ["date", "province"]
         touched = changed.select(*slices).distinct()
         current = stat.latest_of(stat.changes(spark).join(touched, slices, "left_semi"))
