@@ -104,6 +104,33 @@ def test_blacklist_is_read_for_every_batch(spark, feed):
     assert tuples(got.where("batch_id > 0"), "user_id") == [(2,)]
 
 
+def test_long_blacklist_is_joined_by_shuffle(spark, feed):
+    feed.add(*[(n, "p", "c", n % 5, 1) for n in range(60)], (70, "p", "c", 9, 1))
+    feed.run_users()
+    adclicks.start_clean_query(
+        feed.stream(), feed.tables, UNTIL_CAUGHT_UP, broadcast_users=2
+    ).awaitTermination()
+    assert tuples(feed.tables.clean_log.changes(spark), "user_id") == [(9,)]
+
+
+def test_all_queries_together(spark, feed):
+    feed.add(*[(60 * n, f"p{n % 2}", "c", n, n % 3) for n in range(20)])
+    queries = adclicks.start_all(
+        feed.stream(), feed.tables, threshold=99, trigger={"processingTime": "0 seconds"}
+    )
+    try:
+        for query in queries:
+            query.processAllAvailable()
+        for query in queries[2:]:  # again, for what the clean query stored meanwhile
+            query.processAllAvailable()
+    finally:
+        for query in queries:
+            query.stop()
+    assert tuples(feed.tables.stat.latest(spark), *STAT) == tuples(ads.ad_stat(feed.batch()), *STAT)
+    assert feed.tables.trend.latest(spark).count() == 20
+    assert adclicks.province_top(spark, feed.tables).count() == 6
+
+
 def test_stat_and_province_top_equal_the_batch_result(spark, feed):
     for n in range(3):
         feed.add(

@@ -32,9 +32,9 @@ def blacklist(counts: DataFrame, threshold: int = BLACKLIST_THRESHOLD) -> DataFr
 def exclude_users(log: DataFrame, users: DataFrame, salts: int = 1) -> DataFrame:
     """The log without the given users' clicks.
 
-    The list is broadcast by Spark only while its size allows. With adaptive execution a heavy
-    user is then split at run time. Inside a stream that help is off, so ``salts`` spreads each
-    user over that many tasks, repeating the (much smaller) list instead.
+    The list is broadcast by Spark only while its size allows. Beyond that, adaptive execution
+    splits a heavy user at run time. Inside a stream that help is off: ``salts`` then spreads each
+    user over that many tasks of a merge join, repeating the (much smaller) list instead.
     """
     users = users.select("user_id")
     if salts == 1:
@@ -43,7 +43,7 @@ def exclude_users(log: DataFrame, users: DataFrame, salts: int = 1) -> DataFrame
     salted = log.withColumn(
         "salt", F.pmod(F.xxhash64("ts", "province", "city", "ad_id"), F.lit(salts)).cast("int")
     )
-    return salted.join(spread, ["user_id", "salt"], "left_anti").drop("salt")
+    return salted.join(spread.hint("merge"), ["user_id", "salt"], "left_anti").drop("salt")
 
 
 def ad_stat(log: DataFrame) -> DataFrame:

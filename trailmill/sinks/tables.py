@@ -88,6 +88,11 @@ class BatchTable:
             raise OSError(f"could not publish {name} of {self.path}")
 
     # ---- writing -------------------------------------------------------------------------------
+    def create(self, spark: SparkSession) -> None:
+        """Make the table's folder, so that a stream may read it before its first batch."""
+        fs, path = self._fs(spark)
+        fs.mkdirs(path(self.path))
+
     def publish(self, df: DataFrame, batch_id: int) -> bool:
         """Add the rows of a batch; false, and no change, if the batch is there already.
 

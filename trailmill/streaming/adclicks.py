@@ -30,7 +30,9 @@ from ..sinks.tables import BatchTable, read_slices, replace_slices
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 UNTIL_CAUGHT_UP = {"availableNow": True}
 
-# Tasks a single user's clicks are spread over in the blacklist join of a micro-batch.
+# A list of this many users takes some tens of megabytes in memory: it may be broadcast. A longer
+# one is joined by shuffle, a single user's clicks being spread over several tasks.
+_BROADCAST_USERS = 1_000_000
 _SALTS = 16
 
 
@@ -118,13 +120,20 @@ def start_user_ad_query(
 
 
 def start_clean_query(
-    log: DataFrame, tables: AdTables, trigger: dict = EVERY_5_SECONDS
+    log: DataFrame,
+    tables: AdTables,
+    trigger: dict = EVERY_5_SECONDS,
+    broadcast_users: int = _BROADCAST_USERS,
 ) -> StreamingQuery:
     """Store the clicks of users who are not on the blacklist when their batch runs."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
         listed = tables.blacklist.latest(batch.sparkSession)
-        tables.clean_log.publish(ads.exclude_users(batch, listed, _SALTS), batch_id)
+        if listed.count() <= broadcast_users:
+            kept = ads.exclude_users(batch, F.broadcast(listed))
+        else:
+            kept = ads.exclude_users(batch, listed, _SALTS)
+        tables.clean_log.publish(kept, batch_id)
 
     return _start(log, "clean", tables, save, trigger, mode="append")
 
@@ -157,10 +166,12 @@ def start_stat_query(
         if changed.isEmpty():  # a batch that only moved the watermark
             return
         slices = ["date", "province"]
-        touched = changed.select(*slices).distinct()
-        current = stat.latest_of(stat.changes(spark).join(touched, slices, "left_semi"))
+        first_day = changed.agg(F.min("date").alias("date")).scalar()
+        current = stat.latest_of(stat.changes(spark).where(F.col("date") >= first_day))
         best = ads.top_ads_by_province(current, top).select(*schemas.AD_PROVINCE_TOP3.names)
-        replace_slices(best, tables.province_top, slices)
+        # Joined last, when a province has only its top rows left.
+        touched = best.join(changed.select(*slices).distinct(), slices, "left_semi")
+        replace_slices(touched, tables.province_top, slices)
 
     counts = ads.ad_stat(clean.withWatermark("ts", watermark))
     return _start(counts, "stat", tables, save, trigger)
@@ -200,3 +211,22 @@ def trend(spark: SparkSession, tables: AdTables, lookback: str = "60 minutes") -
         .where(F.col("at") > start)
         .drop("at")
     )
+
+
+def start_all(
+    log: DataFrame,
+    tables: AdTables,
+    threshold: int = ads.BLACKLIST_THRESHOLD,
+    top: int | None = 3,
+    trigger: dict = EVERY_5_SECONDS,
+) -> list[StreamingQuery]:
+    """Start the four queries over one log; they run until stopped."""
+    spark = log.sparkSession
+    tables.clean_log.create(spark)
+    clean = clean_stream(spark, tables)
+    return [
+        start_user_ad_query(log, tables, threshold, trigger=trigger),
+        start_clean_query(log, tables, trigger=trigger),
+        start_stat_query(clean, tables, top, trigger=trigger),
+        start_trend_query(clean, tables, trigger=trigger),
+    ]
