@@ -163,3 +163,77 @@ def test_csv_and_json_sources(spark, tmp_path):
     assert tuples(got, "city_id", "city_name", "area") == [(1, "rome", "south"), (2, "oslo", "north")]
     (tmp_path / "p.json").write_text('{"product_id": 1, "product_name": "x", "extend_info": "{}"}\n')
     assert tables.read_table(spark, str(tmp_path / "p.json"), "product_info", "json").first().product_id == 1
+
+
+def _final_plan(df) -> str:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.fixture
+def tiny_partitions(spark):
+    """Settings under which a few kilobytes count as a skewed partition."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    yield
+    for key, value in before.items():
+        if value is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, value)
+
+
+@pytest.fixture
+def hot_rows(spark, tmp_path):
+    """Stored actions of 200 small sessions and users, and one session and user with 20,000."""
+    base = actions(
+        spark, *[{"session_id": f"s{n}", "user_id": n, "action_time": at(n)} for n in range(200)]
+    )
+    hot = spark.range(0, 20_000, 1, 16).selectExpr("id", "'hot' AS session_id", "7 AS user_id")
+    wide = hot.selectExpr(
+        "'2019-04-21' AS date", "cast(user_id AS long) user_id", "session_id", "id % 9 AS page_id",
+        "'2019-04-21 1:00:00' AS action_time", "uuid() AS search_keyword",
+        "cast(NULL AS long) click_category_id", "cast(NULL AS long) click_product_id",
+        "cast(NULL AS string) order_category_ids", "cast(NULL AS string) order_product_ids",
+        "cast(NULL AS string) pay_category_ids", "cast(NULL AS string) pay_product_ids",
+        "cast(1 AS long) city_id", "id + 1000 AS event_id",
+    )
+    base.unionByName(wide).write.parquet(f"{tmp_path}/hot")
+    return spark.read.parquet(f"{tmp_path}/hot")
+
+
+def test_hot_session_is_split_in_the_detail_join(spark, hot_rows, tiny_partitions):
+    rows = hot_rows
+    chosen = rows.select("session_id").where("session_id <> 's1'").distinct()
+    details = sessions.session_details(rows, chosen)
+    assert "skew=true" in _final_plan(details)
+    assert details.count() == rows.count() - 1
+
+
+def test_hot_user_is_split_in_the_blacklist_join(spark, hot_rows, tiny_partitions):
+    clicks = hot_rows.selectExpr(
+        "timestamp'2024-01-01 00:00:00' ts", "search_keyword province", "session_id city",
+        "user_id", "event_id ad_id",
+    )
+    listed = spark.range(100, 1100).selectExpr("id % 50 + 100 AS user_id").distinct()
+    kept = ads.exclude_users(clicks, listed)
+    assert "skew=true" in _final_plan(kept)
+    assert kept.count() == clicks.count() - 50
+
+
+def test_hot_user_is_split_in_the_profile_join(spark, tiny_partitions):
+    some = spark.range(0, 20_000, 1, 16).selectExpr(
+        "uuid() session_id", "if(id < 300, id, 7) AS user_id"
+    )
+    people = users(spark, *[(n, f"u{n}", "n", 5, "p", "c", "male") for n in range(300)])
+    joined = sessions.enrich_sessions(some, people)
+    assert "skew=true" in _final_plan(joined)
+    assert joined.count() == 20_000

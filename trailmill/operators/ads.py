@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..functions import times
 from .ranking import top_n_per_group
+from .skew import fresh_layout
 
 BLACKLIST_THRESHOLD = 15
 
@@ -38,7 +39,7 @@ def exclude_users(log: DataFrame, users: DataFrame, salts: int = 1) -> DataFrame
     """
     users = users.select("user_id")
     if salts == 1:
-        return log.join(users, "user_id", "left_anti")
+        return log.join(fresh_layout(users), "user_id", "left_anti")
     spread = users.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = log.withColumn(
         "salt", F.pmod(F.xxhash64("ts", "province", "city", "ad_id"), F.lit(salts)).cast("int")

@@ -11,6 +11,7 @@ from .. import schemas
 from ..functions import times
 from ..params import SessionFilter
 from ..sources.tables import with_event_time
+from .skew import fresh_layout
 
 
 def session_rollup(actions: DataFrame) -> DataFrame:
@@ -114,7 +115,8 @@ def filter_sessions(sessions: DataFrame, f: SessionFilter) -> DataFrame:
 
 def session_details(actions: DataFrame, sessions: DataFrame) -> DataFrame:
     """Every action of the given sessions (action columns only, so a semi join)."""
-    return actions.join(sessions.select("session_id"), "session_id", "left_semi")
+    chosen = fresh_layout(sessions.select("session_id"))
+    return actions.join(chosen, "session_id", "left_semi")
 
 
 def detail_rows(details: DataFrame, task_id: int, *extra: str) -> DataFrame:

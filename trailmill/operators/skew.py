@@ -1,4 +1,4 @@
-"""Finding keys heavy enough to need splitting."""
+"""Heavy keys: finding them, and keeping joins on them splittable."""
 
 from __future__ import annotations
 
@@ -28,3 +28,13 @@ def heavy_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     return found.where((F.col("count") >= min_rows) & F.col("item").isNotNull()).select(
         F.col("item").alias(key)
     )
+
+
+def fresh_layout(df: DataFrame) -> DataFrame:
+    """``df`` without the partitioning an aggregate left it with; for the small side of a join.
+
+    A side that is already partitioned by the join key is joined as it lies, and adaptive
+    execution, which splits heavy keys only right after a shuffle of both sides, must leave one
+    task with all rows of a key. Spreading the small side anew keeps the split possible.
+    """
+    return df.hint("rebalance")

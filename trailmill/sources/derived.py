@@ -123,7 +123,8 @@ def ad_lines_of(events: DataFrame, cities: DataFrame, one_word: bool = True) ->
     millis = F.timestamp_diff(
         "MILLISECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col("ts")
     )
-    located = events.join(cities, F.col("event_id") % 25 == F.col("city_id"))
+    # There are 25 nations at any scale, and the events are never the side to broadcast.
+    located = events.join(F.broadcast(cities), F.col("event_id") % 25 == F.col("city_id"))
     return located.select(
         F.concat_ws(
             " ",

@@ -130,7 +130,7 @@ def start_clean_query(
     def save(batch: DataFrame, batch_id: int) -> None:
         listed = tables.blacklist.latest(batch.sparkSession)
         if listed.count() <= broadcast_users:
-            kept = ads.exclude_users(batch, F.broadcast(listed))
+            kept = batch.join(F.broadcast(listed), "user_id", "left_anti")
         else:
             kept = ads.exclude_users(batch, listed, _SALTS)
         tables.clean_log.publish(kept, batch_id)
