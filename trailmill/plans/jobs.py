@@ -2,8 +2,8 @@
 
 ::
 
-    spark-submit -m trailmill.plans.jobs session --task-id 1 --params '{"startAge": ["20"], ...}' \\
-        --actions hdfs:///user_visit_action --users hdfs:///user_info --out hdfs:///results
+    spark-submit --py-files trailmill.zip run_job.py session --task-id 1 \\
+        --params '{"startAge": ["20"], ...}' --actions hdfs:///user_visit_action --users hdfs:///user_info --out hdfs:///results
 
 Parameters are the task's JSON object of one-element arrays. City data may be a stored table or,
 with ``--jdbc-url``, a database table.
@@ -76,7 +76,3 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     args = _parser().parse_args(argv)
     run(args, spark or build_session(f"trailmill-{args.job}"))
-
-
-if __name__ == "__main__":
-    main()
