@@ -57,6 +57,20 @@ def test_compaction_keeps_the_rows(spark, tmp_path):
     assert tuples(table.latest(spark), "k", "click_count") == [(0, 2), (1, 7), (9, 1)]
 
 
+def test_vacuum_may_spare_the_folders_of_earlier_readers(spark, tmp_path):
+    table = _table(spark, tmp_path)
+    for batch in range(3):
+        table.publish(_rows(spark, (1, batch)), batch)
+        table.compact(spark)
+    earlier = table.changes(spark)
+    table.publish(_rows(spark, (1, 9)), 3)
+    table.tidy(spark, 3, every=3)
+    assert earlier.count() == 1  # reads snapshot-2, which is still there
+    assert tuples(table.latest(spark), "k", "click_count") == [(1, 9)]
+    names = sorted(p.name for p in tmp_path.joinpath("t").iterdir() if p.name[0] in "bs")
+    assert names == ["batch-3", "snapshot-2", "snapshot-3"]
+
+
 def test_additive_compaction(spark, tmp_path):
     table = _table(spark, tmp_path)
     for batch in range(3):

@@ -6,6 +6,7 @@ import pytest
 from fixtures import tuples
 
 from trailmill.operators import ads
+from trailmill.plans.session import CLUSTER_SETTINGS
 from trailmill.sources import adlog
 from trailmill.streaming import adclicks
 from trailmill.streaming.adclicks import UNTIL_CAUGHT_UP, AdTables
@@ -152,6 +153,25 @@ def test_stat_and_province_top_equal_the_batch_result(spark, feed):
     assert tuples(feed.tables.stat.latest(spark), *STAT) == tuples(stat, *STAT)
 
 
+def test_compaction_between_batches_changes_nothing(spark, feed):
+    feed.tables = AdTables(feed.tables.root, files=1, compact_every=2)
+    for n in range(5):
+        feed.add(
+            *[(n * HOUR + k, f"p{k % 2}", "c", k, k % 3 + n) for k in range(6)],
+            *[(n * HOUR + k, "p0", "c", 70 + n, 1) for k in range(4)],
+        )
+    feed.run_users(threshold=4)
+    feed.run_clean()
+    feed.run_stat()
+    feed.run_trend()
+    log = ads.exclude_users(feed.batch(), feed.tables.blacklist.latest(spark))
+    assert tuples(feed.tables.stat.latest(spark), *STAT) == tuples(ads.ad_stat(log), *STAT)
+    assert feed.tables.stat._published(spark)[0] is not None
+    assert tuples(feed.tables.blacklist.latest(spark), "user_id") == [(70 + n,) for n in range(5)]
+    minutes = tuples(ads.minute_parts(ads.minute_clicks(log)), "hour", "minute", "click_count")
+    assert tuples(feed.tables.trend.latest(spark), "hour", "minute", "click_count") == minutes
+
+
 def test_top_slices_of_other_days_stay(spark, feed):
     feed.add((0, "p", "c", 1, 1))
     feed.run_clean()
@@ -203,3 +223,18 @@ def test_lost_publication_is_repeated_from_the_checkpoint(spark, feed, monkeypat
     feed.run_users(threshold=4)
     assert tuples(feed.tables.user_counts.latest(spark), "user_id", "click_count") == [(1, 4), (2, 1)]
     assert tuples(feed.tables.blacklist.latest(spark), "user_id") == [(1,)]
+
+
+def test_state_in_rocksdb(spark, feed):
+    """The state store recommended for large state gives the same counts."""
+    key = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(key)
+    spark.conf.set(key, CLUSTER_SETTINGS[key])
+    try:
+        for n in range(2):
+            feed.add(*[(n * HOUR + k, "p", "c", k % 3, k % 2) for k in range(12)])
+        feed.run_users()
+    finally:
+        spark.conf.set(key, before)
+    expected = tuples(ads.user_ad_daily(feed.batch()), *COUNTS)
+    assert tuples(feed.tables.user_counts.latest(spark), *COUNTS) == expected

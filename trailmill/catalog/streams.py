@@ -6,12 +6,15 @@ returns the table asked for.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import ads
 from ..plans import scratch
-from ..sinks.tables import BatchTable, replace_slices, read_slices
+from ..sinks.tables import BatchTable, read_slices, replace_slices
 from ..sources import adlog, derived
 from ..streaming import adclicks
 from ..streaming.adclicks import UNTIL_CAUGHT_UP, AdTables
@@ -22,19 +25,30 @@ def _log(spark: SparkSession, folder: str) -> DataFrame:
     return adlog.parse_ad_log(derived.ad_line_stream(spark, folder))
 
 
+def _finish(spark: SparkSession, start: Callable[..., StreamingQuery], *args, **kwargs) -> None:
+    """Run a streaming query to the end of its input.
+
+    The extra batch Spark would then run only evicts state nobody will use again.
+    """
+    setting = "spark.sql.streaming.noDataMicroBatches.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        start(*args, trigger=UNTIL_CAUGHT_UP, **kwargs).awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _users(spark: SparkSession, folder: str) -> AdTables:
     tables = AdTables(scratch.new_folder(spark, "ads"))
-    adclicks.start_user_ad_query(
-        _log(spark, folder), tables, inputs.THRESHOLD, trigger=UNTIL_CAUGHT_UP
-    ).awaitTermination()
+    log = _log(spark, folder)
+    _finish(spark, adclicks.start_user_ad_query, log, tables, inputs.THRESHOLD)
     return tables
 
 
 def _clean(spark: SparkSession, folder: str) -> AdTables:
     tables = _users(spark, folder)
-    adclicks.start_clean_query(
-        _log(spark, folder), tables, trigger=UNTIL_CAUGHT_UP
-    ).awaitTermination()
+    _finish(spark, adclicks.start_clean_query, _log(spark, folder), tables)
     return tables
 
 
@@ -48,25 +62,20 @@ def stream_blacklist(spark: SparkSession, folder: str) -> DataFrame:
 
 def stream_ad_stat(spark: SparkSession, folder: str) -> DataFrame:
     tables = _clean(spark, folder)
-    adclicks.start_stat_query(
-        adclicks.clean_stream(spark, tables), tables, top=None, trigger=UNTIL_CAUGHT_UP
-    ).awaitTermination()
+    clean = adclicks.clean_stream(spark, tables)
+    _finish(spark, adclicks.start_stat_query, clean, tables, top=None)
     return tables.stat.latest(spark)
 
 
 def stream_province_top3(spark: SparkSession, folder: str) -> DataFrame:
     tables = _clean(spark, folder)
-    adclicks.start_stat_query(
-        adclicks.clean_stream(spark, tables), tables, trigger=UNTIL_CAUGHT_UP
-    ).awaitTermination()
+    _finish(spark, adclicks.start_stat_query, adclicks.clean_stream(spark, tables), tables)
     return adclicks.province_top(spark, tables)
 
 
 def stream_click_trend(spark: SparkSession, folder: str) -> DataFrame:
     tables = _clean(spark, folder)
-    adclicks.start_trend_query(
-        adclicks.clean_stream(spark, tables), tables, trigger=UNTIL_CAUGHT_UP
-    ).awaitTermination()
+    _finish(spark, adclicks.start_trend_query, adclicks.clean_stream(spark, tables), tables)
     return adclicks.trend(spark, tables)
 
 

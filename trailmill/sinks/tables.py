@@ -121,24 +121,39 @@ class BatchTable:
         self._show(spark, self._stage(current.select("*", stamp), name), name)
         return batches[-1]
 
-    def vacuum(self, spark: SparkSession) -> int:
-        """Delete the folders a snapshot stands for; run it when no reader uses them any more."""
-        newest, _ = self._published(spark)
-        if newest is None:
-            return 0
+    def vacuum(self, spark: SparkSession, keep: int = 0) -> int:
+        """Delete the folders that a snapshot stands for.
+
+        With ``keep``, that snapshot is the one so many before the newest, which leaves readers
+        that started earlier the folders they are reading.
+        """
         fs, path = self._fs(spark)
-        old = []
-        for status in fs.listStatus(path(self.path)):
-            kind, _, number = status.getPath().getName().partition("-")
-            is_old = (kind == "batch" and int(number) <= newest) or (
-                kind == "snapshot" and int(number) < newest
-            )
-            if is_old:
-                old.append(status.getPath())
-        for folder in old:
-            fs.delete(folder, True)
+        folders = {s.getPath().getName(): s.getPath() for s in fs.listStatus(path(self.path))}
+        numbered = [
+            (kind, int(number), name)
+            for name in folders
+            for kind, _, number in [name.partition("-")]
+            if kind in ("batch", "snapshot")
+        ]
+        snapshots = sorted((n for kind, n, _ in numbered if kind == "snapshot"), reverse=True)
+        if len(snapshots) <= keep:
+            return 0
+        base = snapshots[keep]
+        old = [
+            name
+            for kind, number, name in numbered
+            if number < base or (kind == "batch" and number == base)
+        ]
+        for name in old:
+            fs.delete(folders[name], True)
         return len(old)
 
+    def tidy(self, spark: SparkSession, batch_id: int, every: int) -> None:
+        """At every so many batches, write a snapshot and drop what the one before stands for."""
+        if batch_id > 0 and batch_id % every == 0:
+            self.compact(spark)
+            self.vacuum(spark, keep=1)
+
     # ---- reading -------------------------------------------------------------------------------
     def changes(self, spark: SparkSession) -> DataFrame:
         """Every published row with its ``batch_id``."""

@@ -38,10 +38,17 @@ _SALTS = 16
 
 @dataclass(frozen=True)
 class AdTables:
-    """Where the streaming jobs keep their tables: one folder all executors share."""
+    """Where the streaming jobs keep their tables: one folder all executors share.
+
+    ``files`` is the number of files a batch adds to a table. The blacklist, the running counts
+    and the trend, which the jobs read themselves, are compacted every ``compact_every`` batches.
+    The counts per user are only added to: they grow with the traffic, so compacting them is a
+    matter for a nightly job (``tables.user_counts.compact``).
+    """
 
     root: str
     files: int = 4
+    compact_every: int = 100
 
     def _table(self, name: str, schema, *keys: str) -> BatchTable:
         return BatchTable(f"{self.root}/{name}", schema, keys, self.files)
@@ -114,6 +121,7 @@ def start_user_ad_query(
             return
         found = ads.blacklist(changed, threshold)
         listed.publish(found.join(listed.latest(spark), "user_id", "left_anti"), batch_id)
+        listed.tidy(spark, batch_id, tables.compact_every)
 
     counts = ads.user_ad_daily(log.withWatermark("ts", watermark))
     return _start(counts, "user_ad", tables, save, trigger)
@@ -161,6 +169,7 @@ def start_stat_query(
         spark, stat = batch.sparkSession, tables.stat
         stat.publish(batch, batch_id)
         if top is None:
+            stat.tidy(spark, batch_id, tables.compact_every)
             return
         changed = stat.batch_rows(spark, batch_id) if stat.has_batch(spark, batch_id) else batch
         if changed.isEmpty():  # a batch that only moved the watermark
@@ -172,6 +181,7 @@ def start_stat_query(
         # Joined last, when a province has only its top rows left.
         touched = best.join(changed.select(*slices).distinct(), slices, "left_semi")
         replace_slices(touched, tables.province_top, slices)
+        stat.tidy(spark, batch_id, tables.compact_every)
 
     counts = ads.ad_stat(clean.withWatermark("ts", watermark))
     return _start(counts, "stat", tables, save, trigger)
@@ -187,6 +197,7 @@ def start_trend_query(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         tables.trend.publish(batch, batch_id)
+        tables.trend.tidy(batch.sparkSession, batch_id, tables.compact_every)
 
     counts = ads.minute_parts(ads.minute_clicks(clean.withWatermark("ts", watermark)))
     return _start(counts, "trend", tables, save, trigger)
