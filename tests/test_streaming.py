@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 from fixtures import tuples
 
@@ -25,7 +27,10 @@ class Feed:
 
     def add(self, *rows):
         text = "".join(f"{DAY + s * 1000} {p} {c} {u} {a}\n" for s, p, c, u, a in rows)
-        (self.path / f"part-{self.count:03d}").write_text(text)
+        file = self.path / f"part-{self.count:03d}"
+        file.write_text(text)
+        # Files are streamed by age, and these are written within one tick of the clock.
+        os.utime(file, (1_000_000_000 + self.count, 1_000_000_000 + self.count))
         self.count += 1
 
     def stream(self):
