@@ -3,7 +3,8 @@
 ::
 
     spark-submit --py-files trailmill.zip run_job.py session --task-id 1 \\
-        --params '{"startAge": ["20"], ...}' --actions hdfs:///user_visit_action --users hdfs:///user_info --out hdfs:///results
+        --params '{"startAge": ["20"], ...}' --actions hdfs:///user_visit_action \\
+        --users hdfs:///user_info --out hdfs:///results
 
 Parameters are the task's JSON object of one-element arrays. City data may be a stored table or,
 with ``--jdbc-url``, a database table.
