@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..plans import scratch
@@ -36,7 +40,19 @@ def id_remainder(key: Column, divisor: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % divisor
 
 
+def reach_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver did, unless they already can.
+
+    On a cluster the package is shipped with --py-files; a local path does no harm there.
+    """
+    root = str(Path(__file__).resolve().parents[2])
+    known = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if root not in known.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [known, root]))
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reach_package(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 

@@ -3,10 +3,18 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import packing, pfor, tokencount
-from .common import read_table
+from . import langid, packing, pfor, tokencount, toxicity
+from .common import id_remainder, read_table
+
+
+def op1_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 3) == 1, F.lit(True))
+    model = langid.train(docs, ~held_out)
+    found = langid.identify(docs, model, keep=["doc_id"])
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "phrase_rate")
 
 
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -21,6 +29,19 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = read_table(spark, folder, "documents").select("doc_id", "text")
+    held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(True))
+    model = toxicity.train(docs, read_table(spark, folder, "labels").filter(~held_out))
+    return toxicity.score(docs, model, keep=["doc_id"]).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= 0.5).cast("int").alias("predicted"),
+        "lexicon_hits",
+    )
+
+
 def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     manifest = pfor.write_tokens(
         read_table(spark, folder, "documents"),
@@ -30,4 +51,13 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return pfor.read_tokens(manifest, with_ids=False)
 
 
-QUERIES = {f.__name__: f for f in (op3_packing, op5_token_counts, op10_token_files)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_language,
+        op3_packing,
+        op5_token_counts,
+        op9_toxicity,
+        op10_token_files,
+    )
+}
