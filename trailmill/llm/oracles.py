@@ -1,3 +1,46 @@
 """DuckDB SQL for the registered queries that SQL can express."""
 
-ORACLES: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def words_sql(text: str) -> str:
+    """The words of a text, as a list."""
+    return (
+        f"regexp_extract_all(translate(coalesce({text}, ''), '{_UPPER}', '{_LOWER}'), "
+        r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    )
+
+
+OP8 = f"""
+WITH item_words AS (
+    SELECT item_id, {words_sql("text")} AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT CAST(item_id AS VARCHAR) AS item,
+           unnest([array_to_string(w[i:i + 12], ' ') FOR i IN range(1, greatest(2, len(w) - 11))]) AS win,
+           least(13, len(w)) AS n
+    FROM item_words WHERE len(w) > 0
+), texts AS (
+    SELECT t, {words_sql("t")} AS w FROM (SELECT DISTINCT text AS t FROM documents WHERE text IS NOT NULL)
+), sizes AS (
+    SELECT DISTINCT n FROM windows
+), grams AS (
+    SELECT t, n, unnest(range(1, len(w) - n + 2)) AS p, w FROM texts, sizes WHERE len(w) >= n
+), hits AS (
+    SELECT g.t, g.p, g.n, x.item
+    FROM (SELECT t, p, n, array_to_string(w[p:p + n - 1], ' ') AS win FROM grams) g
+    JOIN windows x ON x.win = g.win AND x.n = g.n
+), places AS (
+    SELECT t, count(DISTINCT q) AS n_hit
+    FROM (SELECT t, unnest(range(p, p + n)) AS q FROM hits) GROUP BY t
+), items AS (
+    SELECT t, list_sort(list(DISTINCT item)) AS items FROM hits GROUP BY t
+)
+SELECT d.doc_id, CAST(len({words_sql("d.text")}) AS BIGINT) AS n_words,
+       CAST(coalesce(p.n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(len(i.items), 0) AS BIGINT) AS n_items,
+       sha256(coalesce(array_to_string(i.items, ','), '')) AS items_sha256,
+       coalesce(p.n_hit, 0) > 0 AND 20 * coalesce(p.n_hit, 0) >= len({words_sql("d.text")}) AS contaminated
+FROM documents d LEFT JOIN places p ON p.t = d.text LEFT JOIN items i ON i.t = d.text
+"""
+
+ORACLES: dict[str, str] = {"op8_decontamination": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import langid, packing, pfor, tokencount, toxicity
+from . import decontaminate, langid, packing, pfor, tokencount, toxicity
 from .common import id_remainder, read_table
 
 
@@ -29,6 +29,12 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contamination(
+        read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), keep=["doc_id"]
+    )
+
+
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents").select("doc_id", "text")
     held_out = F.coalesce(id_remainder(F.col("doc_id"), 5) == 0, F.lit(True))
@@ -57,6 +63,7 @@ QUERIES = {
         op1_language,
         op3_packing,
         op5_token_counts,
+        op8_decontamination,
         op9_toxicity,
         op10_token_files,
     )
