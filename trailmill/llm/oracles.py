@@ -43,4 +43,44 @@ SELECT d.doc_id, CAST(len({words_sql("d.text")}) AS BIGINT) AS n_words,
 FROM documents d LEFT JOIN places p ON p.t = d.text LEFT JOIN items i ON i.t = d.text
 """
 
-ORACLES: dict[str, str] = {"op8_decontamination": OP8}
+
+
+def _op7() -> str:
+    from .licenses import BLOCK, PHRASES, STEP, TEMPLATES, THRESHOLD
+
+    phrases = " UNION ALL ".join(
+        f"SELECT t, '{label}' AS label, unnest([i FOR i IN range(0, greatest(0, len(w) - {len(parts) - 1})) IF "
+        + " AND ".join(f"w[i + {k + 1}] = '{part}'" for k, part in enumerate(parts))
+        + "]) AS p FROM texts"
+        for phrase, label in PHRASES.items()
+        for parts in [phrase.split()]
+    )
+    templates = ", ".join(
+        f"({i}, '{label}', {sorted(set(text.split()))!r})" for i, (label, text) in enumerate(TEMPLATES)
+    )
+    return f"""
+WITH texts AS (
+    SELECT t, {words_sql("t")} AS w FROM (SELECT DISTINCT text AS t FROM documents WHERE text IS NOT NULL)
+), places AS ({phrases}
+), base AS (
+    SELECT t, count(*) AS n, min(p) AS a, max(p) AS b, list(DISTINCT label) AS labels FROM places GROUP BY t
+), templates(k, label, words) AS (VALUES {templates}
+), blocks AS (
+    SELECT t, unnest([w[i * {STEP} + 1:i * {STEP} + {BLOCK}] FOR i IN range(0, 1 + CAST(ceil(greatest(len(w) - {BLOCK}, 0) / {STEP}) AS BIGINT))]) AS b
+    FROM texts
+), met AS (
+    SELECT t, label, len(list_intersect(words, b)) / len(words) AS share FROM blocks, templates
+    WHERE len(list_intersect(words, b)) >= ceil({THRESHOLD} * len(words) - 1e-9)
+), found AS (
+    SELECT t, list(DISTINCT label) AS labels, max(share) AS share FROM met GROUP BY t
+)
+SELECT d.doc_id, CAST(len({words_sql("d.text")}) AS BIGINT) AS n_words, CAST(coalesce(b.n, 0) AS BIGINT) AS n_base,
+       b.a AS first_word, b.b AS last_word,
+       coalesce(array_to_string(list_sort(b.labels), ','), '') AS base_labels,
+       coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(b.labels, []), coalesce(f.labels, [])))), ','), '') AS labels,
+       CAST(CASE WHEN b.n > 0 THEN 1.0 ELSE coalesce(f.share, 0.0) END AS DOUBLE) AS score
+FROM documents d LEFT JOIN base b ON b.t = d.text LEFT JOIN found f ON f.t = d.text
+"""
+
+
+ORACLES: dict[str, str] = {"op7_licenses": _op7(), "op8_decontamination": OP8}

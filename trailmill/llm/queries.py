@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, packing, pfor, tokencount, toxicity
+from . import decontaminate, langid, licenses, packing, pfor, tokencount, toxicity
 from .common import id_remainder, read_table
 
 
@@ -29,6 +29,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(read_table(spark, folder, "documents"))
+
+
 def op8_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contamination(
         read_table(spark, folder, "documents"), read_table(spark, folder, "benchmark"), keep=["doc_id"]
@@ -63,6 +67,7 @@ QUERIES = {
         op1_language,
         op3_packing,
         op5_token_counts,
+        op7_licenses,
         op8_decontamination,
         op9_toxicity,
         op10_token_files,

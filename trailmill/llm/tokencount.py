@@ -38,14 +38,7 @@ def _plain_text(written: str) -> str | None:
         return None
 
 
-def _byte_alphabet() -> dict[str, int]:
-    """Byte-level vocabularies write printable bytes as they are, the rest from U+0100 on."""
-    shown = [b for b in range(256) if 0x21 <= b <= 0x7E or 0xA1 <= b <= 0xAC or b >= 0xAE]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
-_BYTE_OF = _byte_alphabet()
+_BYTE_OF = {tokens._WRITTEN.get(b, chr(b)): b for b in range(256)}
 
 
 class Counter:
@@ -66,8 +59,12 @@ class Counter:
     def pieces(self, pieces: list[str]) -> np.ndarray:
         known, whole = self.known, self.whole
         cuts = [(x,) if x in known or x in whole else self._pre_tokens(x) for x in pieces]
-        rest = list({p for cut in cuts for p in cut if p not in whole and p not in known})
-        counts = dict(zip(rest, map(len, self.encoder.tokenizer.encode_batch_fast(rest, add_special_tokens=False))))
+        rest = {p for cut in cuts for p in cut if p not in whole and p not in known}
+        plain = [p for p in rest if p and (tokens._PLAIN.fullmatch(p) or not p.strip(".,!?;:"))]
+        odd = list(rest.difference(plain))
+        counts = {}
+        for asked, encode in ((plain, self.encoder.merged), (odd, self.encoder.library)):
+            counts.update((p, len(ids) // 4) for p, ids in zip(asked, encode(asked)))
         self.merged += len(rest)
         out = np.fromiter(
             (sum(1 if p in whole else known[p] if p in known else counts[p] for p in cut) for cut in cuts),

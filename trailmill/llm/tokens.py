@@ -24,6 +24,9 @@ _ODD = (
     "\\x{202f}\\x{205f}\\x{3000}]|[ \\n][ \\n]|\\A[ \\n]|[ \\n]\\z"
 )
 _LONGEST_KEPT = 64
+# How byte-level vocabularies write bytes: printable ones as themselves, the others from U+0100 on.
+_SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_WRITTEN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
 
 
 def load(path: str):
@@ -45,6 +48,15 @@ class PieceEncoder:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.asarray(x.ids, "<u4").tobytes() for x in found]
 
+    def merged(self, pre_tokens: list[str]) -> list[bytes]:
+        """The ids of plain pre-tokens (normalised already): the library's model alone merges them."""
+        model, out = self.tokenizer.model, []
+        for text in pre_tokens:
+            written = text if text.isascii() and text[0] != " " else text.encode().decode("latin-1").translate(_WRITTEN)
+            found = model.tokenize(written)
+            out.append(found[0].id.to_bytes(4, "little") if len(found) == 1 else np.array([t.id for t in found], "<u4").tobytes())
+        return out
+
     def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """Offsets of each text's pieces, and the pieces."""
         if self.drops_space:
@@ -66,18 +78,20 @@ class PieceEncoder:
         new = [x for x in pieces if x not in known]
         if not new:
             return [known[x] for x in pieces]
-        cuts, wanted = [], set()
+        cuts, plain, odd = [], set(), set()
         for x in new:
             m = _PLAIN.fullmatch(x)
             if m:
                 head, tail = m.groups()
-                cut = (head.lower() if self.drops_space else head, tail) if tail else (head,)
+                head = head.lower() if self.drops_space else head
+                cut = (head, tail) if tail else (head,)
             else:
                 cut = (x,)
             cuts.append(cut)
-            wanted.update(p for p in cut if p not in parts)
-        asked = list(wanted)
-        fresh = dict(zip(asked, self.library(asked)))
+            (plain if m else odd).update(p for p in cut if p not in parts)
+        fresh = {}
+        for asked, encode in ((list(plain), self.merged), (list(odd - plain), self.library)):
+            fresh.update(zip(asked, encode(asked)))
         fresh.update((p, parts[p]) for cut in cuts for p in cut if p in parts)
         made = {x: b"".join([fresh[p] for p in cut]) for x, cut in zip(new, cuts)}
         found = [known[x] if x in known else made[x] for x in pieces]
