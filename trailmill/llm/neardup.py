@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from .common import byte_words, slices, stored
+from .common import LOWER, UPPER, WORD, byte_words, slices, stored
 
 GRAM = 5
 THRESHOLD = 0.8
@@ -326,18 +326,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", re
     keeps its row; such a row takes part only if its words are also under a key. Repeated rows are copies.
     """
     rows = docs.select(docs[key].cast("bigint").alias("id"), docs[text].cast("string").alias("text"))
-    from .common import LOWER, UPPER, WORD
-
-    joined = F.regexp_replace(F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER), WORD.replace("[^", "["), " ")
-    digest = F.sha2(F.trim(joined), 256)
-    keyed = rows.withColumn("digest", F.when(F.trim(joined) != "", digest))
+    lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
+    joined = F.trim(F.regexp_replace(lowered, WORD.replace("[^", "["), " "))
+    keyed = rows.withColumn("digest", F.when(joined != "", F.sha2(joined, 256)))
     copies = stored(keyed.select("id", "digest"), "neardup-digests")
     # One key for each distinct sequence of words, by map-side combined minima.
     least = stored(copies.filter("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("copy_id")), "neardup-copies")
-    chosen = least.select(F.col("copy_id").alias("id"))
-    # Repeated keys may bring another text for the same id: the text is the one with the digest.
-    distinct = keyed.join(least.withColumnRenamed("copy_id", "id"), ["id", "digest"], "left_semi").dropDuplicates(["id", "digest"]) if False else None
-    del chosen, distinct
     texts = _representatives(keyed, least)
     links = candidate_links(stored(tree_keys(texts, recall=recall, threshold=threshold), "neardup-trees"))
     groups = stored(components(links, "neardup-candidates"), "neardup-groups")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, packing, pfor, tokencount, toxicity
+from . import decontaminate, langid, licenses, neardup, packing, pfor, tokencount, toxicity
 from .common import id_remainder, read_table
 
 
@@ -23,6 +23,10 @@ def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op4_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(read_table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tokencount.token_counts(
         read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -66,6 +70,7 @@ QUERIES = {
     for f in (
         op1_language,
         op3_packing,
+        op4_near_duplicates,
         op5_token_counts,
         op7_licenses,
         op8_decontamination,
