@@ -45,6 +45,23 @@ FROM documents d LEFT JOIN places p ON p.t = d.text LEFT JOIN items i ON i.t = d
 
 
 
+OP2 = """
+WITH vectors AS (
+    SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0
+      AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           CAST(list_inner_product(CAST(q.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, CAST(row_number() OVER w AS INTEGER) AS rank, vec_id, score
+FROM scored WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+
 def _op7() -> str:
     from .licenses import BLOCK, PHRASES, STEP, TEMPLATES, THRESHOLD
 
@@ -83,4 +100,4 @@ FROM documents d LEFT JOIN base b ON b.t = d.text LEFT JOIN found f ON f.t = d.t
 """
 
 
-ORACLES: dict[str, str] = {"op7_licenses": _op7(), "op8_decontamination": OP8}
+ORACLES: dict[str, str] = {"op2_top_k": OP2, "op7_licenses": _op7(), "op8_decontamination": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, neardup, packing, pfor, tokencount, toxicity
+from . import decontaminate, langid, licenses, neardup, packing, pfor, pivots, tokencount, toxicity
 from .common import id_remainder, read_table
 
 
@@ -17,6 +17,10 @@ def op1_language(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score", "phrase_rate")
 
 
+def op2_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return pivots.top_k(read_table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
 def op3_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(
         read_table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json")
@@ -69,6 +73,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         op1_language,
+        op2_top_k,
         op3_packing,
         op4_near_duplicates,
         op5_token_counts,
