@@ -44,33 +44,23 @@ _BYTE_OF = {tokens._WRITTEN.get(b, chr(b)): b for b in range(256)}
 class Counter:
     """Counts of distinct pieces; ``kept`` bounds what is remembered. ``merged`` counts merges made."""
 
-    def __init__(self, path: str, whole: frozenset[str], kept: int = 600_000):
+    def __init__(self, path: str, whole: frozenset[str], kept: int = 800_000):
         self.encoder, self.whole = tokens.PieceEncoder(path), whole
         self.kept, self.known, self.merged = kept, {}, 0
 
-    def _pre_tokens(self, piece: str) -> tuple[str, ...]:
-        m = tokens._PLAIN.fullmatch(piece)
-        if not m:
-            return (piece,)
-        head, tail = m.groups()
-        head = head.lower() if self.encoder.drops_space else head
-        return (head, tail) if tail else (head,)
-
     def pieces(self, pieces: list[str]) -> np.ndarray:
         known, whole = self.known, self.whole
-        cuts = [(x,) if x in known or x in whole else self._pre_tokens(x) for x in pieces]
-        rest = {p for cut in cuts for p in cut if p not in whole and p not in known}
-        plain = [p for p in rest if p and (tokens._PLAIN.fullmatch(p) or not p.strip(".,!?;:"))]
+        if self.encoder.drops_space:
+            pieces = [x.lower() if tokens._PLAIN.fullmatch(x) else x for x in pieces]
+        rest = {x for x in pieces if x not in whole and x not in known}
+        plain = [x for x in rest if tokens._PLAIN.fullmatch(x)]
         odd = list(rest.difference(plain))
         counts = {}
         for asked, encode in ((plain, self.encoder.merged), (odd, self.encoder.library)):
-            counts.update((p, len(ids) // 4) for p, ids in zip(asked, encode(asked)))
+            counts.update((x, len(ids) // 4) for x, ids in zip(asked, encode(asked)))
         self.merged += len(rest)
-        out = np.fromiter(
-            (sum(1 if p in whole else known[p] if p in known else counts[p] for p in cut) for cut in cuts),
-            np.int64,
-            len(cuts),
-        )
+        found = (1 if x in whole else known[x] if x in known else counts[x] for x in pieces)
+        out = np.fromiter(found, np.int64, len(pieces))
         if len(known) + len(counts) > self.kept:
             known.clear()
         known.update((k, v) for k, v in counts.items() if len(k) <= tokens._LONGEST_KEPT)
@@ -80,7 +70,7 @@ class Counter:
         bounds, flat = self.encoder.split(pc.fill_null(texts.cast(pa.string()), ""))
         coded = flat.dictionary_encode()
         each = self.pieces(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
-        return np.concatenate([[0], np.cumsum(each)])[bounds[1:]] - np.concatenate([[0], np.cumsum(each)])[bounds[:-1]]
+        return np.diff(np.concatenate([[0], np.cumsum(each)])[bounds])
 
 
 _COUNTERS: dict[str, Counter] = {}

@@ -15,9 +15,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-# Letters whose class, case and normal form are the same for every library, then plain punctuation:
-# two pre-tokens whatever stands around them.
-_PLAIN = re.compile(r"( ?[A-Za-zÀ-ÖØ-öø-ÿ]+)([.,!?;:]*)")
+# Letters whose class, case and normal form are the same for every library: one pre-token whatever stands
+# around them, and so is plain punctuation behind them, before white space or the end.
+_PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+|[.,!?;:]+")
+_BEHIND = "([A-Za-z\\x{c0}-\\x{d6}\\x{d8}-\\x{f6}\\x{f8}-\\x{ff}])([.,!?;:]+)(%s|\\z)"
 # White space for which a cut at a space would not be safe in a vocabulary that keeps white space.
 _ODD = (
     "[\\x00\\t\\x0b\\x0c\\r\\x1c-\\x1f\\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}"
@@ -36,13 +37,19 @@ def load(path: str):
     return Tokenizer.from_file(path)
 
 
+def _punctuation_apart(texts: pa.Array, mark: str) -> pa.Array:
+    """``mark`` between letters and the plain punctuation behind them; that is a bound of pre-tokens anyway."""
+    end = "\\x00" if mark == "\0" else mark
+    return pc.replace_substring_regex(texts, _BEHIND % end, f"\\1{mark}\\2\\3")
+
+
 class PieceEncoder:
     """Encodes Arrow arrays of texts. ``kept`` bounds what is remembered: strings of 64 characters at most."""
 
-    def __init__(self, path: str, kept: int = 600_000):
+    def __init__(self, path: str, kept: int = 800_000):
         self.tokenizer = load(path)
         self.drops_space = self.tokenizer.normalizer is not None
-        self.kept, self.pieces, self.parts = kept, {}, {}
+        self.kept, self.pieces = kept, {}
 
     def library(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
@@ -52,18 +59,21 @@ class PieceEncoder:
         """The ids of plain pre-tokens (normalised already): the library's model alone merges them."""
         model, out = self.tokenizer.model, []
         for text in pre_tokens:
-            written = text if text.isascii() and text[0] != " " else text.encode().decode("latin-1").translate(_WRITTEN)
-            found = model.tokenize(written)
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(_WRITTEN)
+            elif text[0] == " ":
+                text = _WRITTEN[0x20] + text[1:]
+            found = model.tokenize(text)
             out.append(found[0].id.to_bytes(4, "little") if len(found) == 1 else np.array([t.id for t in found], "<u4").tobytes())
         return out
 
     def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """Offsets of each text's pieces, and the pieces."""
         if self.drops_space:
-            lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+            lists = pc.split_pattern(_punctuation_apart(pc.replace_substring(texts, "\n", " "), " "), " ")
         else:
             whole = pc.match_substring_regex(texts, _ODD)
-            cut = pc.split_pattern(pc.replace_substring(texts, " ", "\0 "), "\0")
+            cut = pc.split_pattern(_punctuation_apart(pc.replace_substring(texts, " ", "\0 "), "\0"), "\0")
             if pc.any(whole).as_py():
                 alone = pa.ListArray.from_arrays(np.arange(len(texts) + 1, dtype=np.int32), texts)
                 lists = pc.if_else(whole, alone, cut)
@@ -74,31 +84,20 @@ class PieceEncoder:
 
     def resolve(self, pieces: list[str]) -> list[bytes]:
         """The ids of each distinct piece, as little-endian bytes."""
-        known, parts = self.pieces, self.parts
+        known = self.pieces
         new = [x for x in pieces if x not in known]
         if not new:
             return [known[x] for x in pieces]
-        cuts, plain, odd = [], set(), set()
+        plain, odd = [], []
         for x in new:
-            m = _PLAIN.fullmatch(x)
-            if m:
-                head, tail = m.groups()
-                head = head.lower() if self.drops_space else head
-                cut = (head, tail) if tail else (head,)
-            else:
-                cut = (x,)
-            cuts.append(cut)
-            (plain if m else odd).update(p for p in cut if p not in parts)
-        fresh = {}
-        for asked, encode in ((list(plain), self.merged), (list(odd - plain), self.library)):
-            fresh.update(zip(asked, encode(asked)))
-        fresh.update((p, parts[p]) for cut in cuts for p in cut if p in parts)
-        made = {x: b"".join([fresh[p] for p in cut]) for x, cut in zip(new, cuts)}
-        found = [known[x] if x in known else made[x] for x in pieces]
-        for store, more, kept in ((known, made, self.kept // 3), (parts, fresh, self.kept)):
-            if len(store) + len(more) > kept:
-                store.clear()
-            store.update((k, v) for k, v in more.items() if len(k) <= _LONGEST_KEPT)
+            (plain if _PLAIN.fullmatch(x) else odd).append(x)
+        lowered = [x.lower() for x in plain] if self.drops_space else plain
+        fresh = dict(zip(plain, self.merged(lowered)))
+        fresh.update(zip(odd, self.library(odd)))
+        found = [known[x] if x in known else fresh[x] for x in pieces]
+        if len(known) + len(fresh) > self.kept:
+            known.clear()
+        known.update((k, v) for k, v in fresh.items() if len(k) <= _LONGEST_KEPT)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
