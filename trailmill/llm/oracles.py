@@ -61,6 +61,18 @@ FROM scored WINDOW w AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER w <= 10
 """
 
+OP6 = """
+WITH payloads AS (
+    SELECT page_id, encode(coalesce(html, '')) AS payload, sha256(coalesce(html, '')) AS digest FROM pages
+), firsts AS (
+    SELECT digest, min(page_id) AS first FROM payloads WHERE octet_length(payload) >= 100 GROUP BY digest
+)
+SELECT page_id, octet_length(payload) AS payload_bytes, p.digest AS payload_digest,
+       CASE WHEN page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id <> first THEN first END AS refers_to
+FROM payloads p LEFT JOIN firsts f ON f.digest = p.digest AND octet_length(payload) >= 100
+"""
+
 
 def _op7() -> str:
     from .licenses import BLOCK, PHRASES, STEP, TEMPLATES, THRESHOLD
@@ -100,4 +112,4 @@ FROM documents d LEFT JOIN base b ON b.t = d.text LEFT JOIN found f ON f.t = d.t
 """
 
 
-ORACLES: dict[str, str] = {"op2_top_k": OP2, "op7_licenses": _op7(), "op8_decontamination": OP8}
+ORACLES: dict[str, str] = {"op2_top_k": OP2, "op6_warc": OP6, "op7_licenses": _op7(), "op8_decontamination": OP8}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, neardup, packing, pfor, pivots, tokencount, toxicity
+from . import decontaminate, langid, licenses, neardup, packing, pfor, pivots, tokencount, toxicity, warc
 from .common import id_remainder, read_table
 
 
@@ -37,6 +37,12 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op6_warc(spark: SparkSession, folder: str) -> DataFrame:
+    archives = warc.new_folder(spark)
+    warc.write(read_table(spark, folder, "pages"), archives)
+    return warc.checked(warc.read(spark, archives))
+
+
 def op7_licenses(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.scan(read_table(spark, folder, "documents"))
 
@@ -77,6 +83,7 @@ QUERIES = {
         op3_packing,
         op4_near_duplicates,
         op5_token_counts,
+        op6_warc,
         op7_licenses,
         op8_decontamination,
         op9_toxicity,
