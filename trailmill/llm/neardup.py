@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import LOWER, UPPER, WORD, byte_words, slices, stored
 
@@ -317,7 +317,7 @@ def _blocks(texts: DataFrame, groups: DataFrame) -> DataFrame:
 
 
 # ---- the operator ----------------------------------------------------------------------------------
-def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
+def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", recall: float = RECALL, threshold: float = THRESHOLD, with_digest: bool = False) -> DataFrame:
     """One row for each row of ``docs``: key, class_id, copy_id and n_links.
 
     copy_id is the least key with the same words in the same order; class_id the least key of all texts that hang together by
@@ -325,10 +325,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", re
     A text without words (null, empty) is no duplicate of another: its ids are its own key. A null key
     keeps its row; such a row takes part only if its words are also under a key. Repeated rows are copies.
     """
-    rows = docs.select(docs[key].cast("bigint").alias("id"), docs[text].cast("string").alias("text"))
-    lowered = F.translate(F.coalesce("text", F.lit("")), UPPER, LOWER)
-    joined = F.trim(F.regexp_replace(lowered, WORD.replace("[^", "["), " "))
-    keyed = rows.withColumn("digest", F.when(joined != "", F.sha2(joined, 256)))
+    keyed = docs.select(docs[key].cast("bigint").alias("id"), docs[text].cast("string").alias("text")).withColumn("digest", word_digest(F.col("text")))
     copies = stored(keyed.select("id", "digest"), "neardup-digests")
     # One key for each distinct sequence of words, by map-side combined minima.
     least = stored(copies.filter("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("copy_id")), "neardup-copies")
@@ -347,9 +344,34 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", re
         F.coalesce("root", "copy_id", "id").alias("class_id"),
         F.coalesce("copy_id", "id").alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
+        *["digest"] * with_digest,
     )
 
 
+def word_digest(text: Column) -> Column:
+    """A digest of the words in their order; null for a text without words."""
+    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    joined = F.trim(F.regexp_replace(lowered, WORD.replace("[^", "["), " "))
+    return F.when(joined != "", F.sha2(joined, 256))
+
+
+def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that stay when one row of each class of near duplicates is kept: the one with the least key.
+
+    Rows without words stay, all of them. Rows with a null key stay if nothing with a key has their words, one for
+    each sequence of words; of rows that repeat key and words one stays.
+    """
+    classes = stored(near_duplicates(docs, key, text, with_digest=True), "neardup-rows")
+    stay = classes.filter(F.col("digest").isNotNull() & F.col(key).eqNullSafe(F.col("class_id"))).groupBy(F.col(key).alias("k"), "digest").count()
+    stay = stored(stay, "neardup-stay")
+    rows = docs.withColumn("__digest", word_digest(docs[text].cast("string")))
+    matched = F.col(key).eqNullSafe(F.col("k")) & F.col("__digest").eqNullSafe(F.col("digest"))
+    kept = rows.filter("__digest IS NOT NULL").join(stay.select("k", "digest"), matched, "left_semi")
+    if stay.filter("count > 1").limit(1).count():
+        kept = kept.dropDuplicates([key, "__digest"])
+    return kept.unionByName(rows.filter("__digest IS NULL")).select(*docs.columns)
+
+
 def _representatives(keyed: DataFrame, least: DataFrame) -> DataFrame:
     """(id, text), one row for each distinct sequence of words."""
     return stored(

@@ -224,7 +224,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | N
     repeated rows and other columns change nothing. No shuffle.
     """
     kept = [c for c in (docs.columns if keep is None else keep)]
-    frame = docs.select(*kept, docs[text].alias("__t"))
+    frame = docs.select(*[docs[c] for c in kept], docs[text].alias("__t"))
     table = with_features(frame, model.lexicon, "__t")
     hits = F.expm1(F.col("features")[1]) + F.expm1(F.col("features")[3])
     if model.trees is None:
