@@ -15,11 +15,11 @@ def _log(spark, *rows):
 
 
 def test_unreadable_lines_are_set_aside(spark):
-    raw = lines(spark, f"{DAY} p c 7 3", f"{DAY} p c 7", f"{DAY} p c seven 3", "", f"x p c 7 3")
+    raw = lines(spark, f"{DAY} p c 7 3", f"{DAY} p c 7", f"{DAY} p c seven 3", "", f"x p c 7 3", f"{DAY} p c 7 3 9", f"{DAY}   7 3")
     assert tuples(adlog.parse_ad_log(raw), "province", "city", "user_id", "ad_id") == [
         ("p", "c", 7, 3)
     ]
-    assert adlog.rejected_lines(raw).count() == 4
+    assert adlog.rejected_lines(raw).count() == 6
 
 
 def test_blacklist_threshold_and_distinct_users(spark):

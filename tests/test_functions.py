@@ -59,6 +59,10 @@ def test_set_field(spark, field, packed):
     assert _one(spark, PACKED, lambda c: text.set_field(c, field, "9")) == packed
 
 
+def test_set_field_writes_a_missing_value_as_null(spark):
+    assert _one(spark, "a=1|b=2", lambda c: text.set_field(c, "a", F.lit(None).cast("string"))) == "a=null|b=2"
+
+
 def test_set_field_drops_empty_tail(spark):
     assert _one(spark, "a=1|b=2||", lambda c: text.set_field(c, "b", F.lit("$1"))) == "a=1|b=$1"
 

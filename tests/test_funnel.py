@@ -7,6 +7,7 @@ from fixtures import actions, at, tuples
 
 from trailmill.operators import funnel
 from trailmill.params import PageFlow, ParameterError
+from trailmill.sources.tables import with_event_time
 
 
 def _pairs(rows, **kwargs):
@@ -38,8 +39,8 @@ def test_pairs_follow_time_and_count_once(spark):
     assert _pairs(rows) == {(1, 2): 2, (2, 3): 1}
 
 
-@pytest.mark.parametrize("heavy_rows", [1, 50, 10**9])
-def test_split_sessions_give_the_same_pairs(spark, heavy_rows):
+@pytest.mark.parametrize("slice_seconds", [1, 100, 10**6])
+def test_split_sessions_give_the_same_pairs(spark, slice_seconds):
     rng = random.Random(4)
     data = [
         ("hot" if n % 3 else f"s{n % 40}", rng.randrange(20_000), n, rng.randrange(6))
@@ -52,7 +53,29 @@ def test_split_sessions_give_the_same_pairs(spark, heavy_rows):
             for s, t, _, p in data
         ],
     )
-    assert _pairs(rows, heavy_rows=heavy_rows, slice_seconds=100) == _brute(data)
+    assert _pairs(rows, slice_seconds=slice_seconds) == _brute(data)
+
+
+def test_rows_without_a_session_make_no_pairs(spark):
+    rows = actions(
+        spark,
+        {"session_id": None, "action_time": at(0), "page_id": 1},
+        {"session_id": None, "action_time": at(1), "page_id": 2},
+        {"session_id": "s", "action_time": at(2), "page_id": 1},
+        {"session_id": "s", "action_time": at(90), "page_id": 2},
+    )
+    assert _pairs(rows) == {(1, 2): 1}
+
+
+def test_rates_of_steps_equal_those_of_pairs_and_visits(spark):
+    rows = actions(
+        spark, *[{"session_id": f"s{n % 3}", "action_time": at(n * 37), "page_id": n % 4} for n in range(60)]
+    )
+    flow = PageFlow((1, 2, 3, 1))
+    columns = ("step", "page_split", "pv", "base_pv", "convert_rate")
+    acted = with_event_time(rows)
+    expected = funnel.conversion_rates(funnel.page_pairs(acted), funnel.page_visits(acted), flow)
+    assert tuples(funnel.rates_of_steps(funnel.page_steps(acted), flow), *columns) == tuples(expected, *columns)
 
 
 def test_pairs_without_event_id(spark):
@@ -61,7 +84,7 @@ def test_pairs_without_event_id(spark):
         *[{"action_time": at(t), "page_id": p} for t, p in ((1, 1), (2, 2), (700, 3), (701, 1))],
         with_id=False,
     )
-    assert _pairs(rows, heavy_rows=1) == {(1, 2): 1, (2, 3): 1, (3, 1): 1}
+    assert _pairs(rows, slice_seconds=600) == {(1, 2): 1, (2, 3): 1, (3, 1): 1}
 
 
 def _rates(spark, flow, *rows):

@@ -8,6 +8,7 @@ from fixtures import actions, at, tuples, users
 from trailmill import schemas
 from trailmill.params import ParameterError
 from trailmill.plans import jobs, reports
+from trailmill.sources import adlog, jdbc
 
 
 @pytest.fixture
@@ -76,3 +77,52 @@ def test_product_job(spark, stored):
     assert tuples(got, *schemas.AREA_TOP3_PRODUCT.names) == [
         (3, "华东", "A级", 8, "1:rome", 1, "prod", "Self")
     ]
+
+
+def test_a_task_without_matches_replaces_its_earlier_rows(spark, stored):
+    more = ("--users", f"{stored}/users")
+    for params in ({"startAge": ["99"]}, {"startAge": ["20"]}, {"startDate": ["2030-01-01"]}):
+        result = _run(spark, stored, "session", params, *more)
+        found = {name: result(name, schema).count() for name, schema in reports.SESSION_RESULTS.items()}
+        if params == {"startAge": ["20"]}:
+            assert all(found.values()), found
+        else:
+            assert found.pop("session_aggr_stat") <= 1 and not any(found.values()), found
+
+
+def test_a_product_task_without_clicks_replaces_its_earlier_rows(spark, stored):
+    more = ("--products", f"{stored}/products", "--cities", f"{stored}/cities")
+    for start, expected in (("2030-01-01", 0), ("2019-04-21", 1), ("2030-01-01", 0)):
+        result = _run(spark, stored, "product", {"startDate": [start]}, *more)
+        assert result("area_top3_product", schemas.AREA_TOP3_PRODUCT).count() == expected
+
+
+def test_other_tasks_keep_their_rows(spark, stored):
+    more = ("--products", f"{stored}/products", "--cities", f"{stored}/cities")
+    _run(spark, stored, "product", {"startDate": ["2019-04-21"]}, *more)
+    args = ["product", "--task-id", "4", "--params", json.dumps({"startDate": ["2030-01-01"]})]
+    jobs.main([*args, "--actions", f"{stored}/actions", "--out", f"{stored}/out", *more], spark)
+    got = reports.read_result(spark, f"{stored}/out", "area_top3_product", schemas.AREA_TOP3_PRODUCT)
+    assert tuples(got, "task_id") == [(3,)]
+
+
+def test_options_reach_the_sources(spark, stored, monkeypatch):
+    read, written, streamed = {}, {}, {}
+    cities = spark.read.parquet(f"{stored}/cities")
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, url, table, **o: read.update(o, url=url) or cities)
+    monkeypatch.setattr(jdbc, "write_jdbc", lambda df, url, table, **o: written.update({table: (df.count(), url, o)}))
+    _run(
+        spark, stored, "product", {}, "--products", f"{stored}/products", "--jdbc-url", "jdbc:in", "--out-jdbc-url", "jdbc:out",
+        "--jdbc-option", "user=me", "--jdbc-option", "password=a=b",
+    )
+    assert read == {"url": "jdbc:in", "user": "me", "password": "a=b"}
+    assert written == {"area_top3_product": (1, "jdbc:out", {"user": "me", "password": "a=b"})}
+
+    def lines(spark, brokers, topics, starting, **options):
+        streamed.update(options, starting=starting)
+        raise InterruptedError
+
+    monkeypatch.setattr(adlog, "kafka_lines", lines)
+    with pytest.raises(InterruptedError):
+        jobs.main(["ads", "--brokers", "b", "--topics", "t", "--out", "o", "--starting", "latest", "--kafka-option", "maxOffsetsPerTrigger=9"], spark)
+    assert streamed == {"starting": "latest", "maxOffsetsPerTrigger": "9"}

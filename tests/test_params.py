@@ -54,3 +54,11 @@ def test_jdbc_options():
     with pytest.raises(ValueError):
         jdbc.reader_options("jdbc:x", "t", "id")
     assert jdbc.writer_options("jdbc:x", "t", 500, 4)["batchsize"] == "500"
+
+
+@pytest.mark.parametrize("bound", ["2024-1-5", "20240131", "2024-02-30", "", "2024-01-05 "])
+def test_dates_are_strict(bound):
+    with pytest.raises(ParameterError):
+        DateRange(bound)
+    with pytest.raises(ParameterError):
+        DateRange("2024-01-01", bound)

@@ -11,6 +11,7 @@ from compare import SF_DIR
 from fixtures import actions, at, tuples, users
 
 import __spark_entry__ as entry
+from trailmill import catalog
 from trailmill import schemas
 from trailmill.operators import ads, categories, funnel, products, sessions
 from trailmill.params import DateRange, JobParams, PageFlow, ParameterError, SessionFilter
@@ -74,7 +75,7 @@ def test_products_count_before_joining(stored):
     assert text.index("partial_count(1)") < text.index("partial_collect_set")
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(catalog.QUERIES))
 def test_no_cross_join_and_no_python(spark, name):
     if name.startswith(("stream_", "sink_")):
         pytest.skip("runs jobs when called")
@@ -90,7 +91,9 @@ def test_rollup_combines_before_the_shuffle(stored):
 
 def test_page_pairs_shuffle_actions_once(stored):
     text = plan(funnel.page_pairs(stored["user_visit_action"]))
-    assert text.count("hashpartitioning(session_id") == 3  # sessions, heavy slices, their edges
+    # Slices, and their first and last visits, which the map side has combined.
+    assert text.count("hashpartitioning(session_id") == 3
+    assert "partial_min" in text
 
 
 def test_session_report(spark, stored, tmp_path):

@@ -79,5 +79,5 @@ def test_pairs_of_any_visits(spark, visits, slice_seconds):
         pages = [p for _, _, p in sorted((t, n, p) for s, t, p, n in rows if s == session)]
         for pair in zip(pages, pages[1:]):
             expected[pair] = expected.get(pair, 0) + 1
-    got = funnel.page_pairs(df, heavy_rows=5, slice_seconds=slice_seconds)
+    got = funnel.page_pairs(df, slice_seconds=slice_seconds)
     assert {(a, b): n for a, b, n in tuples(got, "from_page", "to_page", "pv")} == expected

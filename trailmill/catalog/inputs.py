@@ -66,6 +66,11 @@ def details(spark: SparkSession, folder: str) -> DataFrame:
     return sessions.session_details(actions(spark, folder), filtered_once(spark, folder))
 
 
+def details_once(spark: SparkSession, folder: str) -> DataFrame:
+    """The details, for queries that read them several times: the actions are scanned once."""
+    return scratch.stored(details(spark, folder), "details")
+
+
 def ad_log(spark: SparkSession, folder: str) -> DataFrame:
     return adlog.parse_ad_log(derived.ad_lines(spark, folder))
 

@@ -246,7 +246,7 @@ _ADS = f"""
          strftime(ts, '%M') AS minute, ad_id, count(*) AS click_count
   FROM clean
   WHERE date_trunc('minute', ts)
-        > (SELECT date_trunc('minute', max(ts)) FROM log) - INTERVAL 60 MINUTE
+        > (SELECT date_trunc('minute', max(ts)) FROM clean) - INTERVAL 60 MINUTE
   GROUP BY ALL
 )"""
 
@@ -280,6 +280,12 @@ ORACLES = {
         "WHERE click_product_id IS NOT NULL",
     ),
     "user_profiles": _select(_USERS, "SELECT * FROM users"),
+    "action_rejects": _select(
+        _EVENTS,
+        "SELECT 'no_session' AS reason, count(*) AS n FROM actions WHERE event_id % 7 = 0 "
+        "UNION ALL SELECT 'bad_time', 0 UNION ALL SELECT 'bad_ids', count(*) FROM actions "
+        "WHERE event_id % 5 = 0 AND pay_category_ids IS NOT NULL",
+    ),
     "ad_log_rejects": _select(
         _CITIES,
         "SELECT (epoch_us(ts) // 1000) || ' ' || area || ' ' || city_name || ' ' || user_id || ' ' || "
@@ -353,15 +359,18 @@ ORACLES = {
     "stream_blacklist": _select(_ADS, "SELECT * FROM black"),
     "stream_ad_stat": _select(_ADS, "SELECT * FROM stat"),
     "stream_province_top3": _select(_ADS, "SELECT * EXCLUDE (rank) FROM province_top"),
-    "stream_click_trend": _select(
-        _ADS.replace("max(ts)) FROM log)", "max(ts)) FROM clean)"), "SELECT * FROM trend"
-    ),
+    "stream_click_trend": _select(_ADS, "SELECT * FROM trend"),
     "sink_upsert_replace": _select(_ADS, _LOG_STAT),
     "sink_upsert_add": _select(
         _ADS,
         "SELECT date, province, city, ad_id, CASE WHEN date < '2024-01-16' THEN 2 ELSE 1 END "
         f"* click_count AS click_count FROM ({_LOG_STAT})",
     ),
+    "sink_replace_task": _select(
+        _AREA,
+        "SELECT task_id, area, product_id, click_count FROM (SELECT 1 AS task_id, * FROM area_top "
+        "UNION ALL SELECT 2, * FROM area_top WHERE false)",
+    ),
     "sink_replace_slices": _select(
         _ADS,
         "SELECT date, province, CASE WHEN date < '2024-01-16' THEN ad_id ELSE -ad_id END "
@@ -391,7 +400,9 @@ ORACLES = {
         "CAST(epoch(t) - epoch(TIMESTAMP '2024-01-15 09:30:00') AS BIGINT) AS seconds_after, "
         "CAST(0 AS BIGINT) AS seconds_unreadable, true AS unreadable, "
         "strftime(make_timestamp(event_id * 86461000000), '%Y-%m-%d %H:%M:%S') AS from_ms, "
-        "true AS today_ok, true AS yesterday_ok FROM all_actions",
+        "strftime(now() AT TIME ZONE 'UTC', '%Y-%m-%d') AS today, "
+        "strftime(now() AT TIME ZONE 'UTC' - INTERVAL 1 DAY, '%Y-%m-%d') AS yesterday "
+        "FROM all_actions",
     ),
     "scalar_number": (
         f"SELECT event_id, {_ratio('(event_id % 97)', '(event_id % 41)')} AS ratio, "

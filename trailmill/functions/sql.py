@@ -13,7 +13,7 @@ _DEFINITIONS = (
     "concat_long_string(number BIGINT, txt STRING, sep STRING) RETURNS STRING "
     "RETURN concat(cast(number AS STRING), sep, coalesce(txt, 'null'))",
     "json_field(doc STRING, field STRING) RETURNS STRING "
-    "RETURN get_json_object(doc, concat('$.', field))",
+    "RETURN get_json_object(doc, concat('$[\\'', field, '\\']'))",
     "trim_comma(txt STRING) RETURNS STRING RETURN regexp_replace(txt, '^,|,$', '')",
     "half_up_ratio(part BIGINT, whole BIGINT) RETURNS DOUBLE "
     "RETURN CASE WHEN whole > 0 THEN ((200 * part + whole) div (2 * whole)) / 100.0D ELSE 0.0D END",

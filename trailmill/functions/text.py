@@ -47,7 +47,10 @@ def get_field(value: Column | str, field: str, delimiter: str = "\\|") -> Column
 def set_field(
     value: Column | str, field: str, new_value: Column | str, delimiter: str = "\\|"
 ) -> Column:
-    """Give the first part named ``field`` a new value; other parts, and their order, stay."""
+    """Give the first part named ``field`` a new value (NULL is written ``null``).
+
+    Other parts, and their order, stay.
+    """
     new_value = F.lit(new_value) if isinstance(new_value, str) else new_value
     parts = F.split(F.regexp_replace(_col(value), f"(?:{delimiter})+$", ""), delimiter)
     names = F.transform(parts, lambda part: F.substring_index(part, "=", 1))
@@ -55,7 +58,7 @@ def set_field(
     replaced = F.transform(
         parts,
         lambda part, index: F.when(
-            index + 1 == at, F.concat(F.lit(field + "="), new_value)
+            index + 1 == at, F.concat(F.lit(field + "="), F.coalesce(new_value, F.lit("null")))
         ).otherwise(part),
     )
     return F.array_join(replaced, "|")

@@ -9,66 +9,69 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions import numbers
 from ..params import PageFlow
 from ..sources.tables import with_event_time
-from .skew import heavy_keys
 
-# A session with more rows than this is split by time before it is ordered.
-_HEAVY_ROWS = 1_000_000
-_SLICE_SECONDS = 600
+_SLICE_SECONDS = 60
 
 
-def _pair_counts(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("from_page", "to_page").agg(F.count("*").alias("pv"))
+def page_steps(actions: DataFrame, slice_seconds: int = _SLICE_SECONDS) -> DataFrame:
+    """``from_page, to_page, visits, pairs``, small counts by page.
 
+    ``pairs`` counts how often ``to_page`` followed; the ``visits`` of a page sum up over its rows. Sessions are ordered by time, then by
+    ``event_id`` where there is one, else by page. Rows without a session id belong to no session.
 
-def page_pairs(
-    actions: DataFrame, heavy_rows: int = _HEAVY_ROWS, slice_seconds: int = _SLICE_SECONDS
-) -> DataFrame:
-    """``from_page, to_page, pv``: how often a page was followed by another within a session.
-
-    Sessions are ordered by time, then by ``event_id`` where there is one, else by page.
-
-    A window by session would order a session holding a third of all rows in one task. Sessions
-    of ``heavy_rows`` or more are therefore cut into slices of time and each slice is ordered by
-    itself. What is missing then is the pair across a cut, from the last page of a slice to the
-    first of the next: it comes from an aggregate that keeps two rows per slice, found on the map
-    side. Other sessions are ordered whole, in one shuffle.
+    A window by session would order a session holding a third of all rows in one task. Every session is
+    cut into slices of time and each slice ordered by itself, so that a task holds what one session
+    does in ``slice_seconds``. What is missing then is the pair across a cut, from the last page of a
+    slice to the first of the next: it comes from one row for each slice, out of the same shuffle.
     """
     tie = ["event_id"] if "event_id" in actions.columns else []
     order = ["ts", *tie, "page_id"]
-    visits = with_event_time(actions).select("session_id", *order)
-    heavy = F.broadcast(
-        heavy_keys(actions, "session_id", heavy_rows).withColumn("is_heavy", F.lit(True))
-    )
     # Rows without a readable time come first, in a slice of their own.
     slice_no = F.coalesce(
         F.call_function("div", F.unix_seconds("ts"), F.lit(slice_seconds)), F.lit(-(2**40))
     )
-
-    sliced = visits.join(heavy, "session_id", "left").withColumn(
-        "slice", F.when(F.col("is_heavy"), slice_no)
+    visits = (
+        with_event_time(actions)
+        .where(F.col("session_id").isNotNull())
+        .select("session_id", slice_no.alias("slice"), *order)
     )
     window = Window.partitionBy("session_id", "slice").orderBy(*order)
-    inner = sliced.select(
+    inner = visits.select(
         F.col("page_id").alias("from_page"),
         F.lead("page_id").over(window).alias("to_page"),
         F.lead(F.lit(1)).over(window).alias("has_next"),
-    ).where(F.col("has_next").isNotNull())
-
+    )
+    inside = inner.groupBy("from_page", "to_page").agg(
+        F.count("*").alias("visits"), F.count("has_next").alias("pairs")
+    )
     visit = F.struct(*order)
     edges = (
-        visits.join(heavy, "session_id")
-        .groupBy("session_id", slice_no.alias("slice"))
+        visits.groupBy("session_id", "slice")
         .agg(F.min(visit).alias("first"), F.max(visit).alias("last"))
     )
     next_slice = Window.partitionBy("session_id").orderBy("slice")
-    across = edges.select(
-        F.col("last.page_id").alias("from_page"),
-        F.lead("first.page_id").over(next_slice).alias("to_page"),
-        F.lead(F.lit(1)).over(next_slice).alias("has_next"),
-    ).where(F.col("has_next").isNotNull())
+    across = (
+        edges.select(
+            F.col("last.page_id").alias("from_page"),
+            F.lead("first.page_id").over(next_slice).alias("to_page"),
+            F.lead(F.lit(1)).over(next_slice).alias("has_next"),
+        )
+        .where(F.col("has_next").isNotNull())
+        .groupBy("from_page", "to_page")
+        .agg(F.count("*").alias("pairs"))
+    )
+    both = inside.unionByName(
+        across.select("from_page", "to_page", F.lit(0).cast("bigint").alias("visits"), "pairs")
+    )
+    return both.groupBy("from_page", "to_page").agg(
+        F.sum("visits").alias("visits"), F.sum("pairs").alias("pairs")
+    )
+
 
-    both = _pair_counts(inner).unionByName(_pair_counts(across))
-    return both.groupBy("from_page", "to_page").agg(F.sum("pv").alias("pv"))
+def page_pairs(actions: DataFrame, slice_seconds: int = _SLICE_SECONDS) -> DataFrame:
+    """``from_page, to_page, pv``: how often a page was followed by another within a session."""
+    steps = page_steps(actions, slice_seconds).where("pairs > 0")
+    return steps.select("from_page", "to_page", F.col("pairs").alias("pv"))
 
 
 def page_visits(actions: DataFrame) -> DataFrame:
@@ -106,6 +109,20 @@ def conversion_rates(pairs: DataFrame, visits: DataFrame, flow: PageFlow) -> Dat
         allowMissingColumns=True,
     )
 
+    return _rates(counts, flow)
+
+
+def rates_of_steps(steps: DataFrame, flow: PageFlow) -> DataFrame:
+    """:func:`conversion_rates` of :func:`page_steps`, which reads the actions once."""
+    no_page, yes = F.lit(None).cast("bigint"), F.lit(True)
+    rows = F.array(
+        F.struct(F.col("from_page"), F.col("to_page"), F.col("pairs").alias("pv"), F.lit(None).cast("boolean").alias("visit")),
+        F.struct(F.col("from_page"), no_page.alias("to_page"), F.col("visits").alias("pv"), yes.alias("visit")),
+    )
+    return _rates(steps.select(F.inline(rows)), flow)
+
+
+def _rates(counts: DataFrame, flow: PageFlow) -> DataFrame:
     def total(test):
         return F.coalesce(F.sum(F.when(test, F.col("pv"))), F.lit(0).cast("bigint"))
 

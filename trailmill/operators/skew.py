@@ -1,33 +1,8 @@
-"""Heavy keys: finding them, and keeping joins on them splittable."""
+"""Keeping joins on heavy keys splittable."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
-
-# Keys a frequency sketch tracks: every key above 1/1000 of the rows is sure to be among them.
-_TRACKED = 2000
-_MOST = 500
-_MERGERS = 64
-
-
-def heavy_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Keys with roughly ``min_rows`` rows or more: at most 500 rows, so they may be broadcast.
-
-    A frequency sketch over one column: each task sends one small sketch, these are merged in two
-    rounds, and no row is shuffled. Which keys it names decides only how work is laid out, never
-    what a result is.
-    """
-    sketches = (
-        df.select(key, (F.spark_partition_id() % _MERGERS).alias("part"))
-        .groupBy("part")
-        .agg(F.expr(f"approx_top_k_accumulate({key}, {_TRACKED})").alias("sketch"))
-    )
-    found = sketches.agg(F.expr("approx_top_k_combine(sketch)").alias("sketch")).select(
-        F.inline(F.expr(f"approx_top_k_estimate(sketch, {_MOST})"))
-    )
-    return found.where((F.col("count") >= min_rows) & F.col("item").isNotNull()).select(
-        F.col("item").alias(key)
-    )
+from pyspark.sql import DataFrame
 
 
 def fresh_layout(df: DataFrame) -> DataFrame:

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import datetime
 import json
+import re
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -42,6 +44,16 @@ def _ids(text: str | None, key: str) -> tuple[int, ...] | None:
     return None if parts is None else tuple(_number(part, key) for part in parts)
 
 
+def _is_date(text: str) -> bool:
+    if not re.fullmatch(r"\d{4}-\d{2}-\d{2}", text):
+        return False
+    try:
+        datetime.date.fromisoformat(text)
+    except ValueError:
+        return False
+    return True
+
+
 @dataclass(frozen=True)
 class DateRange:
     """Inclusive ``yyyy-MM-dd`` bounds; a missing bound does not filter."""
@@ -50,6 +62,9 @@ class DateRange:
     end: str | None = None
 
     def __post_init__(self) -> None:
+        for bound in (self.start, self.end):
+            if bound is not None and not _is_date(bound):
+                raise ParameterError(f"a date must be written yyyy-MM-dd, not {bound!r}")
         if self.start is not None and self.end is not None and self.start > self.end:
             raise ParameterError(f"start date {self.start} is after end date {self.end}")
 

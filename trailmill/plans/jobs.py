@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..params import JobParams
 from ..sources import adlog, jdbc, tables
@@ -33,6 +33,8 @@ def _parser() -> argparse.ArgumentParser:
         job.add_argument("--actions", required=True, help="user_visit_action table")
         job.add_argument("--out", required=True, help="folder of the result tables")
         job.add_argument("--format", default="parquet")
+        job.add_argument("--out-jdbc-url", help="append the task's results to this database too")
+        _add_options(job, "--jdbc-option", "of the database: user=…, password=…, partitionColumn=…")
         if name == "session":
             job.add_argument("--users", required=True, help="user_info table")
             job.add_argument("--sample", type=int, default=100)
@@ -46,20 +48,35 @@ def _parser() -> argparse.ArgumentParser:
     ads.add_argument("--topics", required=True)
     ads.add_argument("--out", required=True, help="folder of the tables and checkpoints")
     ads.add_argument("--threshold", type=int, default=15)
-    ads.add_argument("--files", type=int, default=4, help="files per batch and table")
+    ads.add_argument("--starting", default="earliest", help="offsets of a first start")
+    _add_options(ads, "--kafka-option", "of the Kafka source: maxOffsetsPerTrigger=…, kafka.security.protocol=…")
     return parser
 
 
+def _add_options(parser: argparse.ArgumentParser, flag: str, of: str) -> None:
+    parser.add_argument(flag, action="append", default=[], metavar="NAME=VALUE", type=_pair, help=f"option {of}")
+
+
+def _pair(text: str) -> tuple[str, str]:
+    name, found, value = text.partition("=")
+    if not name or not found:
+        raise argparse.ArgumentTypeError(f"{text!r} is not NAME=VALUE")
+    return name, value
+
+
 def _cities(spark: SparkSession, args: argparse.Namespace) -> DataFrame:
     if args.jdbc_url:
-        return jdbc.read_jdbc(spark, args.jdbc_url, args.cities)
+        return jdbc.read_jdbc(spark, args.jdbc_url, args.cities, **dict(args.jdbc_option))
     return tables.read_table(spark, args.cities, "city_info", args.format)
 
 
 def run(args: argparse.Namespace, spark: SparkSession) -> None:
     if args.job == "ads":
-        log = adlog.parse_ad_log(adlog.kafka_lines(spark, args.brokers, args.topics))
-        adclicks.start_all(log, adclicks.AdTables(args.out, args.files), args.threshold)
+        options = dict(args.kafka_option)
+        lines = adlog.kafka_lines(spark, args.brokers, args.topics, args.starting, **options)
+        kept = adclicks.AdTables(args.out)
+        adclicks.start_reject_query(lines, kept)
+        adclicks.start_all(adlog.parse_ad_log(lines), kept, args.threshold)
         spark.streams.awaitAnyTermination()
         return
     params = JobParams.from_task(args.task_id, args.params)
@@ -72,6 +89,15 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
     else:
         products = tables.read_table(spark, args.products, "product_info", args.format)
         reports.product_report(actions, _cities(spark, args), products, params, args.out)
+    if args.out_jdbc_url:
+        _export(spark, args)
+
+
+def _export(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Append the task's rows of each result table to the database, under the table's name."""
+    for name, schema in reports.RESULTS[args.job].items():
+        rows = reports.read_result(spark, args.out, name, schema).where(F.col("task_id") == args.task_id)
+        jdbc.write_jdbc(rows, args.out_jdbc_url, name, **dict(args.jdbc_option))
 
 
 def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:

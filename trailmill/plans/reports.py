@@ -27,18 +27,24 @@ SESSION_RESULTS = {
 }
 
 
+# The result tables of each job.
+RESULTS = {
+    "session": SESSION_RESULTS,
+    "page": {"page_split_convert_rate": schemas.PAGE_SPLIT_CONVERT_RATE},
+    "product": {"area_top3_product": schemas.AREA_TOP3_PRODUCT},
+}
+
+
 def _store(df: DataFrame, out: str, name: str, task_id: int) -> None:
-    stamped = df.withColumn("task_id", F.lit(task_id).cast("bigint"))
-    (
-        stamped.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("task_id")
-        .parquet(f"{out}/{name}")
-    )
+    """Replace the task's rows. Its folder is written even if there are none: the earlier rows go."""
+    df.drop("task_id").write.mode("overwrite").parquet(f"{out}/{name}/task_id={task_id}")
 
 
-def _stored(spark: SparkSession, out: str, name: str, task_id: int) -> DataFrame:
-    return spark.read.parquet(f"{out}/{name}/task_id={task_id}")
+def _kept(df: DataFrame, out: str, name: str, task_id: int) -> DataFrame:
+    """``df`` stored and read back, with its own layout even where it is empty."""
+    _store(df, out, name, task_id)
+    kept = df.drop("task_id")
+    return df.sparkSession.read.schema(kept.schema).parquet(f"{out}/{name}/task_id={task_id}")
 
 
 def read_result(spark: SparkSession, out: str, name: str, schema) -> DataFrame:
@@ -63,29 +69,24 @@ def session_report(
         sessions.enrich_sessions(sessions.session_rollup(acted), tables.scan_users(users)),
         params.sessions,
     )
-    _store(passed, out, "session_filtered", task)
-    passed = _stored(spark, out, "session_filtered", task)
+    passed = _kept(passed, out, "session_filtered", task)
 
     ratios = histograms.session_ratios(histograms.session_histogram(passed))
     _store(ratios, out, "session_aggr_stat", task)
 
     details = sessions.session_details(acted, passed)
-    _store(sessions.detail_rows(details, task), out, "session_detail", task)
-    details = _stored(spark, out, "session_detail", task)
+    details = _kept(sessions.detail_rows(details, task), out, "session_detail", task)
 
     chosen = sampling.sample_sessions(passed, sample_total, seed)
     columns = [c for c in schemas.SESSION_RANDOM_EXTRACT.names if c != "task_id"]
     extract = sessions.session_text(chosen).select(*columns)
-    _store(extract, out, "session_random_extract", task)
-    extract = _stored(spark, out, "session_random_extract", task)
+    extract = _kept(extract, out, "session_random_extract", task)
     _store(sampling.sample_details(details, extract), out, "session_sample_detail", task)
 
     best = categories.top_categories(categories.category_counts(details), top)
-    _store(best, out, "top10_category", task)
-    best = _stored(spark, out, "top10_category", task)
+    best = _kept(best, out, "top10_category", task)
     active = categories.top_sessions_by_category(details, best, top).drop("rank")
-    _store(active, out, "top10_category_session", task)
-    active = _stored(spark, out, "top10_category_session", task)
+    active = _kept(active, out, "top10_category_session", task)
     _store(categories.top_session_details(details, active), out, "top10_session_detail", task)
 
 
@@ -94,9 +95,7 @@ def page_report(actions: DataFrame, params: JobParams, out: str) -> None:
     if params.flow is None:
         raise ParameterError("the page report needs a target page flow")
     acted = tables.scan_actions(actions, params.dates)
-    rates = funnel.conversion_rates(
-        funnel.page_pairs(acted), funnel.page_visits(acted), params.flow
-    )
+    rates = funnel.rates_of_steps(funnel.page_steps(acted), params.flow)
     _store(funnel.encode_rates(rates), out, "page_split_convert_rate", params.task_id)
 
 

@@ -52,7 +52,7 @@ class BatchTable:
     path: str
     schema: T.StructType
     keys: tuple[str, ...]
-    files: int | None = None  # files per batch; None keeps the partitions of the rows
+    files: int | None = None  # files per batch, for tests; None keeps the partitions of the rows
 
     # ---- layout --------------------------------------------------------------------------------
     def _fs(self, spark: SparkSession):
@@ -93,6 +93,28 @@ class BatchTable:
         fs, path = self._fs(spark)
         fs.mkdirs(path(self.path))
 
+    def _claim(self, spark: SparkSession) -> None:
+        """Batch ids mean something within one streaming query alone, which its checkpoint names.
+
+        The first query to write is noted beside the table. Another one, such as the same job after
+        its checkpoint was lost, would begin its ids anew, and its rows would pass for replays.
+        """
+        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not query:
+            return
+        fs, path = self._fs(spark)
+        note = path(f"{self.path}/_writer")
+        if not fs.exists(note):
+            out = fs.create(note, False)
+            out.writeBytes(query)
+            out.close()
+            return
+        held = fs.open(note)
+        known = spark._jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8")
+        held.close()
+        if known != query:
+            raise ValueError(f"{self.path} is written by query {known}, not by {query}: its checkpoint was replaced")
+
     def publish(self, df: DataFrame, batch_id: int) -> bool:
         """Add the rows of a batch; false, and no change, if the batch is there already.
 
@@ -100,6 +122,7 @@ class BatchTable:
         stateful operators before the stream may go on.
         """
         spark = df.sparkSession
+        self._claim(spark)
         stamp = F.lit(batch_id).cast("bigint").alias(_BATCH)
         staged = self._stage(df.select(*self.schema.names, stamp), f"batch-{batch_id}")
         snapshot, batches = self._published(spark)
@@ -115,7 +138,8 @@ class BatchTable:
         _, batches = self._published(spark)
         if not batches:
             return None
-        current = self.totals(spark) if additive else self.latest(spark)
+        # As many files as the rows need: adaptive execution sizes them.
+        current = (self.totals(spark) if additive else self.latest(spark)).hint("rebalance")
         stamp = F.lit(batches[-1]).cast("bigint").alias(_BATCH)
         name = f"snapshot-{batches[-1]}"
         self._show(spark, self._stage(current.select("*", stamp), name), name)
@@ -148,9 +172,9 @@ class BatchTable:
             fs.delete(folders[name], True)
         return len(old)
 
-    def tidy(self, spark: SparkSession, batch_id: int, every: int) -> None:
-        """At every so many batches, write a snapshot and drop what the one before stands for."""
-        if batch_id > 0 and batch_id % every == 0:
+    def tidy(self, spark: SparkSession, every: int) -> None:
+        """Once so many batches follow the last snapshot, write one and drop what the one before stands for."""
+        if len(self._published(spark)[1]) >= every:
             self.compact(spark)
             self.vacuum(spark, keep=1)
 

@@ -35,6 +35,7 @@ def _parsed(lines: DataFrame) -> tuple[DataFrame, Column]:
     part = F.col("part")
     fields = lines.select("value", F.explode(F.array(F.split("value", " "))).alias("part")).select(
         "value",
+        F.size(part).alias("parts"),
         F.get(part, F.lit(0)).try_cast("bigint").alias("epoch_ms"),
         F.get(part, F.lit(1)).alias("province"),
         F.get(part, F.lit(2)).alias("city"),
@@ -42,9 +43,14 @@ def _parsed(lines: DataFrame) -> tuple[DataFrame, Column]:
         F.get(part, F.lit(4)).try_cast("bigint").alias("ad_id"),
     )
     readable = (
-        F.col("epoch_ms").isNotNull() & F.col("user_id").isNotNull() & F.col("ad_id").isNotNull()
+        (F.col("parts") == 5)
+        & F.col("epoch_ms").isNotNull()
+        & (F.col("province") != "")
+        & (F.col("city") != "")
+        & F.col("user_id").isNotNull()
+        & F.col("ad_id").isNotNull()
     )
-    return fields, readable
+    return fields, F.coalesce(readable, F.lit(False))
 
 
 def parse_ad_log(lines: DataFrame) -> DataFrame:

@@ -53,8 +53,37 @@ def in_dates(table: DataFrame, dates: DateRange, column: str = "date") -> DataFr
 
 
 def scan_actions(actions: DataFrame, dates: DateRange = DateRange()) -> DataFrame:
-    """All action columns in a date range, with their event time."""
-    return with_event_time(in_dates(actions, dates))
+    """All action columns in a date range, with their event time.
+
+    A row without a session id belongs to no session and is left out; :func:`rejected_actions` has it.
+    """
+    return with_event_time(in_dates(actions, dates)).where(F.col("session_id").isNotNull())
+
+
+_CSV_IDS = ("order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids")
+
+
+def rejected_actions(actions: DataFrame, dates: DateRange = DateRange()) -> DataFrame:
+    """``reason, n``: how many rows of a date range lack what the sessions need, by reason.
+
+    ``no_session``: left out by :func:`scan_actions`. ``bad_time``: an unreadable action time.
+    ``bad_ids``: a list of ids with a part that is no number, which counts for no category. A row
+    may have several reasons; a reason that no row has is listed with 0.
+    """
+    bad = F.lit(False)
+    for name in _CSV_IDS:
+        if name in actions.columns:
+            parts = F.split(F.col(name), ",").try_cast("array<bigint>")
+            bad = bad | F.exists(parts, lambda x: x.isNull())
+    rows = with_event_time(in_dates(actions, dates))
+    counts = rows.agg(
+        F.count_if(F.col("session_id").isNull()).alias("no_session"),
+        F.count_if(F.col("ts").isNull()).alias("bad_time"),
+        F.count_if(F.coalesce(bad, F.lit(False))).alias("bad_ids"),
+    )
+    names = ("no_session", "bad_time", "bad_ids")
+    listed = F.array(*[F.struct(F.lit(n).alias("reason"), F.col(n).alias("n")) for n in names])
+    return counts.select(F.inline(listed))
 
 
 def scan_clicks(actions: DataFrame, dates: DateRange = DateRange()) -> DataFrame:

@@ -25,6 +25,7 @@ from pyspark.sql.streaming import StreamingQuery
 from .. import schemas
 from ..functions import times
 from ..operators import ads
+from ..sources import adlog
 from ..sinks.tables import BatchTable, read_slices, replace_slices
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
@@ -40,14 +41,14 @@ _SALTS = 16
 class AdTables:
     """Where the streaming jobs keep their tables: one folder all executors share.
 
-    ``files`` is the number of files a batch adds to a table. The blacklist, the running counts
+    A batch adds a file to a table for each partition of its rows. The blacklist, the running counts
     and the trend, which the jobs read themselves, are compacted every ``compact_every`` batches.
     The counts per user are only added to: they grow with the traffic, so compacting them is a
     matter for a nightly job (``tables.user_counts.compact``).
     """
 
     root: str
-    files: int = 4
+    files: int | None = None
     compact_every: int = 100
 
     def _table(self, name: str, schema, *keys: str) -> BatchTable:
@@ -75,6 +76,10 @@ class AdTables:
     def province_top(self) -> str:
         return f"{self.root}/ad_province_top3"
 
+    @property
+    def rejected_lines(self) -> str:
+        return f"{self.root}/rejected_lines"
+
     @property
     def trend(self) -> BatchTable:
         return self._table(
@@ -121,7 +126,7 @@ def start_user_ad_query(
             return
         found = ads.blacklist(changed, threshold)
         listed.publish(found.join(listed.latest(spark), "user_id", "left_anti"), batch_id)
-        listed.tidy(spark, batch_id, tables.compact_every)
+        listed.tidy(spark, tables.compact_every)
 
     counts = ads.user_ad_daily(log.withWatermark("ts", watermark))
     return _start(counts, "user_ad", tables, save, trigger)
@@ -136,12 +141,16 @@ def start_clean_query(
     """Store the clicks of users who are not on the blacklist when their batch runs."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        listed = tables.blacklist.latest(batch.sparkSession)
-        if listed.count() <= broadcast_users:
-            kept = batch.join(F.broadcast(listed), "user_id", "left_anti")
-        else:
-            kept = ads.exclude_users(batch, listed, _SALTS)
-        tables.clean_log.publish(kept, batch_id)
+        # Counted and joined: computed once.
+        listed = tables.blacklist.latest(batch.sparkSession).persist()
+        try:
+            if listed.count() <= broadcast_users:
+                kept = batch.join(F.broadcast(listed), "user_id", "left_anti")
+            else:
+                kept = ads.exclude_users(batch, listed, _SALTS)
+            tables.clean_log.publish(kept, batch_id)
+        finally:
+            listed.unpersist()
 
     return _start(log, "clean", tables, save, trigger, mode="append")
 
@@ -169,7 +178,7 @@ def start_stat_query(
         spark, stat = batch.sparkSession, tables.stat
         stat.publish(batch, batch_id)
         if top is None:
-            stat.tidy(spark, batch_id, tables.compact_every)
+            stat.tidy(spark, tables.compact_every)
             return
         changed = stat.batch_rows(spark, batch_id) if stat.has_batch(spark, batch_id) else batch
         if changed.isEmpty():  # a batch that only moved the watermark
@@ -181,7 +190,7 @@ def start_stat_query(
         # Joined last, when a province has only its top rows left.
         touched = best.join(changed.select(*slices).distinct(), slices, "left_semi")
         replace_slices(touched, tables.province_top, slices)
-        stat.tidy(spark, batch_id, tables.compact_every)
+        stat.tidy(spark, tables.compact_every)
 
     counts = ads.ad_stat(clean.withWatermark("ts", watermark))
     return _start(counts, "stat", tables, save, trigger)
@@ -197,12 +206,24 @@ def start_trend_query(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         tables.trend.publish(batch, batch_id)
-        tables.trend.tidy(batch.sparkSession, batch_id, tables.compact_every)
+        tables.trend.tidy(batch.sparkSession, tables.compact_every)
 
     counts = ads.minute_parts(ads.minute_clicks(clean.withWatermark("ts", watermark)))
     return _start(counts, "trend", tables, save, trigger)
 
 
+def start_reject_query(lines: DataFrame, tables: AdTables, trigger: dict = EVERY_5_SECONDS) -> StreamingQuery:
+    """Store the lines that the parser leaves out, as they came, in ``rejected_lines``."""
+    return (
+        adlog.rejected_lines(lines)
+        .writeStream.format("parquet")
+        .option("path", tables.rejected_lines)
+        .option("checkpointLocation", tables.checkpoint("rejected"))
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def province_top(spark: SparkSession, tables: AdTables) -> DataFrame:
     return read_slices(spark, tables.province_top, schemas.AD_PROVINCE_TOP3)
 
