@@ -260,7 +260,8 @@ def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id:
 
     Null keys and repeated rows keep their rows; other columns are ignored; an empty table has no pieces.
     """
-    return place(token_pieces(docs, path, capacity, end_id, key, text), capacity)
+    # Written before it is sorted into key ranges: finding the ranges would otherwise encode every text once more.
+    return place(stored(token_pieces(docs, path, capacity, end_id, key, text), "packing-tokens"), capacity)
 
 
 def sequences(placed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:
