@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+
+from trailmill.llm import neardup
+from trailmill.llm.common import byte_words
+
+
+def brute(rows):
+    first, grams = {}, {}
+    for key, text in rows:
+        words = tuple(byte_words(text))
+        if words and key is not None:
+            first[words] = min(key, first.get(words, key))
+    for words, key in first.items():
+        grams[key] = {words[i : i + 5] for i in range(max(1, len(words) - 4))}
+    root = {k: k for k in grams}
+    links = dict.fromkeys(grams, 0)
+
+    def find(x):
+        return x if root[x] == x else find(root[x])
+
+    keys = sorted(grams)
+    for i, a in enumerate(keys):
+        for b in keys[i + 1 :]:
+            shared = len(grams[a] & grams[b])
+            if 5 * shared >= 4 * (len(grams[a]) + len(grams[b]) - shared):
+                links[a] += 1
+                links[b] += 1
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    out = []
+    for key, text in rows:
+        copy = first.get(tuple(byte_words(text)))
+        out.append((key, find(copy) if copy is not None else key, copy if copy is not None else key, links.get(copy, 0)))
+    return sorted(out, key=str)
+
+
+def cases():
+    rng = random.Random(5)
+    word = lambda: rng.choice("abcdefghij") + rng.choice("klmnopqrst") + rng.choice("uvwxyz")
+    base = [[word() for _ in range(120)] for _ in range(6)]
+    rows = []
+    for k, words in enumerate(base):
+        rows.append((10 * k, " ".join(words)))
+        rows.append((10 * k + 1, ", ".join(words).upper()))  # the same words
+        near = list(words)
+        near[60] = "changed"
+        rows.append((10 * k + 2, " ".join(near)))
+        far = list(words)
+        far[10:100:7] = ["other"] * len(far[10:100:7])
+        rows.append((10 * k + 3, " ".join(far)))
+    for k in range(150):  # a large group of near copies
+        near = list(base[0])
+        near[rng.randrange(120)] = f"own{k}"
+        rows.append((1000 + k, " ".join(near)))
+    rows += [(2000 + k, base[1][0]) for k in range(30)]  # one word, many copies
+    rows += [(3000, None), (3001, ""), (3002, "!!"), (3003, None), (None, " ".join(base[2])), (None, "only here"), (0, " ".join(base[0]))]
+    rows += [(4000, " ".join(word() for _ in range(20_000)))]
+    return rows
+
+
+def test_links_and_classes(spark, docs_of):
+    rows = cases()
+    got = neardup.near_duplicates(docs_of(rows))
+    assert sorted(map(tuple, got.collect()), key=str) == brute(rows)
+    assert neardup.near_duplicates(docs_of([])).count() == 0
+
+
+def test_one_of_each_class_stays(spark, docs_of):
+    rows = cases() + [(None, "only here"), (3001, "")]
+    got = neardup.one_of_each(docs_of(rows)).collect()
+    want = {(key, tuple(byte_words(t))) for (key, t), (_, root, copy, _) in zip(rows, ordered(rows)) if byte_words(t) and key is not None and key == root}
+    kept = [(r.doc_id, tuple(byte_words(r.text))) for r in got if byte_words(r.text)]
+    assert len(kept) == len(set(kept)) and {k for k in kept if k[0] is not None} == want
+    assert [k for k in kept if k[0] is None] == [(None, (b"only", b"here"))]
+    assert sorted(r.doc_id for r in got if not byte_words(r.text)) == [3000, 3001, 3001, 3002, 3003]
+
+
+def ordered(rows):
+    """The brute-force result, in the order of the rows."""
+    found = {}
+    for row in brute(rows):
+        found.setdefault(row[0], []).append(row)
+    by_words = {}
+    for key, text in rows:
+        if key is not None:
+            by_words[key] = found[key][0]
+    return [by_words.get(key, (None, None, None, 0)) for key, _ in rows]
+
+
+def test_prefix_depth_reaches_the_recall():
+    k = neardup.prefix_depth()
+    assert 1 - (1 - 0.8**k) ** neardup.TREES >= neardup.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** neardup.TREES
+
+
+def test_similarity_matrix():
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 60)).astype("<u8")) for _ in range(30)]
+    for left, right in ((sets, sets), (sets[:2], sets[2:4])):
+        got = neardup.similar(left, right, 0.5, step=16)
+        for i, a in enumerate(left):
+            for j, b in enumerate(right):
+                shared = len(np.intersect1d(a, b))
+                assert got[i, j] == (2 * shared >= len(a) + len(b) - shared)

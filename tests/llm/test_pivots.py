@@ -1,0 +1,60 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from trailmill.llm import pivots
+
+
+def _brute(rows, k=10):
+    good = {}
+    for key, x in rows:
+        if key is not None and x and all(v is not None and v == v and abs(v) != float("inf") for v in x):
+            good.setdefault(key, set()).add(tuple(int(v * 1024 // 1) for v in x))
+    flat = [(key, v) for key, found in good.items() for v in found]
+    out = set()
+    for q, v in flat:
+        if q % 100 == 0:
+            scored = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in flat if c != q)
+            out |= {(q, i + 1, c, -s) for i, (s, c) in enumerate(scored[:k])}
+    return out
+
+
+def _found(spark, rows):
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("score", F.lit("clash"))
+    return {tuple(r) for r in pivots.top_k(table, F.col("id") % 100 == 0).collect()}
+
+
+def test_ties_copies_and_bad_vectors(spark):
+    rng = random.Random(1)
+    near = [(k, [rng.choice([-1.0, 0.5, 0.25]) for _ in range(4)]) for k in range(330)]
+    hot = [(k, [0.5, 0.5, 0.5, 0.5]) for k in range(330, 600)]
+    bad = [(700, None), (800, []), (900, [1.0, None, 0.0, 0.0]), (1000, [float("nan"), 0.0, 0.0, 0.0]), (1100, [float("inf"), 0.0, 0.0, 0.0]), (None, [1.0] * 4), (5, near[5][1])]
+    rows = near + hot + bad
+    assert _found(spark, rows) == _brute(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(0, [1.0])], [(0, [1.0, 2.0]), (7, [-1.0, 0.5])]])
+def test_few_vectors(spark, rows):
+    assert _found(spark, rows) == _brute(rows)
+
+
+def test_most_annuli_are_left_out_where_vectors_lie_in_clusters(spark):
+    import numpy as np
+
+    random = np.random.default_rng(2)
+    centres = random.normal(size=(8, 16)) * 3
+    data = (centres[random.integers(0, 8, 4000)] + random.normal(size=(4000, 16)) * 0.05).astype(np.float64)
+    whole = np.floor(data * 1024).astype(np.int64)
+    longest = int((whole**2).sum(axis=1).max())
+    found = pivots.fit_pivots(whole[:500], 8)
+    pivot, distance = pivots.nearest_pivot(whole, found, longest)
+    rings = {"ring": np.arange(8), "pivot": np.arange(8), "low": np.array([distance[pivot == p].min() for p in range(8)]), "high": np.array([distance[pivot == p].max() for p in range(8)])}
+    bound = pivots.best_scores(whole[:50], found, rings, longest)
+    scores = whole[:50] @ whole.T
+    for p in range(8):
+        assert (scores[:, pivot == p].max(axis=1) <= bound[:, p]).all()
+    tenth = np.sort(scores, axis=1)[:, -11]
+    assert (bound >= tenth[:, None]).mean() < 0.5

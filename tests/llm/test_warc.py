@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from trailmill.llm import warc
+
+LONG, OTHER = "<p>über " * 40, "x" * 99 + "é"
+
+
+@pytest.fixture(scope="module")
+def pages(spark):
+    rows = [
+        (5, "http://a/5\r\nX: y", LONG), (3, "http://a/3", LONG), (9, None, LONG), (4, "http://a/4", "short"), (6, "http://a/6", "short"),
+        (7, "http://a/7", None), (8, "http://a/8", ""), (None, "http://a/n", LONG), (1, "u", OTHER), (2, "u", OTHER), (10, "u", "z" * 99), (11, "u", "z" * 99),
+        (12, "big", "<b>" * 700_000), (5, "again", LONG),
+    ]
+    return spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("payload_digest", F.lit("clash"))
+
+
+@pytest.fixture(scope="module")
+def folder(pages, tmp_path_factory):
+    path = f"file://{tmp_path_factory.mktemp('warc')}/a"
+    warc.write(pages, path)
+    return path
+
+
+def _digest(text):
+    return hashlib.sha256((text or "").encode()).hexdigest()
+
+
+def test_archives_say_what_the_pages_do(spark, pages, folder):
+    first = {LONG: 3, OTHER: 1}
+    want = []
+    for r in pages.collect():
+        again = r.html in first and r.page_id is not None and r.page_id != first[r.html]
+        want.append((r.page_id, len((r.html or "").encode()), _digest(r.html), "revisit" if again else "response", first[r.html] if again else None))
+    got = warc.checked(warc.read(spark, folder)).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_payloads_round_trip_and_revisits_have_none(spark, pages, folder):
+    bodies = {(r.page_id, r.payload_digest): r.payload for r in warc.read(spark, folder).collect()}
+    assert bodies[3, _digest(LONG)].decode() == LONG and bodies[9, _digest(LONG)] is None
+    assert bodies[7, _digest("")] == b"" and len(bodies[12, _digest("<b>" * 700_000)]) == 2_100_000
+
+
+def test_header_conditions_are_pushed_down_and_skip_payloads(spark, folder, monkeypatch):
+    rows = warc.read(spark, folder).filter("record_type = 'revisit' AND page_id IN (5, 9, 3)")
+    assert sorted(r.page_id for r in rows.collect()) == [5, 5, 9]
+    plan = rows._jdf.queryExecution().executedPlan().toString()
+    assert "record_type" not in plan.split("Filter", 1)[1].split("BatchScan")[0] if "Filter" in plan else True
+    reader = warc.WarcReader({"path": folder}, rows.schema)
+    other = warc.EqualTo(("offset",), 0)
+    assert list(reader.pushFilters([warc.EqualTo(("page_id",), 4), other])) == [other]
+    monkeypatch.setattr(warc.Archive, "payload", lambda self, block, length: opened.append(block) or b"")
+    opened: list[int] = []
+    found = [b for p in reader.partitions() for b in reader.read(p)]
+    assert sum(len(b) for b in found) == 1 and len(opened) == 1
+    assert warc.read(spark, folder, payload=False).filter("payload IS NOT NULL").count() == 0
+
+
+def test_files_outside_the_manifest_do_not_count(spark, pages, tmp_path):
+    path = f"file://{tmp_path}/b"
+    warc.write(pages.limit(3), path)
+    (tmp_path / "b" / "lost.warc").write_bytes(b"half a rec")
+    assert warc.read(spark, path).count() == 3
+
+
+def test_no_pages(spark, pages, tmp_path):
+    warc.write(pages.limit(0), f"file://{tmp_path}/c")
+    assert warc.read(spark, f"file://{tmp_path}/c").count() == 0

@@ -75,17 +75,20 @@ def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text"
     return stored(windows, "benchmark-fingerprints"), held
 
 
+def _grams(words: Column, last: Column, n: int) -> Column:
+    """Structs (at, n, hash) of the n-grams at 1, …, last."""
+    return F.transform(
+        _range(last), lambda i: F.struct(i.alias("at"), F.lit(n).alias("n"), F.xxhash64(_slice(words, i, n)).alias("hash"))
+    )
+
+
 def _marks(words: Column, starts: Column, short: list[int]) -> Column:
     """Structs (at, n, hash) to look up: fingerprints for whole windows, all n-grams for short items.
 
     ``starts`` is the number of places in ``words`` that belong to this stretch.
     """
     found = [F.transform(fingerprints(words), lambda f: F.struct(f["at"].alias("at"), F.lit(WINDOW).alias("n"), f["hash"].alias("hash")))]
-    for n in short:
-        places = _range(F.least(starts, F.size(words) - (n - 1)))
-        found.append(
-            F.transform(places, lambda i, n=n: F.struct(i.alias("at"), F.lit(n).alias("n"), F.xxhash64(_slice(words, i, n)).alias("hash")))
-        )
+    found += [_grams(words, F.least(starts, F.size(words) - (n - 1)), n) for n in short]
     return F.concat(*found) if len(found) > 1 else found[0]
 
 

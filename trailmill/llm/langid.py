@@ -127,11 +127,13 @@ class Parser:
         points = _codes_of_text("\n".join(x.replace("\n", " ") for x in texts))
         ends = np.flatnonzero(points == 10)
         bounds = np.concatenate([[-1], ends, [len(points)]]) + 1
+        owner = np.repeat(np.arange(len(texts)), np.diff(bounds))[: len(points)]
         code = self.code[points]
-        letters = np.concatenate([[0], np.cumsum(code != _SPACE)])
-        counts = letters[np.minimum(bounds[1:] - 1, len(points))] - letters[bounds[:-1]]
-        owner = np.repeat(np.arange(len(texts)), np.diff(bounds))[: len(code)]
-        keep = np.concatenate([[True], ~((code[1:] == _SPACE) & (code[:-1] == _SPACE) & (owner[1:] == owner[:-1]))])[: len(code)]
+        counts = np.bincount(owner[code != _SPACE], minlength=len(texts))
+        inside = points != 10
+        code, owner = code[inside], owner[inside]
+        again = (code[1:] == _SPACE) & (code[:-1] == _SPACE) & (owner[1:] == owner[:-1])
+        keep = np.concatenate([[True], ~again])[: len(code)]
         code, owner = code[keep], owner[keep]
         sizes = np.bincount(owner, minlength=len(texts))
         starts = np.cumsum(sizes) - sizes

@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import LOWER, UPPER, slices, stored
 
@@ -157,6 +157,12 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> Data
     return frame.mapInArrow(run, f"{shape}features array<double>")
 
 
+def _starts(size: int) -> Column:
+    """The distinct beginnings of the longer words, marked as such."""
+    longer = F.filter("words", lambda w: F.char_length(w) > size)
+    return F.array_distinct(F.transform(longer, lambda w: F.concat(F.lit("^"), F.substring(w, 1, size))))
+
+
 def learn_lexicon(texts: DataFrame) -> Lexicon:
     """Terms of ``texts`` (text, toxic 0/1) by their log odds, from the numbers of texts that hold them."""
     totals = texts.groupBy("toxic").count().collect()  # two rows
@@ -165,10 +171,7 @@ def learn_lexicon(texts: DataFrame) -> Lexicon:
         return Lexicon({}, {})
     lowered = F.lower(F.translate("text", UPPER, LOWER))
     words = F.array_distinct(F.regexp_extract_all(lowered, F.lit(r"\p{L}{2,40}"), F.lit(0)))
-    starts = [
-        F.array_distinct(F.transform(F.filter("words", lambda w, n=n: F.char_length(w) > n), lambda w, n=n: F.concat(F.lit("^"), F.substring(w, 1, n))))
-        for n in STARTS
-    ]
+    starts = [_starts(n) for n in STARTS]
     terms = texts.select("toxic", words.alias("words")).select("toxic", F.explode(F.concat("words", *starts)).alias("term"))
     counts = terms.groupBy("term").agg(F.sum("toxic").alias("a"), F.sum(1 - F.col("toxic")).alias("b"))
     a, b = F.col("a") + 0.5, F.col("b") + 0.5

@@ -165,6 +165,8 @@ class WarcReader(DataSourceReader):
         return all(row[n] is not None and (kind == "given" or row[n] in values) for n, kind, values in self.tests)
 
     def read(self, partition):
+        if partition is None:  # a folder without archives is planned as one empty partition
+            return
         archive, rows, held = Archive(partition.uri), [], 0
         for offset, fields, block, length in archive.headers():
             row = _row_of(fields, offset)
