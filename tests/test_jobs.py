@@ -81,7 +81,7 @@ def test_product_job(spark, stored):
 
 def test_a_task_without_matches_replaces_its_earlier_rows(spark, stored):
     more = ("--users", f"{stored}/users")
-    for params in ({"startAge": ["99"]}, {"startAge": ["20"]}, {"startDate": ["2030-01-01"]}):
+    for params in ({"startAge": ["90"], "endAge": ["99"]}, {"startAge": ["20"]}, {"startDate": ["2030-01-01"]}):
         result = _run(spark, stored, "session", params, *more)
         found = {name: result(name, schema).count() for name, schema in reports.SESSION_RESULTS.items()}
         if params == {"startAge": ["20"]}:
