@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from ..plans import scratch
 
 # A word is a run of characters outside these ASCII ranges, after lower-casing A-Z.
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # The same rule for UTF-8 bytes: separators become a space, capitals small letters; bytes from 0x80 stay.
@@ -30,9 +30,8 @@ def byte_words(text: str | None) -> list[bytes]:
 
 def word_column(text: Column) -> Column:
     """The words of a text as an array; empty for a missing text. Built-in functions only."""
-    return F.regexp_extract_all(
-        F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0)
-    )
+    lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
+    return F.array_remove(F.split(lowered, BETWEEN), "")
 
 
 def id_remainder(key: Column, divisor: int) -> Column:

@@ -1,9 +1,8 @@
 """Benchmark decontamination by winnowing, with DataFrame functions only.
 
-Of every 9 consecutive 5-grams of words, the one with the least hash is kept as a fingerprint. Two texts
-that share 13 consecutive words share such a run of 5-grams, hence a fingerprint at the same place of
-the run: joining fingerprints finds every shared window, and comparing the words around a hit leaves
-no false ones. Items of fewer than 13 words are one window; they are found by a hash of all their
+Of every 9 consecutive 5-grams of words, the least hash is kept as a fingerprint. Two texts that share
+13 consecutive words share such a run of 5-grams, hence a fingerprint: joining fingerprints finds every
+shared window. A hit is extended to the window around the gram, word by word, which leaves no false ones. Items of fewer than 13 words are one window; they are found by a hash of all their
 words, looked up at every place.
 """
 
@@ -31,25 +30,18 @@ def _range(last: Column) -> Column:
 
 
 def fingerprints(words: Column, window: int = WINDOW, gram: int = GRAM) -> Column:
-    """Structs (at, hash) of the winnowed grams of ``words``, at from 1; empty below ``window`` words.
-
-    The leftmost of equal least hashes counts, so a window's fingerprint depends on the window alone.
-    """
+    """The distinct least hashes of the runs of grams that each ``window`` words hold; empty below ``window`` words."""
     span = window - gram + 1
     hashes = F.transform(_range(F.size(words) - (gram - 1)), lambda i: F.xxhash64(_slice(words, i, gram)))
-    picked = lambda held: F.array_distinct(
-        F.transform(
-            _range(F.size(words) - (window - 1)),
-            lambda i: F.transform(
-                F.array(_slice(held, i, span)),
-                lambda run: F.struct(
-                    (i - 1 + F.array_position(run, F.array_min(run))).cast("int").alias("at"), F.array_min(run).alias("hash")
-                ),
-            )[0],
-        )
-    )
+    starts = _range(F.size(words) - (window - 1))
     # A one-element array binds the hashes, so that they are computed once.
-    return F.flatten(F.transform(F.array(hashes), picked))
+    least = F.transform(F.array(hashes), lambda held: F.transform(starts, lambda i: F.array_min(_slice(held, i, span))))
+    return F.array_distinct(F.flatten(least))
+
+
+def gram_places(words: Column, hash_: Column, gram: int = GRAM) -> Column:
+    """Where (from 1) the grams of ``words`` have the hash."""
+    return F.filter(_range(F.size(words) - (gram - 1)), lambda i: F.xxhash64(_slice(words, i, gram)) == hash_)
 
 
 def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -65,13 +57,12 @@ def benchmark_windows(items: DataFrame, key: str = "item_id", text: str = "text"
     ).distinct()
     held = stored(held, "benchmark-windows")
     n = F.size("window_words")
-    first = fingerprints(F.col("window_words"))[0]
+    least = F.get(fingerprints(F.col("window_words")), F.lit(0))
     windows = held.select("window_words").distinct().select(
-        "window_words",
-        n.alias("n"),
-        F.when(n == WINDOW, first["hash"]).otherwise(F.xxhash64("window_words")).alias("hash"),
-        F.when(n == WINDOW, first["at"]).otherwise(F.lit(1)).alias("at"),
+        "window_words", n.alias("n"), F.when(n == WINDOW, least).otherwise(F.xxhash64("window_words")).alias("hash")
     )
+    whole = F.get(gram_places(F.col("window_words"), F.col("hash")), F.lit(0))
+    windows = windows.withColumn("at", F.when(F.col("n") == WINDOW, whole).otherwise(F.lit(1)))
     return stored(windows, "benchmark-fingerprints"), held
 
 
@@ -83,11 +74,12 @@ def _grams(words: Column, last: Column, n: int) -> Column:
 
 
 def _marks(words: Column, starts: Column, short: list[int]) -> Column:
-    """Structs (at, n, hash) to look up: fingerprints for whole windows, all n-grams for short items.
+    """Structs (at, n, hash) to look up: fingerprints for whole windows (at unknown), all n-grams for short items.
 
     ``starts`` is the number of places in ``words`` that belong to this stretch.
     """
-    found = [F.transform(fingerprints(words), lambda f: F.struct(f["at"].alias("at"), F.lit(WINDOW).alias("n"), f["hash"].alias("hash")))]
+    unknown = F.lit(None).cast("int").alias("at")
+    found = [F.transform(fingerprints(words), lambda f: F.struct(unknown, F.lit(WINDOW).alias("n"), f.alias("hash")))]
     found += [_grams(words, F.least(starts, F.size(words) - (n - 1)), n) for n in short]
     return F.concat(*found) if len(found) > 1 else found[0]
 
@@ -114,9 +106,12 @@ def hit_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     found = None
     for k in range(rounds):  # one, but for benchmarks beyond the bound
         part = windows if rounds == 1 else windows.filter(F.pmod("hash", F.lit(rounds)) == k)
-        start = F.col("place") - F.col("at") + 1
+        start = F.col("at_word") - F.col("at") + 1
+        # Few fingerprints meet: only for those are the gram's places looked up.
+        places = F.when(F.col("n") == WINDOW, gram_places(F.col("near"), F.col("hash"))).otherwise(F.array("place"))
         hits = (
             marked.join(F.broadcast(part), ["hash", "n"])
+            .withColumn("at_word", F.explode(places))
             .filter((start >= 1) & (_slice(F.col("near"), F.greatest(start, F.lit(1)), F.col("n")) == F.col("window_words")))
             .select("key", (F.col("offset") + start - 1).alias("start"), "n", "window_words")
         )

@@ -16,7 +16,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import LOWER, UPPER, WORD, byte_words, slices, stored
+from .common import BETWEEN, LOWER, UPPER, byte_words, slices, stored
 
 GRAM = 5
 THRESHOLD = 0.8
@@ -351,7 +351,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", re
 def word_digest(text: Column) -> Column:
     """A digest of the words in their order; null for a text without words."""
     lowered = F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER)
-    joined = F.trim(F.regexp_replace(lowered, WORD.replace("[^", "["), " "))
+    joined = F.trim(F.regexp_replace(lowered, BETWEEN, " "))
     return F.when(joined != "", F.sha2(joined, 256))
 
 
