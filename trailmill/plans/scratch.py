@@ -2,23 +2,46 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_MADE: list[tuple[SparkSession, str]] = []
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which every executor can reach.
 
-    Without that setting only a local session gets one, in the machine's temporary folder.
+    It is removed when the driver ends. Without that setting only a local session, as in tests, gets
+    one, in the machine's temporary folder.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.mkdtemp(prefix="trailmill-")
-    return f"{shared.rstrip('/')}/trailmill/{name}-{uuid.uuid4().hex}"
+    folder = f"{shared.rstrip('/')}/trailmill/{name}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(_remove_all)
+    _MADE.append((spark, folder))
+    return folder
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a scratch folder whose tables nobody reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _remove_all() -> None:
+    for spark, folder in _MADE:
+        with contextlib.suppress(Exception):  # the session may be gone
+            remove(spark, folder)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
