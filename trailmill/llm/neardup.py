@@ -9,6 +9,7 @@ a spanning set of the links leave a block, never all pairs of a group.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -55,9 +56,8 @@ class GramHasher:
             known.update((w, xxh3_64_intdigest(w)) for w in new)
         return np.fromiter(map(known.__getitem__, words), "<u8", len(words))
 
-    def grams(self, text: str | None) -> np.ndarray:
+    def grams(self, words: list[bytes]) -> np.ndarray:
         """The distinct 5-grams, sorted; a text of one to four words has one gram, all its words."""
-        words = byte_words(text)
         if not words:
             return np.zeros(0, "<u8")
         codes = self._codes(words)
@@ -90,45 +90,42 @@ def signature(grams: np.ndarray, family, step: int = 2_048) -> np.ndarray:
 _HASHER = GramHasher()
 
 
-def tree_keys(texts: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
-    """(tree, prefix, id): where each of ``texts`` (id, text) stands in each tree at the depth for the recall.
+def sketches(docs: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
+    """(id, digest, prefixes) for every row of ``docs`` (id, text): one pass over the texts, one short row for each.
 
-    Equal prefixes have equal ``prefix``. Texts without words stand in no tree.
+    digest stands for the words in their order; prefixes has the text's place in each tree at the depth for the
+    recall, equal prefixes as equal numbers. Both are null for a text without words.
     """
     level = prefix_depth(recall, threshold, trees, depth)
-    used = trees * level
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        family = _hash_family(trees * depth)
         # Hash functions of each tree beyond the depth in use need not be computed.
         pick = (np.arange(trees)[:, None] * depth + np.arange(level)).reshape(-1)
-        family = (family[0][pick], family[1][pick])
+        family = tuple(x[pick] for x in _hash_family(trees * depth))
         mix = _hash_family(level)[0]
         for batch in batches:
             for part in slices(batch, "text"):
-                ids, rows = [], []
-                for key, text in zip(part.column("id").to_pylist(), part.column("text").to_pylist()):
-                    grams = _HASHER.grams(text)
-                    if len(grams):
-                        ids.append(key)
-                        rows.append(signature(grams, family))
-                if ids:
-                    signatures = np.array(rows).reshape(len(ids), trees, level).astype("<u8")
-                    prefixes = np.zeros((len(ids), trees), "<u8")
-                    for k in range(level):
-                        prefixes = (prefixes ^ signatures[:, :, k]) * mix[k]
-                        prefixes ^= prefixes >> np.uint64(31)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.tile(np.arange(trees, dtype=np.int32), len(ids))),
-                            pa.array(prefixes.reshape(-1).view("<i8")),
-                            pa.array(np.repeat(np.array(ids, np.int64), trees)),
-                        ],
-                        names=["tree", "prefix", "id"],
-                    )
-
-    assert used > 0
-    return texts.select("id", "text").mapInArrow(run, "tree int, prefix bigint, id bigint")
+                digests, rows = [], []
+                for text in part.column("text").to_pylist():
+                    words = byte_words(text)
+                    digests.append(_digest(words))
+                    rows.append(signature(_HASHER.grams(words), family))
+                signatures = np.array(rows).reshape(len(rows), trees, level).astype("<u8")
+                prefixes = np.zeros((len(rows), trees), "<u8")
+                for k in range(level):
+                    prefixes = (prefixes ^ signatures[:, :, k]) * mix[k]
+                    prefixes ^= prefixes >> np.uint64(31)
+                lists = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * trees, prefixes.reshape(-1).view("<i8"))
+                found = pa.array(digests, pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), found, pc.if_else(found.is_valid(), lists, None)], names=["id", "digest", "prefixes"]
+                )
+
+    return docs.select("id", "text").mapInArrow(run, "id bigint, digest string, prefixes array<bigint>")
+
+
+def _digest(words: list[bytes]) -> str | None:
+    return hashlib.sha256(b" ".join(words)).hexdigest() if words else None
 
 
 def candidate_links(keys: DataFrame) -> DataFrame:
@@ -222,7 +219,7 @@ def compare_groups(texts: DataFrame, groups: DataFrame, threshold: float = THRES
     """(a, b, links) of exact comparison within groups: rows with b null add ``links`` to a's number of links; rows with
     both are links enough to span what hangs together.
 
-    ``texts`` has id and text, ``groups`` id and root. A group's texts are laid out in blocks of bounded
+    ``texts`` has id and text, ``groups`` id, digest and root: an id may have other rows too, which are passed over. A group's texts are laid out in blocks of bounded
     size by a running number; each pair of blocks is compared in one row of work.
     """
     blocked = stored(_blocks(texts, groups), "neardup-blocks")
@@ -277,12 +274,13 @@ def _blocks(texts: DataFrame, groups: DataFrame) -> DataFrame:
 
     sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
     sliced = groups.join(sizes, "root").select(
-        "id", "root", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (BLOCK_TEXTS * 0.75))).cast("int").alias("slice")
+        "id", "digest", "root", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (BLOCK_TEXTS * 0.75))).cast("int").alias("slice")
     )
-    members = texts.join(sliced, "id").select("root", "slice", "id", "text")
+    # Always by shuffle: the members grow with the texts.
+    members = texts.join(sliced.hint("merge"), "id").select("root", "slice", "id", "digest", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, total = None, [], 0
+        at, held, total, last = None, [], 0, None
 
         def row():
             return {
@@ -293,8 +291,12 @@ def _blocks(texts: DataFrame, groups: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for part in slices(batch, "text"):
-                for root, piece, key, text in zip(*(part.column(c).to_pylist() for c in ("root", "slice", "id", "text"))):
-                    grams = _HASHER.grams(text)
+                for root, piece, key, digest, text in zip(*(part.column(c).to_pylist() for c in ("root", "slice", "id", "digest", "text"))):
+                    words = byte_words(text)
+                    if _digest(words) != digest or key == last:
+                        continue
+                    last = key
+                    grams = _HASHER.grams(words)
                     if held and ((root, piece) != at or len(held) >= BLOCK_TEXTS or total + len(grams) > BLOCK_GRAMS):
                         out.append(row())
                         held, total = [], 0
@@ -325,13 +327,18 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", re
     A text without words (null, empty) is no duplicate of another: its ids are its own key. A null key
     keeps its row; such a row takes part only if its words are also under a key. Repeated rows are copies.
     """
-    keyed = docs.select(docs[key].cast("bigint").alias("id"), docs[text].cast("string").alias("text")).withColumn("digest", word_digest(F.col("text")))
-    copies = stored(keyed.select("id", "digest"), "neardup-digests")
+    rows = docs.select(docs[key].cast("bigint").alias("id"), docs[text].cast("string").alias("text"))
+    sketched = stored(sketches(rows, recall=recall, threshold=threshold), "neardup-sketches")
     # One key for each distinct sequence of words, by map-side combined minima.
-    least = stored(copies.filter("digest IS NOT NULL AND id IS NOT NULL").groupBy("digest").agg(F.min("id").alias("copy_id")), "neardup-copies")
-    texts = _representatives(keyed, least)
-    links = candidate_links(stored(tree_keys(texts, recall=recall, threshold=threshold), "neardup-trees"))
-    groups = stored(components(links, "neardup-candidates"), "neardup-groups")
+    worded = sketched.filter("digest IS NOT NULL AND id IS NOT NULL").select("id", "digest")
+    least = stored(worded.groupBy("digest").agg(F.min("id").alias("copy_id")), "neardup-copies")
+    # A key that is repeated with other words is one document; the words of the least digest stand for it.
+    nodes = stored(least.groupBy(F.col("copy_id").alias("id")).agg(F.min("digest").alias("digest")), "neardup-nodes")
+    places = sketched.join(nodes, ["id", "digest"]).select("id", F.posexplode("prefixes").alias("tree", "prefix"))
+    links = candidate_links(places)
+    texts = rows.filter("id IS NOT NULL")
+    groups = components(links, "neardup-candidates").join(nodes, "id")
+    groups = stored(groups, "neardup-groups")
     compared = stored(compare_groups(texts, groups, threshold), "neardup-compared")
     classes = components(compared.filter("b IS NOT NULL").select("a", "b"), "neardup-links")
     counts = compared.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("n_links"))
@@ -339,7 +346,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", re
         least.join(classes.withColumnRenamed("id", "copy_id"), "copy_id", "left").join(counts.withColumnRenamed("a", "copy_id"), "copy_id", "left"),
         "neardup-classes",
     )
-    return copies.join(known, "digest", "left").select(
+    return sketched.select("id", "digest").join(known, "digest", "left").select(
         F.col("id").alias(key),
         F.coalesce("root", "copy_id", "id").alias("class_id"),
         F.coalesce("copy_id", "id").alias("copy_id"),
@@ -370,11 +377,3 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     if stay.filter("count > 1").limit(1).count():
         kept = kept.dropDuplicates([key, "__digest"])
     return kept.unionByName(rows.filter("__digest IS NULL")).select(*docs.columns)
-
-
-def _representatives(keyed: DataFrame, least: DataFrame) -> DataFrame:
-    """(id, text), one row for each distinct sequence of words."""
-    return stored(
-        keyed.join(least, [keyed["digest"] == least["digest"], keyed["id"] == least["copy_id"]]).select("id", "text").dropDuplicates(["id"]),
-        "neardup-texts",
-    )
