@@ -6,9 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-# Beyond this n Spark no longer trims groups before the shuffle by itself
-# (the default of spark.sql.optimizer.windowGroupLimitThreshold).
-_GROUP_LIMIT = 1000
+# Beyond this n Spark no longer trims groups before the shuffle by itself.
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 _SALTS = 64
 
 
@@ -21,7 +20,7 @@ def top_n_per_group(
     group holding a third of the table still moves at most n rows per task. Where n is too large
     for that, groups are first ranked in salted parts; the top n of the parts hold the top n.
     """
-    if n > _GROUP_LIMIT:
+    if n > int(df.sparkSession.conf.get(_GROUP_LIMIT)):
         salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(_SALTS))
         part = Window.partitionBy(*keys, "__salt").orderBy(*order)
         df = (
