@@ -52,6 +52,37 @@ def test_licenses(spark, docs_of):
     assert licenses.scan(docs_of([])).count() == 0
 
 
+def _shares(text, templates, block=32):
+    """The largest share of each template that stands in any stretch of so many words, from every place."""
+    w, out = words(text), {}
+    for label, template in templates:
+        t = set(template.split())
+        span = max(block, 2 * len(t))
+        most = max((len(t & set(w[p : p + span])) / len(t) for p in range(len(w))), default=0.0)
+        out[label] = max(most, out.get(label, 0.0))
+    return out
+
+
+def test_notices_are_found_at_every_place(spark, docs_of):
+    notice = (
+        "Confidential and proprietary. Copyright 2020 Acme Inc. All rights were sold. No part of this document may be reproduced or "
+        "transmitted in any form without the prior written permission"
+    )
+    assert 17 < len(words(notice)) <= 32
+    long = [f"term{k}" for k in range(50)]
+    templates = (*licenses.TEMPLATES, ("long", " ".join(long)))
+    wide = "permission is hereby granted, x x x x x x x x x free of charge, to any person x x x obtaining a copy of this software"
+    rows = [(k, "x " * k + notice + " y" * (40 - k)) for k in range(40)]
+    rows += [(100 + k, "x " * k + wide + " y" * 50) for k in range(18)]
+    rows += [(200 + k, "x " * (37 * k) + " z ".join(long[k:]) + " y" * 70) for k in range(14)]
+    rows += [(300, "x " + " z z z z ".join(words(notice))), (301, notice[:60])]
+    got = {r.doc_id: r for r in licenses.scan(docs_of(rows), templates).collect()}
+    for key, text in rows:
+        met = {label: share for label, share in _shares(text, templates).items() if share >= 0.8 - 1e-9}
+        assert (got[key].labels, got[key].score) == (",".join(sorted(met)), max(met.values(), default=0.0)), key
+    assert all(got[k].labels == "proprietary" for k in range(40)) and got[200].labels == "long" and got[300].labels == ""
+
+
 def _contamination(text, items):
     w, hit, found = words(text), set(), set()
     for key, item in items:

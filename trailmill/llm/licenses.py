@@ -1,11 +1,12 @@
 """License scans with DataFrame functions only: exact phrases, and an exact set-similarity join.
 
-Texts are cut into overlapping blocks of words. A block meets a template if it holds at least
-THRESHOLD of the template's distinct words. The join orders the template words by how many
-documents have them, rarest first. A template of n words that must share m of them is indexed by its
-first n - m + 1 words alone: a block with none of those cannot meet it (prefix filter). Blocks with fewer
-than m distinct words are left out (length filter), and so are those whose later words cannot make up
-m any more (positional filter). What remains is counted exactly.
+Every stretch of words is a block: BLOCK words from each place of a text, or twice the template's distinct words where
+that is more. A block meets a template if it holds at least THRESHOLD of the template's distinct words. The join
+orders the template words by how many documents have them, rarest first. A template of n words that must share m of
+them is indexed by its first n - m + 1 words alone: a text with none of those has no block that meets it (prefix
+filter). Texts with fewer than m words are left out (length filter), and so are those whose later words cannot make up
+m any more (positional filter). In the texts that remain, the blocks from each template word with m template words
+in reach are counted exactly. No other block holds more: moved on to its first template word, it still holds them all.
 """
 
 from __future__ import annotations
@@ -35,7 +36,7 @@ TEMPLATES = (
     ("proprietary", "confidential and proprietary no part may be reproduced without written permission"),
 )
 THRESHOLD = 0.8
-BLOCK, STEP = 32, 16
+BLOCK, STEP = 32, 1
 
 
 @dataclass(frozen=True)
@@ -49,6 +50,11 @@ class Template:
     def prefix(self) -> tuple[str, ...]:
         return self.words[: len(self.words) - self.least + 1]
 
+    @property
+    def span(self) -> int:
+        """Words of a block."""
+        return max(BLOCK, 2 * len(self.words))
+
 
 def order_templates(templates, frequency: dict[str, int], threshold: float) -> list[Template]:
     """Templates with their distinct words in global order: rarest first, ties by the word."""
@@ -69,16 +75,18 @@ def _texts(values) -> Column:
     return F.lit(list(values)) if values else F.array().cast("array<string>")
 
 
-def blocks_of(words: Column, block: int = BLOCK, step: int = STEP) -> Column:
-    """Structs (at, words): stretches of ``block`` words, one every ``step`` words, the last one whole at the end."""
-    last = F.ceil(F.greatest(F.size(words) - block, F.lit(0)) / step).cast("int")
-    return F.transform(
-        F.sequence(F.lit(0), last), lambda k: F.struct((k * step).alias("at"), F.slice(words, k * step + 1, block).alias("words"))
-    )
+def starts_of(words: Column, wanted: Column, least: Column, span: Column) -> Column:
+    """Places (from 0) of ``wanted`` words that have ``least`` of them, repeats counted, within ``span`` words from there."""
+    places = F.filter(F.sequence(F.lit(0), F.size(words) - 1), lambda i: F.array_contains(wanted, F.get(words, i)))
+    # Each place beside the one that is `least` - 1 further on.
+    return F.array_compact(F.zip_with(places, F.slice(places, least, F.size(words)), lambda p, q: F.when(q < p + span, p)))
 
 
 def matching_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, at, template, label, share) for every block and template that meet; ``docs`` has key and words."""
+    """(key, at, template, label, share) for every template and block that meet; ``docs`` has key and words.
+
+    at is the block's first word, which is one of the template's.
+    """
     spark = docs.sparkSession
     vocabulary = sorted({w for _, text in templates for w in text.split()})
     frequency = document_frequency(docs, vocabulary)
@@ -86,25 +94,31 @@ def matching_blocks(docs: DataFrame, templates=TEMPLATES, threshold: float = THR
     order = sorted(vocabulary, key=lambda w: (frequency.get(w, 0), w))
     heads = sorted({w for t in ordered for w in t.prefix})
     index = spark.createDataFrame(
-        [(w, i, t.number, t.label, list(t.words), t.least) for t in ordered for i, w in enumerate(t.prefix)],
-        "word string, place int, template int, label string, template_words array<string>, least int",
+        [(w, i, t.number, t.label, list(t.words), t.least, t.span) for t in ordered for i, w in enumerate(t.prefix)],
+        "word string, place int, template int, label string, template_words array<string>, least int, span int",
     )
-    blocks = (
-        docs.filter(F.arrays_overlap("words", _texts(heads)))
-        .select("key", F.explode(blocks_of(F.col("words"))).alias("block"))
-        .filter(F.arrays_overlap("block.words", _texts(heads)))
-        .select("key", "block.at", F.array_intersect(_texts(order), F.col("block.words")).alias("held"), F.size(F.array_distinct("block.words")).alias("size"))
+    texts = docs.filter(F.arrays_overlap("words", _texts(heads))).select(
+        "key", "words", F.array_intersect(_texts(order), "words").alias("held")
     )
-    probes = blocks.select("key", "at", "held", "size", F.explode(F.array_intersect("held", _texts(heads))).alias("word"))
+    probes = texts.select("key", "words", "held", F.explode(F.array_intersect("held", _texts(heads))).alias("word"))
     # The index has as many rows as the templates have prefix words.
-    pairs = probes.join(F.broadcast(index), "word").filter(F.col("size") >= F.col("least"))
+    pairs = probes.join(F.broadcast(index), "word").filter(F.size("words") >= F.col("least"))
     behind = F.size("held") - F.array_position("held", F.col("word")).cast("int")
     reach = 1 + F.least(behind, F.size("template_words") - F.col("place") - 1)
     # At the pair's first common word, no more than `reach` words are still to be shared.
     first = F.element_at(F.array_intersect("template_words", "held"), 1) == F.col("word")
-    shared = F.size(F.array_intersect("template_words", "held"))
-    met = pairs.filter(first & (reach >= F.col("least"))).filter(shared >= F.col("least"))
-    return met.select("key", "at", "template", "label", (shared / F.size("template_words")).alias("share"))
+    able = pairs.filter(first & (reach >= F.col("least"))).filter(F.size(F.array_intersect("template_words", "held")) >= F.col("least"))
+
+    def block(at: Column) -> Column:
+        held = F.array_intersect("template_words", F.slice("words", at + 1, F.col("span")))
+        return F.struct(at.alias("at"), F.size(held).alias("shared"))
+
+    blocks = F.transform(starts_of(F.col("words"), F.col("template_words"), F.col("least"), F.col("span")), block)
+    met = able.select(
+        "key", "template", "label", F.size("template_words").alias("n"),
+        F.explode(F.filter(blocks, lambda b: b.shared >= F.col("least"))).alias("block"),
+    )
+    return met.select("key", "block.at", "template", "label", (F.col("block.shared") / F.col("n")).alias("share"))
 
 
 def phrase_places(words: Column, phrase: str) -> Column:
