@@ -91,6 +91,48 @@ def ordered(rows):
     return [by_words.get(key, (None, None, None, 0)) for key, _ in rows]
 
 
+def texts_brute(rows):
+    """Like ``brute``, but with a node for each sequence of words, so one key may have several; and the texts that stay."""
+    first = {}
+    for key, text in rows:
+        words = tuple(byte_words(text))
+        first[words] = min(key, first.get(words, key))
+    rank = sorted(first, key=lambda w: (first[w], neardup._digest(list(w))))
+    grams = [{w[i : i + 5] for i in range(max(1, len(w) - 4))} for w in rank]
+    near = [[i != j and 5 * len(a & b) >= 4 * len(a | b) for j, b in enumerate(grams)] for i, a in enumerate(grams)]
+    root = list(range(len(rank)))
+    for _ in rank:
+        root = [min([root[i], *(root[j] for j in range(len(rank)) if near[i][j])]) for i in range(len(rank))]
+    out = []
+    for key, text in rows:
+        k = rank.index(tuple(byte_words(text)))
+        out.append((key, first[rank[root[k]]], first[rank[k]], sum(near[k])))
+    return sorted(out), sorted((first[w], w) for k, w in enumerate(rank) if root[k] == k)
+
+
+def test_different_texts_of_one_key_are_compared_each(spark, docs_of):
+    def text(mark, changed=None):
+        return " ".join(changed if k == 60 and changed else f"{mark}{k}" for k in range(120))
+
+    near = text("a", "changed")
+    low, high = (
+        next(t for t in (text(f"b{n}x") for n in range(99)) if (neardup._digest(byte_words(t)) < neardup._digest(byte_words(near))) == less)
+        for less in (True, False)
+    )
+    for other in (low, high):
+        rows = [(3, text("a")), (7, near), (7, other), (9, other)]
+        got = sorted(map(tuple, neardup.near_duplicates(docs_of(rows)).collect()))
+        assert got == [(3, 3, 3, 1), (7, 3, 7, 1), (7, 7, 7, 0), (9, 7, 7, 0)] == texts_brute(rows)[0]
+        kept = sorted((r.doc_id, r.text) for r in neardup.one_of_each(docs_of(rows)).collect())
+        assert kept == [(3, text("a")), (7, other)]
+    # One key for many texts, near and far; copies under it and under others.
+    rows = [(5, text(f"c{n}")) for n in range(20)] + [(5, text("c0", f"own{n}")) for n in range(20)] + [(5, text("c1", "x")), (4, text("c1", "y"))]
+    rows += [(5, text("c2").upper()), (5, text("c2")), (6, text("c2")), (2, text("c3", "z")), (8, text("c3", "z"))]
+    want, stay = texts_brute(rows)
+    assert sorted(map(tuple, neardup.near_duplicates(docs_of(rows)).collect())) == want
+    assert sorted((r.doc_id, tuple(byte_words(r.text))) for r in neardup.one_of_each(docs_of(rows)).collect()) == stay
+
+
 def test_prefix_depth_reaches_the_recall():
     k = neardup.prefix_depth()
     assert 1 - (1 - 0.8**k) ** neardup.TREES >= neardup.RECALL > 1 - (1 - 0.8 ** (k + 1)) ** neardup.TREES

@@ -91,7 +91,7 @@ _HASHER = GramHasher()
 
 
 def sketches(docs: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
-    """(id, digest, prefixes) for every row of ``docs`` (id, text): one pass over the texts, one short row for each.
+    """(id, mark, digest, prefixes) for every row of ``docs`` (id, mark, text): one pass over the texts, one short row for each.
 
     digest stands for the words in their order; prefixes has the text's place in each tree at the depth for the
     recall, equal prefixes as equal numbers. Both are null for a text without words.
@@ -118,10 +118,11 @@ def sketches(docs: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: fl
                 lists = pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * trees, prefixes.reshape(-1).view("<i8"))
                 found = pa.array(digests, pa.string())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), found, pc.if_else(found.is_valid(), lists, None)], names=["id", "digest", "prefixes"]
+                    [part.column("id"), part.column("mark"), found, pc.if_else(found.is_valid(), lists, None)],
+                    names=["id", "mark", "digest", "prefixes"],
                 )
 
-    return docs.select("id", "text").mapInArrow(run, "id bigint, digest string, prefixes array<bigint>")
+    return docs.select("id", "mark", "text").mapInArrow(run, "id bigint, mark bigint, digest string, prefixes array<bigint>")
 
 
 def _digest(words: list[bytes]) -> str | None:
@@ -219,7 +220,8 @@ def compare_groups(texts: DataFrame, groups: DataFrame, threshold: float = THRES
     """(a, b, links) of exact comparison within groups: rows with b null add ``links`` to a's number of links; rows with
     both are links enough to span what hangs together.
 
-    ``texts`` has id and text, ``groups`` id, digest and root: an id may have other rows too, which are passed over. A group's texts are laid out in blocks of bounded
+    a and b are nodes. ``texts`` has id, mark and text; ``groups`` node, id, mark, digest and root: the node's text is one of
+    that id and mark, and other rows of theirs are passed over. A group's texts are laid out in blocks of bounded
     size by a running number; each pair of blocks is compared in one row of work.
     """
     blocked = stored(_blocks(texts, groups), "neardup-blocks")
@@ -265,19 +267,19 @@ def _unpacked(ids: bytes, sizes: bytes, grams: bytes) -> tuple[list[np.ndarray],
 
 
 def _blocks(texts: DataFrame, groups: DataFrame) -> DataFrame:
-    """(root, block, ids, sizes, grams): a group's texts, so many in each row.
+    """(root, block, ids, sizes, grams): a group's texts, so many in each row; ids are nodes.
 
-    Texts of a group are spread over slices by a hash of the id, each small by the group's own size; a slice is cut
+    Texts of a group are spread over slices by a hash of the node, each small by the group's own size; a slice is cut
     further where its grams are many. Block numbers are then made gapless.
     """
     from pyspark.sql import Window as W
 
     sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
     sliced = groups.join(sizes, "root").select(
-        "id", "digest", "root", F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / (BLOCK_TEXTS * 0.75))).cast("int").alias("slice")
+        "node", "id", "mark", "digest", "root", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / (BLOCK_TEXTS * 0.75))).cast("int").alias("slice")
     )
     # Always by shuffle: the members grow with the texts.
-    members = texts.join(sliced.hint("merge"), "id").select("root", "slice", "id", "digest", "text")
+    members = texts.join(sliced.hint("merge"), ["id", "mark"]).select("root", "slice", "node", "digest", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, total, last = None, [], 0, None
@@ -291,7 +293,7 @@ def _blocks(texts: DataFrame, groups: DataFrame) -> DataFrame:
         for batch in batches:
             out = []
             for part in slices(batch, "text"):
-                for root, piece, key, digest, text in zip(*(part.column(c).to_pylist() for c in ("root", "slice", "id", "digest", "text"))):
+                for root, piece, key, digest, text in zip(*(part.column(c).to_pylist() for c in ("root", "slice", "node", "digest", "text"))):
                     words = byte_words(text)
                     if _digest(words) != digest or key == last:
                         continue
@@ -308,7 +310,7 @@ def _blocks(texts: DataFrame, groups: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_pylist([row()], schema=shape)
 
     shape = pa.schema([("root", pa.int64()), ("slice", pa.int32()), ("ids", pa.binary()), ("sizes", pa.binary()), ("grams", pa.binary())])
-    ordered = members.repartition("root", "slice").sortWithinPartitions("root", "slice", "id")
+    ordered = members.repartition("root", "slice").sortWithinPartitions("root", "slice", "node")
     packed = ordered.mapInArrow(pack, "root bigint, slice int, ids binary, sizes binary, grams binary")
     packed = stored(packed, "neardup-packed")
     # Numbers over short rows (one for each block): the block's place in its group.
@@ -323,35 +325,40 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", re
     """One row for each row of ``docs``: key, class_id, copy_id and n_links.
 
     copy_id is the least key with the same words in the same order; class_id the least key of all texts that hang together by
-    links; n_links the number of other copy_ids whose 5-grams have Jaccard similarity ``threshold`` or more with this one's.
+    links; n_links the number of other texts (sequences of words) whose 5-grams have Jaccard similarity ``threshold`` or more
+    with this one's. Texts are compared, not keys: different texts under one key each have their own links and class.
     A text without words (null, empty) is no duplicate of another: its ids are its own key. A null key
     keeps its row; such a row takes part only if its words are also under a key. Repeated rows are copies.
+    ``with_digest`` adds the words' digest, and first: whether the text stands for its class, the least digest under the least key.
     """
     rows = docs.select(docs[key].cast("bigint").alias("id"), docs[text].cast("string").alias("text"))
+    rows = rows.withColumn("mark", F.xxhash64("text"))
     sketched = stored(sketches(rows, recall=recall, threshold=threshold), "neardup-sketches")
     # One key for each distinct sequence of words, by map-side combined minima.
     worded = sketched.filter("digest IS NOT NULL AND id IS NOT NULL").select("id", "digest")
-    least = stored(worded.groupBy("digest").agg(F.min("id").alias("copy_id")), "neardup-copies")
-    # A key that is repeated with other words is one document; the words of the least digest stand for it.
-    nodes = stored(least.groupBy(F.col("copy_id").alias("id")).agg(F.min("digest").alias("digest")), "neardup-nodes")
-    places = sketched.join(nodes, ["id", "digest"]).select("id", F.posexplode("prefixes").alias("tree", "prefix"))
+    least = worded.groupBy("digest").agg(F.min("id").alias("copy_id"))
+    # A node for each sequence of words, numbered in the order of key and digest: the least node of a class has its least key.
+    nodes = least.orderBy("copy_id", "digest").select("digest", "copy_id", F.monotonically_increasing_id().alias("node"))
+    nodes = stored(nodes, "neardup-nodes")
+    keyed = nodes.withColumnRenamed("copy_id", "id")
+    places = sketched.join(keyed, ["id", "digest"]).select(F.col("node").alias("id"), F.posexplode("prefixes").alias("tree", "prefix"))
     links = candidate_links(places)
     texts = rows.filter("id IS NOT NULL")
-    groups = components(links, "neardup-candidates").join(nodes, "id")
-    groups = stored(groups, "neardup-groups")
+    groups = components(links, "neardup-candidates").withColumnRenamed("id", "node").join(keyed, "node")
+    # A key may have many texts: they are fetched by key and mark, the least mark of the texts with the node's words.
+    groups = sketched.select("id", "digest", "mark").join(groups, ["id", "digest"])
+    groups = stored(groups.groupBy("node", "id", "digest", "root").agg(F.min("mark").alias("mark")), "neardup-groups")
     compared = stored(compare_groups(texts, groups, threshold), "neardup-compared")
-    classes = components(compared.filter("b IS NOT NULL").select("a", "b"), "neardup-links")
-    counts = compared.filter("b IS NULL").groupBy("a").agg(F.sum("links").alias("n_links"))
-    known = stored(
-        least.join(classes.withColumnRenamed("id", "copy_id"), "copy_id", "left").join(counts.withColumnRenamed("a", "copy_id"), "copy_id", "left"),
-        "neardup-classes",
-    )
+    classes = components(compared.filter("b IS NOT NULL").select("a", "b"), "neardup-links").withColumnRenamed("id", "node")
+    classes = classes.join(nodes.select(F.col("node").alias("root"), F.col("copy_id").alias("class_id")), "root")
+    counts = compared.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
+    known = stored(nodes.join(classes, "node", "left").join(counts, "node", "left"), "neardup-classes")
     return sketched.select("id", "digest").join(known, "digest", "left").select(
         F.col("id").alias(key),
-        F.coalesce("root", "copy_id", "id").alias("class_id"),
+        F.coalesce("class_id", "copy_id", "id").alias("class_id"),
         F.coalesce("copy_id", "id").alias("copy_id"),
         F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
-        *["digest"] * with_digest,
+        *["digest", F.coalesce(F.col("root") == F.col("node"), F.lit(True)).alias("first")] * with_digest,
     )
 
 
@@ -363,13 +370,15 @@ def word_digest(text: Column) -> Column:
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay when one row of each class of near duplicates is kept: the one with the least key.
+    """The rows of ``docs`` that stay when one row of each class of near duplicates is kept: the one with the least key,
+    and of several texts under that key the one with the least digest.
 
     Rows without words stay, all of them. Rows with a null key stay if nothing with a key has their words, one for
     each sequence of words; of rows that repeat key and words one stays.
     """
     classes = stored(near_duplicates(docs, key, text, with_digest=True), "neardup-rows")
-    stay = classes.filter(F.col("digest").isNotNull() & F.col(key).eqNullSafe(F.col("class_id"))).groupBy(F.col(key).alias("k"), "digest").count()
+    stands = F.col("digest").isNotNull() & F.col("first") & F.col(key).eqNullSafe(F.col("class_id"))
+    stay = classes.filter(stands).groupBy(F.col(key).alias("k"), "digest").count()
     stay = stored(stay, "neardup-stay")
     rows = docs.withColumn("__digest", word_digest(docs[text].cast("string")))
     matched = F.col(key).eqNullSafe(F.col("k")) & F.col("__digest").eqNullSafe(F.col("digest"))
