@@ -1,8 +1,8 @@
-"""Near-duplicate join: word 5-grams with Jaccard similarity of at least 0.8, by an LSH forest.
+"""Near-duplicate join: word 5-grams with Jaccard similarity of at least 0.8, by MinHash banding.
 
-Each tree of the forest is a sorted list of the texts' MinHash signatures, a trie of its prefixes. Texts
-that share a prefix are candidates; prefixes start at full length and are shortened until the chance that a pair at
-the threshold shares one in some tree reaches the target recall, so at that depth the search stops. Candidates that hang
+This is not a whole LSH forest: no signatures are sorted, and no prefix longer than the fixed depth is tried. Texts that share
+the prefix of that depth in some tree are candidates; the depth is the longest at which the chance that a pair at the threshold
+shares one reaches the target recall (``prefix_depth``). Candidates that hang
 together form groups; in each group every pair is then compared exactly, in blocks, and only counts and
 a spanning set of the links leave a block, never all pairs of a group.
 """
