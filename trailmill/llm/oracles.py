@@ -112,4 +112,55 @@ FROM documents d LEFT JOIN base b ON b.t = d.text LEFT JOIN found f ON f.t = d.t
 """
 
 
-ORACLES: dict[str, str] = {"op2_top_k": OP2, "op6_warc": OP6, "op7_licenses": _op7(), "op8_decontamination": OP8}
+OP13 = r"""
+WITH hashed AS (
+    -- crc32 bit by bit; 3988292384 is its polynomial, reversed
+    SELECT doc_id, text, xor(4294967295, list_reduce([4294967295] || flatten([[(ord(c) >> k) & 1 FOR k IN range(8)] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')]),
+        lambda crc, b: xor(crc >> 1, 3988292384 * (xor(crc, b) & 1)))) AS h
+    FROM documents
+), split AS (
+    SELECT doc_id, h // 10 AS g, h % 10 = 0 AS planted,
+           regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+    FROM hashed
+), tails AS (
+    SELECT doc_id, w, len(w) AS n, g % len(w) AS a, 1 + (len(w) - g % len(w)) // (3 + g % 8) AS p
+    FROM split WHERE planted AND len(w) > 0
+), texts AS (
+    SELECT doc_id, len(w) AS n, w FROM split WHERE NOT planted OR len(w) = 0
+    UNION ALL
+    SELECT doc_id, n, [w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END] FOR i IN range(n)] FROM tails
+), places AS (
+    SELECT doc_id, n, unnest(w) AS word, unnest(range(n)) AS i FROM texts
+), same AS (
+    SELECT x.doc_id, x.i, y.i - x.i AS q
+    FROM places x JOIN places y ON y.doc_id = x.doc_id AND y.word = x.word AND y.i > x.i AND y.i - x.i <= x.n // 4
+), islands AS (
+    SELECT doc_id, q, min(i) AS s, count(*) + q AS n
+    FROM (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same)
+    GROUP BY doc_id, q, island
+), runs AS (
+    -- a stretch's smallest period
+    SELECT doc_id, s, n, min(q) AS q FROM islands WHERE n >= greatest(6, 4 * q) GROUP BY doc_id, s, n
+), told AS (
+    SELECT doc_id, count(*) AS n_runs, min((-n, s, q)) AS best,
+           string_agg(s || ',' || n || ',' || q || chr(10), '' ORDER BY s, q) AS lines
+    FROM runs GROUP BY doc_id
+), dropped AS (
+    SELECT DISTINCT doc_id, unnest(range(s + q, s + n)) AS i FROM runs
+), collapsed AS (
+    SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS kept
+    FROM places p LEFT JOIN dropped d ON d.doc_id = p.doc_id AND d.i = p.i WHERE d.i IS NULL GROUP BY p.doc_id
+)
+SELECT t.doc_id, coalesce(r.n_runs, 0) AS n_runs, r.best[2] AS start, -r.best[1] AS length, r.best[3] AS period,
+       1000 * -r.best[1] // r.best[3] AS exponent_milli,
+       sha256(coalesce(r.lines, '')) AS runs_sha256, sha256(coalesce(c.kept, '')) AS collapsed_sha256
+FROM texts t LEFT JOIN told r ON r.doc_id = t.doc_id LEFT JOIN collapsed c ON c.doc_id = t.doc_id
+"""
+
+ORACLES: dict[str, str] = {
+    "op2_top_k": OP2,
+    "op6_warc": OP6,
+    "op7_licenses": _op7(),
+    "op8_decontamination": OP8,
+    "op13_periodic_runs": OP13,
+}

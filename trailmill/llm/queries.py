@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, neardup, packing, pfor, pivots, tokencount, toxicity, warc
+from . import decontaminate, langid, licenses, neardup, packing, pfor, pivots, runs, tokencount, toxicity, warc
 from .common import id_remainder, read_table
 
 
@@ -75,6 +75,12 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return pfor.read_tokens(manifest, with_ids=False)
 
 
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    hashed = id_remainder(F.col("doc_id"), 2**32)
+    seed = F.when(hashed % 10 == 0, F.call_function("div", hashed, F.lit(10)))
+    return runs.digests(runs.periodic_runs(read_table(spark, folder, "documents"), seed=seed))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -88,5 +94,6 @@ QUERIES = {
         op8_decontamination,
         op9_toxicity,
         op10_token_files,
+        op13_periodic_runs,
     )
 }
