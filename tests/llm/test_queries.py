@@ -12,7 +12,7 @@ FOLDER = "/root/testdata/sf0.001"
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == [*range(1, 11), 13]
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES) == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= entry.queries().keys()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import decontaminate, langid, licenses, neardup, packing, pfor, pivots, runs, tokencount, toxicity, warc
+from . import bestfit, crosstok, decontaminate, langid, licenses, neardup, packing, pfor, pivots, runs, tokencount, toxicity, warc
 from .common import id_remainder, read_table
 
 
@@ -75,6 +75,20 @@ def op10_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return pfor.read_tokens(manifest, with_ids=False)
 
 
+def op11_best_fit(spark: SparkSession, folder: str) -> DataFrame:
+    return bestfit.pack_documents(
+        read_table(spark, folder, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return crosstok.align(
+        read_table(spark, folder, "documents"),
+        public_tokenizers.path("byte_bpe_50k.json"),
+        public_tokenizers.path("piece_bpe_32k.model"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     hashed = id_remainder(F.col("doc_id"), 2**32)
     seed = F.when(hashed % 10 == 0, F.call_function("div", hashed, F.lit(10)))
@@ -94,6 +108,8 @@ QUERIES = {
         op8_decontamination,
         op9_toxicity,
         op10_token_files,
+        op11_best_fit,
+        op12_tokenizer_alignment,
         op13_periodic_runs,
     )
 }

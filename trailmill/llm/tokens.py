@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -64,7 +65,7 @@ class PieceEncoder:
             elif text[0] == " ":
                 text = _WRITTEN[0x20] + text[1:]
             found = model.tokenize(text)
-            out.append(found[0].id.to_bytes(4, "little") if len(found) == 1 else np.array([t.id for t in found], "<u4").tobytes())
+            out.append(found[0].id.to_bytes(4, "little") if len(found) == 1 else array("I", [t.id for t in found]).tobytes())
         return out
 
     def split(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
@@ -82,22 +83,28 @@ class PieceEncoder:
         counts = np.asarray(pc.list_value_length(lists), dtype=np.int64)
         return np.concatenate([[0], np.cumsum(counts)]), lists.flatten()
 
-    def resolve(self, pieces: list[str]) -> list[bytes]:
-        """The ids of each distinct piece, as little-endian bytes."""
-        known = self.pieces
-        new = [x for x in pieces if x not in known]
-        if not new:
-            return [known[x] for x in pieces]
+    def fresh(self, new: list[str]) -> dict[str, bytes]:
+        """The ids of pieces not seen before."""
         plain, odd = [], []
         for x in new:
             (plain if _PLAIN.fullmatch(x) else odd).append(x)
         lowered = [x.lower() for x in plain] if self.drops_space else plain
-        fresh = dict(zip(plain, self.merged(lowered)))
-        fresh.update(zip(odd, self.library(odd)))
-        found = [known[x] if x in known else fresh[x] for x in pieces]
-        if len(known) + len(fresh) > self.kept:
-            known.clear()
-        known.update((k, v) for k, v in fresh.items() if len(k) <= _LONGEST_KEPT)
+        found = dict(zip(plain, self.merged(lowered)))
+        found.update(zip(odd, self.library(odd)))
+        return found
+
+    def resolve(self, pieces: list[str]) -> list[bytes]:
+        """The ids of each distinct piece, as little-endian bytes."""
+        known = self.pieces
+        found = list(map(known.get, pieces))
+        missing = [i for i, x in enumerate(found) if x is None]
+        if missing:
+            fresh = self.fresh([pieces[i] for i in missing])
+            for i in missing:
+                found[i] = fresh[pieces[i]]
+            if len(known) + len(fresh) > self.kept:
+                known.clear()
+            known.update((k, v) for k, v in fresh.items() if len(k) <= _LONGEST_KEPT)
         return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -107,7 +114,7 @@ class PieceEncoder:
         coded = flat.dictionary_encode()
         found = self.resolve(coded.dictionary.to_pylist())
         pool = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter((len(x) // 4 for x in found), np.int64, len(found))
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
         firsts = np.cumsum(sizes) - sizes
         index = np.asarray(coded.indices)
         each = sizes[index]
