@@ -1,0 +1,90 @@
+"""Tables in folders by day: what a batch reads and writes, and that closed days stay as they are."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from fixtures import tuples
+
+from trailmill.sinks.days import DayTable, open_from
+
+SCHEMA = "date string, k long, click_count long"
+COLUMNS = ("date", "k", "click_count")
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return DayTable(f"{tmp_path}/t", spark.createDataFrame([], SCHEMA).schema, ("date", "k"), 2)
+
+
+def _rows(spark, *rows):
+    return spark.createDataFrame(list(rows), SCHEMA)
+
+
+def _files(table, day):
+    root = f"{table.path}/day={day}"
+    return {
+        f"{at}/{name}": os.stat(f"{at}/{name}").st_mtime_ns for at, _, names in os.walk(root) for name in names if name.endswith(".parquet")
+    }
+
+
+def test_latest_row_of_a_key_wins_within_its_day(spark, table):
+    assert table.latest(spark).collect() == [] and table.days(spark) == []
+    assert table.publish(_rows(spark, ("d1", 1, 1), ("d2", 1, 5)), 0) == ["d1", "d2"]
+    assert table.publish(_rows(spark, ("d2", 1, 6), ("d2", 2, 1)), 1) == ["d2"]
+    assert tuples(table.latest(spark), *COLUMNS) == [("d1", 1, 1), ("d2", 1, 6), ("d2", 2, 1)]
+    assert tuples(table.latest(spark, ["d2"]), *COLUMNS) == [("d2", 1, 6), ("d2", 2, 1)]
+    assert table.publish(_rows(spark), 2) == []
+
+
+def test_a_batch_reads_only_the_days_it_touched(spark, table):
+    table.publish(_rows(spark, ("d1", 1, 1), ("d2", 1, 5)), 0)
+    days = table.publish(_rows(spark, ("d2", 1, 6)), 1)
+    read = table.latest(spark, days).inputFiles()
+    assert read and all("/day=d2/" in name for name in read)
+    assert all("/batch-1/" in name for name in table.batch_rows(spark, 1, days).inputFiles())
+    before = _files(table, "d1")
+    table.tidy(spark, days, every=2)
+    assert _files(table, "d1") == before and any("/snapshot-1/" in name for name in _files(table, "d2"))
+    assert tuples(table.batch_rows(spark, 1, days), *COLUMNS) == [("d2", 1, 6)]  # from the snapshot
+
+
+def test_closed_days_are_never_rewritten(spark, table):
+    for batch in range(3):
+        table.publish(_rows(spark, ("d1", batch, batch), ("d2", 1, batch)), batch)
+    assert table.close(spark, "d2") == []  # the snapshot; readers may still be at the batches
+    assert {n.split("/")[-2] for n in _files(table, "d1")} == {"batch-0", "batch-1", "batch-2", "snapshot-2"}
+    assert table.close(spark, "d2") == ["d1"]
+    assert table.open_days(spark) == ["d2"]
+    closed = _files(table, "d1")
+    assert {n.split("/")[-2] for n in closed} == {"snapshot-2"}
+    for batch in range(3, 9):
+        table.tidy(spark, table.publish(_rows(spark, ("d2", 1, batch), ("d3", 1, 1)), batch), every=2)
+        table.close(spark, "d2")
+    assert _files(table, "d1") == closed
+    assert tuples(table.latest(spark), *COLUMNS) == [("d1", 0, 0), ("d1", 1, 1), ("d1", 2, 2), ("d2", 1, 8), ("d3", 1, 1)]
+    assert table.publish(_rows(spark, ("d1", 0, 7)), 2) == ["d1"]  # a replay: the day has this batch
+    assert _files(table, "d1") == closed
+    with pytest.raises(ValueError, match="closed"):
+        table.publish(_rows(spark, ("d1", 0, 7)), 9)
+
+
+def test_a_batch_lost_between_two_days_is_completed(spark, table, monkeypatch):
+    rows = _rows(spark, ("d1", 1, 1), ("d2", 1, 1))
+    real = DayTable.day
+    monkeypatch.setattr(DayTable, "day", lambda self, day: real(self, day) if day == "d1" else 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        table.publish(rows, 0)
+    monkeypatch.setattr(DayTable, "day", real)
+    assert table.days(spark) == ["d1"]
+    first = _files(table, "d1")
+    assert table.publish(rows, 0) == ["d1", "d2"]
+    assert _files(table, "d1") == first
+    assert tuples(table.latest(spark), *COLUMNS) == [("d1", 1, 1), ("d2", 1, 1)]
+
+
+def test_days_behind_the_watermark(spark):
+    assert open_from(spark, "2024-03-02", "1 day") == "2024-03-01"
+    assert open_from(spark, "2024-03-02", "60 minutes") == "2024-03-01"
+    assert open_from(spark, "2024-03-02", "0 seconds") == "2024-03-02"

@@ -4,14 +4,30 @@ import random
 
 import pytest
 from fixtures import actions, at, tuples
+from pyspark.sql import functions as F
 
 from trailmill.operators import funnel
 from trailmill.params import PageFlow, ParameterError
 from trailmill.sources.tables import with_event_time
 
 
-def _pairs(rows, **kwargs):
-    return {(a, b): n for a, b, n in tuples(funnel.page_pairs(rows, **kwargs), "from_page", "to_page", "pv")}
+def _pairs(rows):
+    return {(a, b): n for a, b, n in tuples(funnel.page_pairs(rows), "from_page", "to_page", "pv")}
+
+
+@pytest.fixture
+def ranges(spark):
+    """Sets the number of ranges, which small inputs would otherwise be merged into one of."""
+    keys = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = {key: spark.conf.get(key) for key in keys}
+
+    def use(count):
+        spark.conf.set(keys[0], str(count))
+        spark.conf.set(keys[1], "false")
+
+    yield use
+    for key, value in before.items():
+        spark.conf.set(key, value)
 
 
 def _brute(rows: list[tuple[str, int, int, int]]):
@@ -39,8 +55,9 @@ def test_pairs_follow_time_and_count_once(spark):
     assert _pairs(rows) == {(1, 2): 2, (2, 3): 1}
 
 
-@pytest.mark.parametrize("slice_seconds", [1, 100, 10**6])
-def test_split_sessions_give_the_same_pairs(spark, slice_seconds):
+@pytest.mark.parametrize("count", [1, 7, 40, 200])
+def test_split_sessions_give_the_same_pairs(spark, ranges, count):
+    ranges(count)
     rng = random.Random(4)
     data = [
         ("hot" if n % 3 else f"s{n % 40}", rng.randrange(20_000), n, rng.randrange(6))
@@ -53,7 +70,34 @@ def test_split_sessions_give_the_same_pairs(spark, slice_seconds):
             for s, t, _, p in data
         ],
     )
-    assert _pairs(rows, slice_seconds=slice_seconds) == _brute(data)
+    assert _pairs(rows) == _brute(data)
+
+
+def test_a_session_within_one_moment_is_split(spark, ranges):
+    ranges(8)
+    rows = spark.range(0, 20_000, 1, 4).selectExpr(
+        "'hot' AS session_id", "timestamp'2024-01-01 00:00:00' AS ts", "id AS event_id", "id % 9 AS page_id"
+    )
+    sizes = [r.n for r in funnel.visit_ranges(rows).groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) == 8 and max(sizes) < 20_000 / 4
+    pairs = _pairs(rows)
+    assert sum(pairs.values()) == 19_999 and pairs.keys() == {(p, (p + 1) % 9) for p in range(9)}
+
+
+def test_missing_pages_and_batches_of_arrow(spark, ranges):
+    ranges(3)
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2")
+    try:
+        rows = [("a", t, p) for t, p in enumerate((1, None, None, 2, 1))] + [("b", t, 1) for t in range(6)]
+        df = spark.createDataFrame(rows, "session_id string, t long, page_id long").withColumn("ts", F.timestamp_seconds("t"))
+        assert _pairs(df) == {(1, None): 1, (None, None): 1, (None, 2): 1, (2, 1): 1, (1, 1): 5}
+        steps = funnel.page_steps(df).groupBy("from_page").agg(F.sum("visits").alias("visits"))
+        assert {r.from_page: r.visits for r in steps.collect()} == {1: 8, 2: 1, None: 2}
+        assert _pairs(df.where("false")) == {}
+    finally:
+        spark.conf.set(key, before)
 
 
 def test_rows_without_a_session_make_no_pairs(spark):
@@ -84,7 +128,7 @@ def test_pairs_without_event_id(spark):
         *[{"action_time": at(t), "page_id": p} for t, p in ((1, 1), (2, 2), (700, 3), (701, 1))],
         with_id=False,
     )
-    assert _pairs(rows, slice_seconds=600) == {(1, 2): 1, (2, 3): 1, (3, 1): 1}
+    assert _pairs(rows) == {(1, 2): 1, (2, 3): 1, (3, 1): 1}
 
 
 def _rates(spark, flow, *rows):

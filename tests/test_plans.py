@@ -89,11 +89,14 @@ def test_rollup_combines_before_the_shuffle(stored):
     assert "partial_count(1)" in text and "ObjectHashAggregate" in text
 
 
-def test_page_pairs_shuffle_actions_once(stored):
-    text = plan(funnel.page_pairs(stored["user_visit_action"]))
-    # Slices, and their first and last visits, which the map side has combined.
-    assert text.count("hashpartitioning(session_id") == 3
-    assert "partial_min" in text
+def test_page_pairs_read_and_shuffle_the_actions_once(stored):
+    text = _final_plan(funnel.page_pairs(stored["user_visit_action"]))
+    final = text[: text.index("Initial Plan")]
+    assert final.count("FileScan") == 1
+    # By range; then the counts, which the map side has combined, twice by page.
+    assert final.count("rangepartitioning(session_id") == 1
+    assert final.count("Exchange hashpartitioning(from_page") == 2
+    assert "hashpartitioning(session_id" not in final
 
 
 def test_session_report(spark, stored, tmp_path):

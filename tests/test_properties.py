@@ -68,9 +68,8 @@ def test_partitions_do_not_change_results(spark, name):
         min_size=1,
         max_size=40,
     ),
-    slice_seconds=st.sampled_from([1, 60, 1000]),
 )
-def test_pairs_of_any_visits(spark, visits, slice_seconds):
+def test_pairs_of_any_visits(spark, visits):
     rows = [(s, t, p, n) for n, (s, t, p) in enumerate(visits)]
     df = spark.createDataFrame(rows, "session_id string, t long, page_id long, event_id long")
     df = df.withColumn("ts", F.timestamp_seconds("t"))
@@ -79,5 +78,5 @@ def test_pairs_of_any_visits(spark, visits, slice_seconds):
         pages = [p for _, _, p in sorted((t, n, p) for s, t, p, n in rows if s == session)]
         for pair in zip(pages, pages[1:]):
             expected[pair] = expected.get(pair, 0) + 1
-    got = funnel.page_pairs(df, slice_seconds=slice_seconds)
+    got = funnel.page_pairs(df)
     assert {(a, b): n for a, b, n in tuples(got, "from_page", "to_page", "pv")} == expected

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import sql
-from ..operators import ads, categories, funnel, histograms, products, sampling, sessions
+from ..operators import ads, categories, funnel, histograms, observed, products, sampling, sessions, tasks
+from ..plans import scratch
 from ..sources import adlog, derived, tables
 from . import inputs
 from .inputs import FLOW, SAMPLE_SEED, SAMPLE_TOTAL, TASK_ID
@@ -114,18 +115,39 @@ def session_sample_detail(spark: SparkSession, folder: str) -> DataFrame:
     return sessions.detail_rows(chosen, TASK_ID, "event_id")
 
 
+def session_detail_pruned(spark: SparkSession, folder: str) -> DataFrame:
+    """The same with the Bloom filter, however short the list of sessions is."""
+    return sessions.detail_rows(inputs.details(spark, folder, always=True), TASK_ID, "event_id")
+
+
+# Three tasks over the same dates: the shared one, one without an age range and with a list of cities, one that asks for nothing.
+TASKS = (
+    (1, '{"startAge": ["20"], "endAge": ["50"], "sex": ["male"], "keywords": ["cake,spa"], "categoryIds": ["1,2,3,4,5"]}'),
+    (2, '{"startAge": ["30"], "cities": ["NATION_1,NATION_2,NATION_7"], "sex": ["female"], "keywords": ["mall"]}'),
+    (3, "{}"),
+)
+
+
+def session_filtered_by_task(spark: SparkSession, folder: str) -> DataFrame:
+    asked = spark.createDataFrame(list(TASKS), "task_id bigint, task_param string")
+    return tasks.filter_by_task(inputs.enriched(spark, folder), asked).select("task_id", "session_id", "user_id", "step_length")
+
+
+def session_histogram_observed(spark: SparkSession, folder: str) -> DataFrame:
+    """The histogram of the filtered sessions, taken while these are stored."""
+    seen = observed.Watch()
+    scratch.stored(histograms.observe_histogram(inputs.filtered(spark, folder), seen), "sessions")
+    return histograms.observed_histogram(spark, seen)
+
+
 def row_counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Diagnostic counts of each stage."""
-    stages = {
-        "actions": inputs.actions,
-        "sessions": inputs.enriched,
-        "filtered_sessions": inputs.filtered,
-    }
-    counts = [
-        stage(spark, folder).agg(F.count("*").alias("n")).select(F.lit(name).alias("stage"), "n")
-        for name, stage in stages.items()
-    ]
-    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+    """Diagnostic counts of each stage, from one pass over the actions."""
+    seen = observed.Watch()
+    acted = seen.count("actions", inputs.actions(spark, folder))
+    users = tables.scan_users(derived.user_info(spark, folder))
+    rolled = seen.count("sessions", sessions.enrich_sessions(sessions.session_rollup(acted), users))
+    observed.run(seen.count("filtered_sessions", sessions.filter_sessions(rolled, inputs.FILTER)))
+    return seen.counts(spark)
 
 
 # ---- categories --------------------------------------------------------------------------------
@@ -294,6 +316,9 @@ _ALL = (
     session_histogram_all,
     session_ratios,
     session_detail,
+    session_detail_pruned,
+    session_filtered_by_task,
+    session_histogram_observed,
     session_hours,
     session_sample_quota,
     session_sample,

@@ -62,8 +62,9 @@ def filtered_once(spark: SparkSession, folder: str) -> DataFrame:
     return scratch.stored(filtered(spark, folder), "sessions")
 
 
-def details(spark: SparkSession, folder: str) -> DataFrame:
-    return sessions.session_details(actions(spark, folder), filtered_once(spark, folder))
+def details(spark: SparkSession, folder: str, always: bool = False) -> DataFrame:
+    chosen = filtered_once(spark, folder)
+    return sessions.session_details(actions(spark, folder), chosen, chosen.count(), always)
 
 
 def details_once(spark: SparkSession, folder: str) -> DataFrame:

@@ -257,6 +257,53 @@ SELECT strftime(ts, '%Y-%m-%d') AS date, province, city, ad_id, count(*) AS clic
 FROM log GROUP BY ALL"""
 
 
+# Clicks by the part they arrive in. The newest time of the parts before says what is late; ten days later it is dropped.
+_LATE_CLICKS = """
+SELECT date, arrival, count(*) AS click_count
+FROM (
+  SELECT strftime(ts, '%Y-%m-%d') AS date,
+         CASE WHEN newest IS NULL OR epoch_ms >= newest THEN 'on time'
+              WHEN epoch_ms > newest - 864000000 THEN 'late, kept' ELSE 'late, dropped' END AS arrival
+  FROM (
+    SELECT *, least(3, CAST(ts >= '2024-01-08' AS INT) + CAST(ts >= '2024-01-15' AS INT) + CAST(ts >= '2024-01-22' AS INT)
+                       + CASE user_id % 10 WHEN 3 THEN 1 WHEN 7 THEN 2 ELSE 0 END) AS part
+    FROM log
+  ) placed LEFT JOIN (
+    SELECT part, max(max(epoch_ms)) OVER (ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS newest
+    FROM (
+      SELECT epoch_ms, least(3, CAST(ts >= '2024-01-08' AS INT) + CAST(ts >= '2024-01-15' AS INT) + CAST(ts >= '2024-01-22' AS INT)
+                                + CASE user_id % 10 WHEN 3 THEN 1 WHEN 7 THEN 2 ELSE 0 END) AS part
+      FROM log
+    ) GROUP BY part
+  ) clock USING (part)
+) GROUP BY ALL"""
+
+_USER_SESSIONS = """
+SELECT user_id, min(epoch_ms) AS start_ms, max(epoch_ms) AS end_ms, count(*) AS click_count
+FROM (
+  SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY epoch_ms, fresh DESC ROWS UNBOUNDED PRECEDING) AS session
+  FROM (
+    SELECT user_id, epoch_ms,
+           CASE WHEN epoch_ms - lag(epoch_ms) OVER (PARTITION BY user_id ORDER BY epoch_ms) < 21600000 THEN 0 ELSE 1 END AS fresh
+    FROM log
+  )
+) GROUP BY user_id, session"""
+
+_VIEW_TO_CLICK = """
+SELECT v.user_id, v.event_id AS view_id, c.event_id AS click_id, epoch_us(c.ts) // 1000 - epoch_us(v.ts) // 1000 AS wait_ms
+FROM events v JOIN events c ON c.user_id = v.user_id AND c.ts >= v.ts AND c.ts <= v.ts + INTERVAL 6 HOUR
+WHERE v.event_type = 'view' AND c.event_type = 'click'"""
+
+# A slide of ten seconds counts from its end on, for an hour.
+_SLIDING = """
+SELECT ad_id, slide_end_ms, CAST(sum(sum(n)) OVER (PARTITION BY ad_id ORDER BY slide_end_ms) AS BIGINT) AS click_count
+FROM (
+  SELECT ad_id, (epoch_ms // 10000 + 1) * 10000 AS slide_end_ms, 1 AS n FROM log
+  UNION ALL
+  SELECT ad_id, (epoch_ms // 10000 + 1) * 10000 + 3600000, -1 FROM log
+) GROUP BY ad_id, slide_end_ms"""
+
+
 def _select(ctes: str, body: str) -> str:
     return f"WITH {ctes.strip()}\n{body}"
 
@@ -310,6 +357,15 @@ ORACLES = {
         _SESSIONS, f"SELECT session_count, {_RATIOS} FROM ({_histogram('filtered')})"
     ),
     "session_detail": _select(_SESSIONS, f"SELECT {_DETAIL} FROM details a"),
+    "session_detail_pruned": _select(_SESSIONS, f"SELECT {_DETAIL} FROM details a"),
+    "session_filtered_by_task": _select(
+        _SESSIONS,
+        "SELECT CAST(1 AS BIGINT) AS task_id, session_id, user_id, step_length FROM filtered UNION ALL "
+        "SELECT 2, session_id, user_id, step_length FROM enriched WHERE sex = 'female' "
+        "AND city IN ('NATION_1', 'NATION_2', 'NATION_7') AND list_contains(kw, 'mall') UNION ALL "
+        "SELECT 3, session_id, user_id, step_length FROM enriched",
+    ),
+    "session_histogram_observed": _select(_SESSIONS, _histogram("filtered")),
     "session_hours": _select(_SAMPLE, "SELECT * FROM hours"),
     "session_sample_quota": _select(_SAMPLE, "SELECT * FROM quotas"),
     "session_sample": _select(
@@ -360,7 +416,12 @@ ORACLES = {
     "stream_ad_stat": _select(_ADS, "SELECT * FROM stat"),
     "stream_province_top3": _select(_ADS, "SELECT * EXCLUDE (rank) FROM province_top"),
     "stream_click_trend": _select(_ADS, "SELECT * FROM trend"),
+    "stream_late_clicks": _select(_ADS, _LATE_CLICKS),
+    "stream_sessions": _select(_ADS, _USER_SESSIONS),
+    "stream_view_to_click": _VIEW_TO_CLICK,
+    "stream_sliding_trend": _select(_ADS, _SLIDING),
     "sink_upsert_replace": _select(_ADS, _LOG_STAT),
+    "sink_upsert_by_day": _select(_ADS, _LOG_STAT),
     "sink_upsert_add": _select(
         _ADS,
         "SELECT date, province, city, ad_id, CASE WHEN date < '2024-01-16' THEN 2 ELSE 1 END "

@@ -6,40 +6,80 @@ returns the table asked for.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import ads
 from ..plans import reports, scratch
+from ..sinks.days import DayTable
 from ..sinks.tables import BatchTable, read_slices, replace_slices
-from ..sources import adlog
-from ..streaming import adclicks
+from ..sources import adlog, derived
+from ..streaming import adclicks, arrivals, behaviour, sliding
 from ..streaming.adclicks import UNTIL_CAUGHT_UP, AdTables
 from . import batch, inputs
 
 
 # The log arrives in parts, a week in each, and every part is a micro-batch of its own.
 _PARTS = ("2024-01-08", "2024-01-15", "2024-01-22", "9999")
+_FAR_AHEAD, _MONTH = 4_102_444_800_000, 2_678_400_000  # 2100 and 31 days, in milliseconds
 
 
-def _arrived(spark: SparkSession, folder: str) -> str:
-    """The log's lines as text files, written one part after the other."""
+# Some users' clicks come one or two parts late: user_id % 10 -> parts.
+LATE = {3: 1, 7: 2}
+ONE_PART_LATE = {3: 1}
+# Longer than two parts, so that a click one part late is never behind the watermark.
+_TWO_WEEKS = "14 days"
+
+
+def _part(late: dict[int, int]) -> Column:
+    """The part a row with ts and user_id arrives in; the last part has all that is late by then."""
+    day = F.date_format("ts", "yyyy-MM-dd")
+    place = sum((day >= start).cast("int") for start in _PARTS[:-1])
+    for rest, parts in late.items():
+        place = place + F.when(F.col("user_id") % 10 == rest, parts).otherwise(0)
+    return F.least(place, F.lit(len(_PARTS) - 1))
+
+
+def _arriving(spark: SparkSession, folder: str, late: dict[int, int] | None = None, beats: int = 0) -> Iterator[str]:
+    """A folder of the log's lines, each time one part fuller. All tasks write their share of a part.
+
+    ``beats`` parts with a single line far ahead follow, which move the watermark past everything.
+    """
     path = scratch.new_folder(spark, "ad-lines")
-    log = inputs.ad_log(spark, folder).withColumn("day", F.date_format("ts", "yyyy-MM-dd"))
+    log = inputs.ad_log(spark, folder).withColumn("part", _part(late or {}))
     line = F.concat_ws(" ", F.unix_millis("ts"), "province", "city", "user_id", "ad_id")
-    before = ""
-    for end in _PARTS:
-        part = log.where((F.col("day") >= before) & (F.col("day") < end)).select(line)
-        part.coalesce(1).write.mode("append").text(path)
-        before = end
-    return path
+    for part in range(len(_PARTS)):
+        log.where(F.col("part") == part).select(line).write.mode("append").text(path)
+        yield path
+    for beat in range(beats):
+        spark.createDataFrame([(f"{_FAR_AHEAD + beat * _MONTH} beat beat -1 -1",)], "value string").write.mode("append").text(path)
+        yield path
+
+
+def _events_arriving(spark: SparkSession, folder: str) -> Iterator[str]:
+    """The same for the events themselves: event_id, ts, user_id and event_type, some of them one part late."""
+    path = scratch.new_folder(spark, "events")
+    events = derived.events(spark, folder).withColumn("part", _part(ONE_PART_LATE))
+    for part in range(len(_PARTS)):
+        events.where(F.col("part") == part).drop("part").write.mode("append").parquet(path)
+        yield path
+
+
+def _arrived(spark: SparkSession, folder: str) -> tuple[str, int]:
+    """The whole log, its parts written one after the other, and how many files a part has: a micro-batch takes as many."""
+    path, files = scratch.new_folder(spark, "ad-lines"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    log = inputs.ad_log(spark, folder).withColumn("part", _part({}))
+    line = F.concat_ws(" ", F.unix_millis("ts"), "province", "city", "user_id", "ad_id")
+    for part in range(len(_PARTS)):
+        log.where(F.col("part") == part).select(line).repartition(files).write.mode("append").text(path)
+    return path, files
 
 
-def _log(spark: SparkSession, lines: str) -> DataFrame:
-    return adlog.parse_ad_log(adlog.file_lines(spark, lines, files_per_batch=1))
+def _log(spark: SparkSession, lines: str, files: int | None = None) -> DataFrame:
+    return adlog.parse_ad_log(adlog.file_lines(spark, lines, files))
 
 
 def _finish(spark: SparkSession, start: Callable[..., StreamingQuery], *args, **kwargs) -> None:
@@ -56,44 +96,83 @@ def _finish(spark: SparkSession, start: Callable[..., StreamingQuery], *args, **
         spark.conf.set(setting, before)
 
 
-def _users(spark: SparkSession, lines: str) -> AdTables:
+def _users(spark: SparkSession, lines: str, files: int) -> AdTables:
     tables = AdTables(scratch.new_folder(spark, "ads"), compact_every=3)
-    _finish(spark, adclicks.start_user_ad_query, _log(spark, lines), tables, inputs.THRESHOLD)
+    _finish(spark, adclicks.start_user_ad_query, _log(spark, lines, files), tables, inputs.THRESHOLD)
     return tables
 
 
-def _clean(spark: SparkSession, folder: str) -> AdTables:
-    lines = _arrived(spark, folder)
-    tables = _users(spark, lines)
-    _finish(spark, adclicks.start_clean_query, _log(spark, lines), tables)
+def _following(spark: SparkSession, folder: str, start: Callable[..., StreamingQuery], **kwargs) -> AdTables:
+    """Once the blacklist is known the log is cleaned, and ``start`` follows the clean clicks."""
+    lines, files = _arrived(spark, folder)
+    tables = _users(spark, lines, files)
+    _finish(spark, adclicks.start_clean_query, _log(spark, lines, files), tables)
+    _finish(spark, start, adclicks.clean_stream(spark, tables, files), tables, **kwargs)
     return tables
 
 
 def stream_user_daily(spark: SparkSession, folder: str) -> DataFrame:
-    return _users(spark, _arrived(spark, folder)).user_counts.latest(spark)
+    return _users(spark, *_arrived(spark, folder)).user_counts.latest(spark)
 
 
 def stream_blacklist(spark: SparkSession, folder: str) -> DataFrame:
-    return _users(spark, _arrived(spark, folder)).blacklist.latest(spark)
+    return _users(spark, *_arrived(spark, folder)).blacklist.latest(spark)
 
 
 def stream_ad_stat(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _clean(spark, folder)
-    clean = adclicks.clean_stream(spark, tables)
-    _finish(spark, adclicks.start_stat_query, clean, tables, top=None)
-    return tables.stat.latest(spark)
+    return _following(spark, folder, adclicks.start_stat_query, top=None).stat.latest(spark)
 
 
 def stream_province_top3(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _clean(spark, folder)
-    _finish(spark, adclicks.start_stat_query, adclicks.clean_stream(spark, tables), tables)
-    return adclicks.province_top(spark, tables)
+    return adclicks.province_top(spark, _following(spark, folder, adclicks.start_stat_query))
 
 
 def stream_click_trend(spark: SparkSession, folder: str) -> DataFrame:
-    tables = _clean(spark, folder)
-    _finish(spark, adclicks.start_trend_query, adclicks.clean_stream(spark, tables), tables)
-    return adclicks.trend(spark, tables)
+    return adclicks.trend(spark, _following(spark, folder, adclicks.start_trend_query))
+
+
+# ---- late clicks, sessions, joins, sliding windows -----------------------------------------------
+ARRIVAL_DELAY = 10 * 86_400
+SESSION_GAP = "6 hours"
+VIEW_TO_CLICK = 6 * 3600
+
+
+def stream_late_clicks(spark: SparkSession, folder: str) -> DataFrame:
+    tables = AdTables(scratch.new_folder(spark, "ads"), compact_every=3)
+    for lines in _arriving(spark, folder, LATE):
+        _finish(spark, arrivals.start_arrivals_query, _log(spark, lines), tables, ARRIVAL_DELAY)
+    return arrivals.arrival_counts(spark, tables)
+
+
+def stream_sessions(spark: SparkSession, folder: str) -> DataFrame:
+    tables = AdTables(scratch.new_folder(spark, "ads"))
+    for lines in _arriving(spark, folder, ONE_PART_LATE, beats=2):
+        _finish(spark, behaviour.start_session_query, _log(spark, lines), tables, SESSION_GAP, _TWO_WEEKS)
+    found = tables.sessions.latest(spark)
+    return found.select(
+        "user_id", F.unix_millis("start_time").alias("start_ms"), F.unix_millis("end_time").alias("end_ms"), "click_count"
+    )
+
+
+def stream_view_to_click(spark: SparkSession, folder: str) -> DataFrame:
+    tables = AdTables(scratch.new_folder(spark, "ads"))
+    for path in _events_arriving(spark, folder):
+        # Each side is a stream of its own, with its own watermark.
+        views, clicks = (
+            spark.readStream.schema(derived.EVENT_SCHEMA).parquet(path).where(F.col("event_type") == kind) for kind in ("view", "click")
+        )
+        _finish(spark, behaviour.start_view_click_query, views, clicks, tables, VIEW_TO_CLICK, _TWO_WEEKS)
+    return tables.view_clicks.latest(spark).drop("date")
+
+
+def stream_sliding_trend(spark: SparkSession, folder: str) -> DataFrame:
+    tables = AdTables(scratch.new_folder(spark, "ads"))
+    # The slides of the first beats, passed by the later ones, move the second query's clock.
+    for lines in _arriving(spark, folder, ONE_PART_LATE, beats=4):
+        _finish(spark, sliding.start_slide_query, _log(spark, lines), tables, _TWO_WEEKS)
+        _finish(spark, sliding.start_sliding_query, sliding.slide_stream(spark, tables), tables)
+    found = tables.sliding.latest(spark).where("ad_id >= 0")
+    return found.select("ad_id", F.unix_millis("slide_end").alias("slide_end_ms"), "click_count")
 
 
 # ---- sinks -------------------------------------------------------------------------------------
@@ -114,6 +193,18 @@ def sink_upsert_replace(spark: SparkSession, folder: str) -> DataFrame:
     return table.latest(spark)
 
 
+def sink_upsert_by_day(spark: SparkSession, folder: str) -> DataFrame:
+    """Upsert in folders by day: every week's counts come twice, the second time whole; days before the week are closed."""
+    counts = ads.ad_stat(inputs.ad_log(spark, folder))
+    table = DayTable(scratch.new_folder(spark, "by-day"), schemas.AD_STAT, ("date", "province", "city", "ad_id"))
+    for week, (start, end) in enumerate(zip(("", *_PARTS), _PARTS)):
+        rows = counts.where((F.col("date") >= start) & (F.col("date") < end))
+        for batch_id, part in ((2 * week, rows.withColumn("click_count", F.lit(0).cast("bigint"))), (2 * week + 1, rows)):
+            table.tidy(spark, table.publish(part, batch_id), every=2)
+            table.close(spark, start)
+    return table.latest(spark)
+
+
 def sink_upsert_add(spark: SparkSession, folder: str) -> DataFrame:
     """Upsert that adds: the two batches' counts add up, a replayed batch does not."""
     first, second = _batches(spark, folder)
@@ -150,7 +241,12 @@ _ALL = (
     stream_ad_stat,
     stream_province_top3,
     stream_click_trend,
+    stream_late_clicks,
+    stream_sessions,
+    stream_view_to_click,
+    stream_sliding_trend,
     sink_upsert_replace,
+    sink_upsert_by_day,
     sink_upsert_add,
     sink_replace_task,
     sink_replace_slices,

@@ -1,14 +1,17 @@
 """Operators: functions from DataFrames to DataFrames."""
 
-from . import ads, categories, funnel, histograms, products, ranking, sampling, sessions
+from . import ads, bloom, categories, funnel, histograms, observed, products, ranking, sampling, sessions, tasks
 
 __all__ = [
     "ads",
+    "bloom",
     "categories",
     "funnel",
     "histograms",
+    "observed",
     "products",
     "ranking",
     "sampling",
     "sessions",
+    "tasks",
 ]

@@ -11,6 +11,7 @@ from .. import schemas
 from ..functions import times
 from ..params import SessionFilter
 from ..sources.tables import with_event_time
+from . import bloom
 from .skew import fresh_layout
 
 
@@ -113,8 +114,16 @@ def filter_sessions(sessions: DataFrame, f: SessionFilter) -> DataFrame:
     return sessions.where(reduce(lambda a, b: a & b, tests)) if tests else sessions
 
 
-def session_details(actions: DataFrame, sessions: DataFrame) -> DataFrame:
-    """Every action of the given sessions (action columns only, so a semi join)."""
+def session_details(
+    actions: DataFrame, sessions: DataFrame, count: int | None = None, always: bool = False
+) -> DataFrame:
+    """Every action of the given sessions (action columns only, so a semi join).
+
+    With ``count``, the number of sessions, most actions of other sessions are dropped by a Bloom filter before they are
+    shuffled (:func:`.bloom.pruned`); ``sessions`` should then be a stored table.
+    """
+    if count is not None:
+        actions = bloom.pruned(actions, sessions, "session_id", count, always)
     chosen = fresh_layout(sessions.select("session_id"))
     return actions.join(chosen, "session_id", "left_semi")
 

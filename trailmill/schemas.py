@@ -107,3 +107,9 @@ AD_BLACKLIST = _struct(user_id=_LONG)
 AD_STAT = _struct(date=_STR, province=_STR, city=_STR, ad_id=_LONG, click_count=_LONG)
 AD_PROVINCE_TOP3 = _struct(date=_STR, province=_STR, ad_id=_LONG, click_count=_LONG)
 AD_CLICK_TREND = _struct(date=_STR, hour=_STR, minute=_STR, ad_id=_LONG, click_count=_LONG)
+# Of the streaming jobs alone.
+AD_ARRIVALS = _struct(date=_STR, arrival=_STR, click_count=_LONG)
+AD_SLIDES = _struct(ad_id=_LONG, slide_end=_TS, click_count=_LONG)
+AD_SLIDING_TREND = _struct(date=_STR, ad_id=_LONG, slide_end=_TS, click_count=_LONG)
+USER_SESSIONS = _struct(date=_STR, user_id=_LONG, start_time=_TS, end_time=_TS, click_count=_LONG)
+VIEW_CLICKS = _struct(date=_STR, user_id=_LONG, view_id=_LONG, click_id=_LONG, wait_ms=_LONG)

@@ -1,5 +1,5 @@
-"""Sinks: appends, slice replacement, and tables written batch by batch."""
+"""Sinks: appends, slice replacement, and tables written batch by batch, whole or by day."""
 
-from . import tables
+from . import days, tables
 
-__all__ = ["tables"]
+__all__ = ["days", "tables"]

@@ -13,7 +13,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-_BATCH = "batch_id"
+BATCH = "batch_id"
 
 
 def append_rows(df: DataFrame, path: str, fmt: str = "parquet") -> None:
@@ -40,6 +40,30 @@ def read_slices(spark: SparkSession, path: str, schema: T.StructType) -> DataFra
     return spark.read.schema(schema).parquet(path).select(*schema.names)
 
 
+def claim(spark: SparkSession, folder: str) -> None:
+    """Batch ids mean something within one streaming query alone, which its checkpoint names.
+
+    The first query to write is noted beside the table. Another one, such as the same job after its checkpoint was
+    lost, would begin its ids anew, and its rows would pass for replays.
+    """
+    query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not query:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    note = path(f"{folder}/_writer")
+    fs = note.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(note):
+        out = fs.create(note, False)
+        out.writeBytes(query)
+        out.close()
+        return
+    held = fs.open(note)
+    known = spark._jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8")
+    held.close()
+    if known != query:
+        raise ValueError(f"{folder} is written by query {known}, not by {query}: its checkpoint was replaced")
+
+
 @dataclass(frozen=True)
 class BatchTable:
     """A table whose writers publish one folder per batch.
@@ -93,28 +117,6 @@ class BatchTable:
         fs, path = self._fs(spark)
         fs.mkdirs(path(self.path))
 
-    def _claim(self, spark: SparkSession) -> None:
-        """Batch ids mean something within one streaming query alone, which its checkpoint names.
-
-        The first query to write is noted beside the table. Another one, such as the same job after
-        its checkpoint was lost, would begin its ids anew, and its rows would pass for replays.
-        """
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        if not query:
-            return
-        fs, path = self._fs(spark)
-        note = path(f"{self.path}/_writer")
-        if not fs.exists(note):
-            out = fs.create(note, False)
-            out.writeBytes(query)
-            out.close()
-            return
-        held = fs.open(note)
-        known = spark._jvm.org.apache.commons.io.IOUtils.toString(held, "UTF-8")
-        held.close()
-        if known != query:
-            raise ValueError(f"{self.path} is written by query {known}, not by {query}: its checkpoint was replaced")
-
     def publish(self, df: DataFrame, batch_id: int) -> bool:
         """Add the rows of a batch; false, and no change, if the batch is there already.
 
@@ -122,11 +124,10 @@ class BatchTable:
         stateful operators before the stream may go on.
         """
         spark = df.sparkSession
-        self._claim(spark)
-        stamp = F.lit(batch_id).cast("bigint").alias(_BATCH)
+        claim(spark, self.path)
+        stamp = F.lit(batch_id).cast("bigint").alias(BATCH)
         staged = self._stage(df.select(*self.schema.names, stamp), f"batch-{batch_id}")
-        snapshot, batches = self._published(spark)
-        if batch_id in batches or (snapshot is not None and batch_id <= snapshot):
+        if self.covers(spark, batch_id):
             fs, path = self._fs(spark)
             fs.delete(path(staged), True)
             return False
@@ -140,7 +141,7 @@ class BatchTable:
             return None
         # As many files as the rows need: adaptive execution sizes them.
         current = (self.totals(spark) if additive else self.latest(spark)).hint("rebalance")
-        stamp = F.lit(batches[-1]).cast("bigint").alias(_BATCH)
+        stamp = F.lit(batches[-1]).cast("bigint").alias(BATCH)
         name = f"snapshot-{batches[-1]}"
         self._show(spark, self._stage(current.select("*", stamp), name), name)
         return batches[-1]
@@ -172,20 +173,37 @@ class BatchTable:
             fs.delete(folders[name], True)
         return len(old)
 
-    def tidy(self, spark: SparkSession, every: int) -> None:
+    def tidy(self, spark: SparkSession, every: int, additive: bool = False) -> None:
         """Once so many batches follow the last snapshot, write one and drop what the one before stands for."""
         if len(self._published(spark)[1]) >= every:
-            self.compact(spark)
+            self.compact(spark, additive)
             self.vacuum(spark, keep=1)
 
     # ---- reading -------------------------------------------------------------------------------
+    def folders(self, spark: SparkSession) -> list[str]:
+        """The newest snapshot and the batches after it."""
+        snapshot, batches = self._published(spark)
+        base = [] if snapshot is None else [f"{self.path}/snapshot-{snapshot}"]
+        return base + [self.batch_path(i) for i in batches]
+
+    def since_snapshot(self, spark: SparkSession) -> list[int]:
+        """The batches after the newest snapshot."""
+        return self._published(spark)[1]
+
+    def newest(self, spark: SparkSession) -> int:
+        """The last batch published, by itself or within a snapshot."""
+        snapshot, batches = self._published(spark)
+        return batches[-1] if batches else snapshot
+
+    def covers(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether the batch is published, by itself or within a snapshot."""
+        snapshot, batches = self._published(spark)
+        return batch_id in batches or (snapshot is not None and batch_id <= snapshot)
+
     def changes(self, spark: SparkSession) -> DataFrame:
         """Every published row with its ``batch_id``."""
-        snapshot, batches = self._published(spark)
-        folders = [self.batch_path(i) for i in batches]
-        if snapshot is not None:
-            folders.append(f"{self.path}/snapshot-{snapshot}")
-        schema = T.StructType([*self.schema.fields, T.StructField(_BATCH, T.LongType(), True)])
+        folders = self.folders(spark)
+        schema = T.StructType([*self.schema.fields, T.StructField(BATCH, T.LongType(), True)])
         if not folders:
             return spark.createDataFrame([], schema)
         return spark.read.schema(schema).parquet(*folders)
@@ -200,7 +218,7 @@ class BatchTable:
     def latest_of(self, changes: DataFrame) -> DataFrame:
         values = [name for name in self.schema.names if name not in self.keys]
         rows = changes.groupBy(*self.keys).agg(
-            *[F.max_by(name, _BATCH).alias(name) for name in values], F.lit(True).alias("__row")
+            *[F.max_by(name, BATCH).alias(name) for name in values], F.lit(True).alias("__row")
         )
         return rows.select(*self.schema.names)
 

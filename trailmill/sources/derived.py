@@ -36,6 +36,14 @@ def _event_key():
     return F.get_json_object("props", "$.k").cast("bigint")
 
 
+EVENT_SCHEMA = "event_id bigint, ts timestamp, user_id bigint, event_type string"
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events as they are, their times as timestamps."""
+    return _read(spark, sf_dir, "events").select("event_id", F.col("ts").cast("timestamp").alias("ts"), "user_id", "event_type")
+
+
 def user_visit_action(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One action per event; ``event_id`` is kept as the tie-break of equal times, ``ts`` is the
     action time as a timestamp."""

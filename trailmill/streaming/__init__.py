@@ -1,5 +1,5 @@
-"""Structured Streaming jobs over the ad-click log."""
+"""Structured Streaming jobs over the ad-click log and over user behaviour."""
 
-from . import adclicks
+from . import adclicks, arrivals, behaviour, sliding
 
-__all__ = ["adclicks"]
+__all__ = ["adclicks", "arrivals", "behaviour", "sliding"]

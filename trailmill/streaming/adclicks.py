@@ -4,28 +4,30 @@ and city with the top ads, and the trend of the last hour.
 Four streaming queries, each with its own checkpoint::
 
     log ──> user_ad    daily clicks per (user, ad); users over the threshold join the blacklist
-    log ──> clean      clicks of users not on the blacklist, re-read for every batch
+    log ──> clean      clicks of users not on the blacklist, whose additions are a stream of their own
     clean ──> stat     running clicks per (day, province, city, ad), top ads per province
     clean ──> trend    clicks per (minute, ad)
 
-A streaming aggregate cannot follow a per-batch lookup, so the cleaned clicks are stored and
-streamed on. Counts live in Spark's state store; a batch emits the new totals of the keys it
+Cleaned clicks feed two queries, so they are stored and streamed on. Counts live in Spark's state store; a batch emits the new totals of the keys it
 changed, and publishing them by key is an upsert that a replay repeats without effect. Day and
 minute windows are grouping keys, so the watermark evicts their state.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from .. import schemas
 from ..functions import times
 from ..operators import ads
 from ..sources import adlog
+from ..sinks.days import DayTable, open_from
 from ..sinks.tables import BatchTable, read_slices, replace_slices
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
@@ -35,42 +37,46 @@ UNTIL_CAUGHT_UP = {"availableNow": True}
 # one is joined by shuffle, a single user's clicks being spread over several tasks.
 _BROADCAST_USERS = 1_000_000
 _SALTS = 16
+# Groups of users in the state of the clean query, and copies of each: fixed for the life of a checkpoint.
+_BUCKETS, _COPIES = 32, 8
 
 
 @dataclass(frozen=True)
 class AdTables:
     """Where the streaming jobs keep their tables: one folder all executors share.
 
-    A batch adds a file to a table for each partition of its rows. The blacklist, the running counts
-    and the trend, which the jobs read themselves, are compacted every ``compact_every`` batches.
-    The counts per user are only added to: they grow with the traffic, so compacting them is a
-    matter for a nightly job (``tables.user_counts.compact``).
+    A batch adds a file to a table for each partition of its rows. Counts are kept in folders by day: a batch lists,
+    reads and compacts the days it has rows of, every ``compact_every`` batches of a day, and a day behind the
+    watermark is closed for good.
     """
 
     root: str
     files: int | None = None
     compact_every: int = 100
 
-    def _table(self, name: str, schema, *keys: str) -> BatchTable:
-        return BatchTable(f"{self.root}/{name}", schema, keys, self.files)
+    def _by_day(self, name: str, schema, *keys: str) -> DayTable:
+        return DayTable(f"{self.root}/{name}", schema, ("date", *keys), self.files)
 
     @property
-    def user_counts(self) -> BatchTable:
-        return self._table(
-            "ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "date", "user_id", "ad_id"
-        )
+    def user_counts(self) -> DayTable:
+        return self._by_day("ad_user_click_count", schemas.AD_USER_CLICK_COUNT, "user_id", "ad_id")
 
     @property
     def blacklist(self) -> BatchTable:
-        return self._table("ad_blacklist", schemas.AD_BLACKLIST, "user_id")
+        return BatchTable(f"{self.root}/ad_blacklist", schemas.AD_BLACKLIST, ("user_id",), self.files)
+
+    @property
+    def listings(self) -> BatchTable:
+        """Every addition to the blacklist, a folder for each batch that listed someone; never compacted, so it streams."""
+        return BatchTable(f"{self.root}/ad_blacklist_log", schemas.AD_BLACKLIST, ("user_id",), self.files)
 
     @property
     def clean_log(self) -> BatchTable:
         return BatchTable(f"{self.root}/clean_log", schemas.AD_LOG, ())
 
     @property
-    def stat(self) -> BatchTable:
-        return self._table("ad_stat", schemas.AD_STAT, "date", "province", "city", "ad_id")
+    def stat(self) -> DayTable:
+        return self._by_day("ad_stat", schemas.AD_STAT, "province", "city", "ad_id")
 
     @property
     def province_top(self) -> str:
@@ -81,16 +87,34 @@ class AdTables:
         return f"{self.root}/rejected_lines"
 
     @property
-    def trend(self) -> BatchTable:
-        return self._table(
-            "ad_click_trend", schemas.AD_CLICK_TREND, "date", "hour", "minute", "ad_id"
-        )
+    def trend(self) -> DayTable:
+        return self._by_day("ad_click_trend", schemas.AD_CLICK_TREND, "hour", "minute", "ad_id")
+
+    @property
+    def arrivals(self) -> BatchTable:
+        return BatchTable(f"{self.root}/ad_arrivals", schemas.AD_ARRIVALS, ("date", "arrival"), self.files)
+
+    @property
+    def sessions(self) -> DayTable:
+        return self._by_day("user_sessions", schemas.USER_SESSIONS, "user_id", "start_time")
+
+    @property
+    def view_clicks(self) -> DayTable:
+        return self._by_day("view_clicks", schemas.VIEW_CLICKS, "view_id", "click_id")
+
+    @property
+    def slides(self) -> BatchTable:
+        return BatchTable(f"{self.root}/ad_slides", schemas.AD_SLIDES, (), self.files)
+
+    @property
+    def sliding(self) -> DayTable:
+        return self._by_day("ad_sliding_trend", schemas.AD_SLIDING_TREND, "ad_id", "slide_end")
 
     def checkpoint(self, query: str) -> str:
         return f"{self.root}/_checkpoints/{query}"
 
 
-def _start(
+def start(
     df: DataFrame,
     name: str,
     tables: AdTables,
@@ -98,6 +122,7 @@ def _start(
     trigger: dict,
     mode: str = "update",
 ) -> StreamingQuery:
+    """Start a query that hands its micro-batches to ``save``, with a checkpoint of its own among the tables'."""
     return (
         df.writeStream.outputMode(mode)
         .option("checkpointLocation", tables.checkpoint(name))
@@ -107,6 +132,12 @@ def _start(
     )
 
 
+def _tend(spark: SparkSession, table: DayTable, days: list[str], every: int, watermark: str) -> None:
+    """Compact the days a batch touched, and close those that get no more rows."""
+    table.tidy(spark, days, every)
+    table.close(spark, open_from(spark, days[-1], watermark))
+
+
 def start_user_ad_query(
     log: DataFrame,
     tables: AdTables,
@@ -119,26 +150,79 @@ def start_user_ad_query(
     def save(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         counts, listed = tables.user_counts, tables.blacklist
-        counts.publish(batch, batch_id)
-        # Read back what was published rather than running the stateful plan again.
-        changed = counts.batch_rows(spark, batch_id) if counts.has_batch(spark, batch_id) else batch
-        if changed.isEmpty():  # a batch that only moved the watermark
+        days = counts.publish(batch, batch_id)
+        if not days:  # a batch that only moved the watermark
             return
-        found = ads.blacklist(changed, threshold)
+        # Read back what was published rather than running the stateful plan again.
+        found = ads.blacklist(counts.batch_rows(spark, batch_id, days), threshold)
         listed.publish(found.join(listed.latest(spark), "user_id", "left_anti"), batch_id)
+        if listed.has_batch(spark, batch_id):
+            new = listed.batch_rows(spark, batch_id)
+            if not new.isEmpty():
+                tables.listings.publish(new, batch_id)
         listed.tidy(spark, tables.compact_every)
+        _tend(spark, counts, days, tables.compact_every, watermark)
 
     counts = ads.user_ad_daily(log.withWatermark("ts", watermark))
-    return _start(counts, "user_ad", tables, save, trigger)
+    return start(counts, "user_ad", tables, save, trigger)
+
 
+def unlisted(log: DataFrame, listings: DataFrame, buckets: int = _BUCKETS, copies: int = _COPIES) -> DataFrame:
+    """The clicks of a stream without those of users whom the stream ``listings`` (user_id) has named, this batch included.
 
-def start_clean_query(
+    A stateful anti-join: users are remembered in state, so a batch replayed after a failure drops the same clicks,
+    whoever was listed meanwhile. State is kept for buckets of users, not for each, and only for users listed. A
+    bucket is remembered ``copies`` times, and clicks are dealt over these, so a user with a third of all clicks fills several tasks.
+    """
+    columns = schemas.AD_LOG.names
+
+    def keep(_key, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        held = list(frames)  # a micro-batch's share
+        users = set(state.get[0]) if state.exists else set()
+        named = {int(u) for frame in held for u in frame.user_id[frame.listed]} - users
+        if named:
+            users |= named
+            state.update((sorted(users),))
+        for frame in held:
+            kept = frame.loc[~frame.listed & ~frame.user_id.isin(users), columns]
+            if len(kept):
+                yield kept
+
+    bucket = F.pmod(F.xxhash64("user_id"), F.lit(buckets)).cast("int").alias("bucket")
+    salt = F.pmod(F.xxhash64("ts", "province", "city", "ad_id"), F.lit(copies)).cast("int").alias("salt")
+    clicks = log.select(*columns, bucket, salt, F.lit(False).alias("listed"))
+    nothing = [F.lit(None).cast(schemas.AD_LOG[c].dataType).alias(c) for c in columns if c != "user_id"]
+    every = F.explode(F.sequence(F.lit(0), F.lit(copies - 1))).alias("salt")
+    named = listings.select("user_id", *nothing, bucket, every, F.lit(True).alias("listed"))
+    return (
+        clicks.unionByName(named)
+        .groupBy("bucket", "salt")
+        .applyInPandasWithState(keep, schemas.AD_LOG, "users array<bigint>", "append", GroupStateTimeout.NoTimeout)
+    )
+
+
+def listing_stream(spark: SparkSession, tables: AdTables) -> DataFrame:
+    """The additions to the blacklist as a stream."""
+    tables.listings.create(spark)
+    return spark.readStream.schema(schemas.AD_BLACKLIST).parquet(f"{tables.listings.path}/batch-*")
+
+
+def start_clean_query(log: DataFrame, tables: AdTables, trigger: dict = EVERY_5_SECONDS) -> StreamingQuery:
+    """Store the clicks of users whom nobody had listed when their batch began."""
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        tables.clean_log.publish(batch, batch_id)
+
+    return start(unlisted(log, listing_stream(log.sparkSession, tables)), "clean", tables, save, trigger, mode="append")
+
+
+def start_clean_by_lookup(
     log: DataFrame,
     tables: AdTables,
     trigger: dict = EVERY_5_SECONDS,
     broadcast_users: int = _BROADCAST_USERS,
 ) -> StreamingQuery:
-    """Store the clicks of users who are not on the blacklist when their batch runs."""
+    """The same without state: the blacklist is read for every batch, and a replayed batch may find it longer."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
         # Counted and joined: computed once.
@@ -152,7 +236,7 @@ def start_clean_query(
         finally:
             listed.unpersist()
 
-    return _start(log, "clean", tables, save, trigger, mode="append")
+    return start(log, "clean", tables, save, trigger, mode="append")
 
 
 def clean_stream(
@@ -176,24 +260,19 @@ def start_stat_query(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         spark, stat = batch.sparkSession, tables.stat
-        stat.publish(batch, batch_id)
-        if top is None:
-            stat.tidy(spark, tables.compact_every)
+        days = stat.publish(batch, batch_id)
+        if not days:  # a batch that only moved the watermark
             return
-        changed = stat.batch_rows(spark, batch_id) if stat.has_batch(spark, batch_id) else batch
-        if changed.isEmpty():  # a batch that only moved the watermark
-            return
-        slices = ["date", "province"]
-        first_day = changed.agg(F.min("date").alias("date")).scalar()
-        current = stat.latest_of(stat.changes(spark).where(F.col("date") >= first_day))
-        best = ads.top_ads_by_province(current, top).select(*schemas.AD_PROVINCE_TOP3.names)
-        # Joined last, when a province has only its top rows left.
-        touched = best.join(changed.select(*slices).distinct(), slices, "left_semi")
-        replace_slices(touched, tables.province_top, slices)
-        stat.tidy(spark, tables.compact_every)
+        if top is not None:
+            slices = ["date", "province"]
+            best = ads.top_ads_by_province(stat.latest(spark, days), top).select(*schemas.AD_PROVINCE_TOP3.names)
+            # Joined last, when a province has only its top rows left.
+            changed = stat.batch_rows(spark, batch_id, days).select(*slices).distinct()
+            replace_slices(best.join(changed, slices, "left_semi"), tables.province_top, slices)
+        _tend(spark, stat, days, tables.compact_every, watermark)
 
     counts = ads.ad_stat(clean.withWatermark("ts", watermark))
-    return _start(counts, "stat", tables, save, trigger)
+    return start(counts, "stat", tables, save, trigger)
 
 
 def start_trend_query(
@@ -205,11 +284,11 @@ def start_trend_query(
     """Clicks per minute and ad. A minute is counted once, not in every window it falls into."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        tables.trend.publish(batch, batch_id)
-        tables.trend.tidy(batch.sparkSession, tables.compact_every)
+        if days := tables.trend.publish(batch, batch_id):
+            _tend(batch.sparkSession, tables.trend, days, tables.compact_every, watermark)
 
     counts = ads.minute_parts(ads.minute_clicks(clean.withWatermark("ts", watermark)))
-    return _start(counts, "trend", tables, save, trigger)
+    return start(counts, "trend", tables, save, trigger)
 
 
 def start_reject_query(lines: DataFrame, tables: AdTables, trigger: dict = EVERY_5_SECONDS) -> StreamingQuery:
@@ -229,20 +308,15 @@ def province_top(spark: SparkSession, tables: AdTables) -> DataFrame:
 
 
 def trend(spark: SparkSession, tables: AdTables, lookback: str = "60 minutes") -> DataFrame:
-    """The stored minutes of the last hour before the newest one."""
-    counts = tables.trend.latest(spark)
-    minute = F.to_timestamp(F.concat_ws(" ", "date", "hour", "minute"), "yyyy-MM-dd HH mm")
-    timed = counts.withColumn("at", minute)
-    newest = tables.trend.changes(spark).agg(
-        F.max(F.concat_ws(" ", "date", "hour", "minute")).alias("newest")
-    )
-    start = F.to_timestamp(newest.scalar(), "yyyy-MM-dd HH mm") - F.expr(f"INTERVAL {lookback}")
-    # The day alone already leaves most files out.
-    return (
-        timed.where(F.col("date") >= times.format_date(start))
-        .where(F.col("at") > start)
-        .drop("at")
-    )
+    """The stored minutes of the last hour before the newest one. Only the days that hour touches are read."""
+    days = tables.trend.days(spark)
+    minute = F.concat_ws(" ", "date", "hour", "minute")
+    found = tables.trend.changes(spark, days[-1:]).agg(F.to_timestamp(F.max(minute), "yyyy-MM-dd HH mm").alias("newest"))
+    first = F.col("newest") - F.expr(f"INTERVAL {lookback}")
+    start = found.select(times.format_date(first).alias("day")).first()["day"]
+    recent = tables.trend.latest(spark, [day for day in days if day >= start])
+    timed = recent.withColumn("at", F.to_timestamp(minute, "yyyy-MM-dd HH mm"))
+    return timed.where(F.col("at") > found.select(first).scalar()).drop("at")
 
 
 def start_all(
