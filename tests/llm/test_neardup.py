@@ -142,8 +142,52 @@ def test_similarity_matrix():
     rng = np.random.default_rng(4)
     sets = [np.unique(rng.integers(0, 60, rng.integers(1, 60)).astype("<u8")) for _ in range(30)]
     for left, right in ((sets, sets), (sets[:2], sets[2:4])):
-        got = neardup.similar(left, right, 0.5, step=16)
-        for i, a in enumerate(left):
-            for j, b in enumerate(right):
-                shared = len(np.intersect1d(a, b))
-                assert got[i, j] == (2 * shared >= len(a) + len(b) - shared)
+        for share in (1.0, 0.3, 0.01):  # only pairs that met are compared
+            met = rng.random((len(left), len(right))) < share
+            got = neardup.similar(left, right, 0.5, met, step=16)
+            for i, a in enumerate(left):
+                for j, b in enumerate(right):
+                    shared = len(np.intersect1d(a, b))
+                    assert got[i, j] == (met[i, j] and 2 * shared >= len(a) + len(b) - shared)
+
+
+def test_recall_over_the_given_texts(spark):
+    """Every pair of texts that brute force links has a link, at 0.8 and at 0.9."""
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    first = {}
+    for r in docs.orderBy("doc_id").collect():
+        words = byte_words(r.text)
+        if words:
+            first.setdefault(tuple(words), r.doc_id)
+    grams = {key: np.unique([hash(w[i : i + 5]) for i in range(max(1, len(w) - 4))]) for w, key in first.items()}
+    keys = sorted(grams)
+    met = np.ones((len(keys), len(keys)), bool)
+    for threshold in (0.8, 0.9):
+        near = neardup.similar([grams[k] for k in keys], [grams[k] for k in keys], threshold, met)
+        wanted = dict(zip(keys, (near.sum(axis=1) - 1).tolist()))
+        got = {r.copy_id: r.n_links for r in neardup.near_duplicates(docs, threshold=threshold).collect() if r.copy_id in wanted}
+        assert sum(got.values()) >= 0.999 * sum(wanted.values()) > 0
+        assert all(got[k] <= n for k, n in wanted.items())
+
+
+def test_a_prefix_of_half_the_rows_is_split(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key, None) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        keys = spark.range(0, 40_000, 1, 16).selectExpr("id", "3 AS tree", "if(id % 2 = 0, 7L, id div 8) AS prefix")
+        shared = neardup.shared_places(keys)
+        assert shared.filter("prefix = 7").count() == 20_000 + 4
+        shared.collect()
+        assert "skew=true" in shared._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

@@ -17,13 +17,14 @@ def _brute(rows, k=10):
     out = set()
     for q, v in flat:
         if q % 100 == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, w)), c) for c, w in flat if c != q)
-            out |= {(q, i + 1, c, -s) for i, (s, c) in enumerate(scored[:k])}
+            most = 10**38 - 1  # beyond so many digits scores count as equal
+            scored = sorted((-max(-most, min(most, sum(a * b for a, b in zip(v, w)))), c) for c, w in flat if c != q and len(w) == len(v))
+            out |= {(q, i + 1, c, max(-(2**63), min(2**63 - 1, -s))) for i, (s, c) in enumerate(scored[:k])}
     return out
 
 
-def _found(spark, rows):
-    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>").withColumn("score", F.lit("clash"))
+def _found(spark, rows, kind="float"):
+    table = spark.createDataFrame(rows, f"vec_id bigint, embedding array<{kind}>").withColumn("score", F.lit("clash"))
     return {tuple(r) for r in pivots.top_k(table, F.col("id") % 100 == 0).collect()}
 
 
@@ -41,6 +42,25 @@ def test_few_vectors(spark, rows):
     assert _found(spark, rows) == _brute(rows)
 
 
+def test_every_length_is_searched_by_itself(spark):
+    rng = random.Random(4)
+    rows = [(k, [rng.uniform(-1, 1) for _ in range(3 if k % 7 else 5)]) for k in range(420)]
+    assert _found(spark, rows, "double") == _brute(rows)
+
+
+def test_components_beyond_what_products_in_64_bits_hold(spark):
+    rng = random.Random(6)
+    rows = [(k, [rng.uniform(-1, 1) for _ in range(4)]) for k in range(230)]
+    large = (2.2e6, 4e6, -4e6, 1e17, -1e17, 1e200, 30_000.25, 11_585.5)
+    rows += [(300 + 25 * n + j, [x, *(rng.uniform(-2, 2) for _ in range(3))]) for n, x in enumerate(large) for j in (0, 1)]
+    rows += [(700, [4e6] * 4), (701, [2.2e6] * 4), (800, [-(2.0**60)] * 4)]
+    assert _found(spark, rows, "double") == _brute(rows)
+
+
+def test_annuli_grow_with_the_vectors():
+    assert [pivots.annuli_for(n) for n in (10, 10**5, 10**7, 10**9)] == [32, 32, 228, 2282]
+
+
 def test_most_annuli_are_left_out_where_vectors_lie_in_clusters(spark):
     import numpy as np
 

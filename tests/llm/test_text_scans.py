@@ -7,6 +7,10 @@ import math
 import random
 import re
 
+import pytest
+
+from pyspark.sql import functions as F
+
 from trailmill.llm import decontaminate, licenses
 
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -119,15 +123,36 @@ def test_contamination(spark, docs_of):
     assert decontaminate.contamination(docs_of([]), table, keep=["doc_id"]).count() == 0
 
 
-def test_benchmarks_beyond_the_bound_go_in_rounds(spark, docs_of, monkeypatch):
-    monkeypatch.setattr(decontaminate, "BROADCAST_WINDOWS", 7)
-    items = [(1, " ".join(f"a{k}" for k in range(40)))]
+@pytest.mark.parametrize("sent", [0, decontaminate.BROADCAST_WINDOWS])
+def test_benchmarks_of_any_size_give_the_same(spark, docs_of, sent):
+    rng = random.Random(9)
+    text = lambda n, of=40: " ".join(f"w{rng.randrange(of)}" for _ in range(n))
+    items = [(1, " ".join(f"a{k}" for k in range(40))), (2, text(30)), (3, "one two"), (4, "same " * 20), (5, text(30))]
     table = spark.createDataFrame(items, "item_id bigint, text string")
-    rows = [(1, "x " * 300 + items[0][1]), (2, "nothing")]
-    got = decontaminate.contamination(docs_of(rows), table, keep=["doc_id"]).collect()
+    rows = [(1, "x " * 300 + items[0][1]), (2, "nothing"), (3, text(200) + items[1][1] + " one two " + "same " * 300), (4, items[4][1]), (5, items[4][1])]
+    got = decontaminate.contamination(docs_of(rows), table, keep=["doc_id"], sent=sent).collect()
     assert sorted(map(tuple, got)) == [(k, *_contamination(t, items)) for k, t in rows]
 
 
+def test_a_large_benchmark_is_joined_by_shuffle_and_the_documents_read_as_often_as_with_a_small_one(spark, docs_of, tmp_path):
+    docs_of([(k, f"a b c d e f g h i j k l m n o p {k}") for k in range(50)]).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs").selectExpr("sha2(text, 256) AS key", "text")
+    table = spark.createDataFrame([(1, "a b c d e f g h i j k l m n o p q r s t u v")], "item_id bigint, text string")
+    windows, _ = decontaminate.benchmark_windows(table)
+    plans = [decontaminate.hit_windows(docs, windows, sent)._jdf.queryExecution().executedPlan().toString() for sent in (0, 100)]
+    assert "BroadcastHashJoin" in plans[1] and "BroadcastHashJoin" not in plans[0]
+    assert [p.count("/docs") for p in plans] == [1, 1]  # the hashes were a scan of their own, whatever the number of windows
+
+
+def test_rows_keep_columns_of_any_name(spark, docs_of):
+    docs = docs_of([(1, "one two three"), (None, None)]).withColumns({n: F.lit(n) for n in ("n_hit", "contaminated", "__key", "key", "row")})
+    table = spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")
+    whole = decontaminate.contamination(docs, table, whole=True).select("row.*", "contaminated")
+    assert whole.columns == [*docs.columns, "contaminated"]
+    found = {r.doc_id: r for r in decontaminate.contamination(docs, table).collect()}
+    assert found[1].contaminated is True and found[1].key == "key" and found[None].n_words == 0 and found[1]["__key"] == "__key"
+
+
 def test_native_plans(spark, docs_of):
     rows = docs_of([(1, "all rights reserved")])
     table = spark.createDataFrame([(1, "one two three")], "item_id bigint, text string")

@@ -72,3 +72,26 @@ def test_files_outside_the_manifest_do_not_count(spark, pages, tmp_path):
 def test_no_pages(spark, pages, tmp_path):
     warc.write(pages.limit(0), f"file://{tmp_path}/c")
     assert warc.read(spark, f"file://{tmp_path}/c").count() == 0
+
+
+def test_every_append_counts_and_overwriting_takes_its_place(spark, pages, tmp_path):
+    path = f"file://{tmp_path}/d"
+    warc.write(pages.where("page_id < 5"), path)
+    warc.write(pages.where("page_id >= 5"), path)
+    (tmp_path / "d" / "lost.warc").write_bytes(b"half a rec")
+    assert warc.read(spark, path).count() == pages.where("page_id IS NOT NULL").count()
+    warc.write(pages.where("page_id = 7"), path, "overwrite")
+    assert [r.page_id for r in warc.read(spark, path).collect()] == [7]
+    warc.write(pages.where("page_id = 8"), path)
+    assert sorted(r.page_id for r in warc.read(spark, path).collect()) == [7, 8]
+
+
+def test_ranges_of_numbers_are_pushed_down(spark, pages, folder):
+    rows = warc.read(spark, folder).filter("payload_bytes > 90 AND payload_bytes <= 101 AND page_id >= 1 AND page_id < 11")
+    assert sorted(r.page_id for r in rows.collect()) == [1, 2, 10]
+    reader = warc.WarcReader({"path": folder}, rows.schema)
+    text = warc.GreaterThan(("target_uri",), "u")
+    assert list(reader.pushFilters([warc.LessThanOrEqual(("page_id",), 4), warc.GreaterThan(("payload_bytes",), 50), text])) == [text]
+    found = [x for p in reader.partitions() for b in reader.read(p) for x in b.column("page_id").to_pylist()]
+    wanted = [r.page_id for r in pages.collect() if r.page_id and r.page_id <= 4 and len((r.html or "").encode()) > 50]
+    assert sorted(found) == sorted(wanted)

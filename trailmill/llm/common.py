@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import os
+from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..plans import scratch
 
@@ -60,9 +61,50 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return scratch.stored(df, f"llm-{name}")
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int = 4_000_000):
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def cached(name: str, clear: Callable[[], None]) -> None:
+    """Notes how to empty what an operator remembers in a worker process."""
+    _CACHES[name] = clear
+
+
+def only(*names: str) -> None:
+    """Empties what other operators remember: a worker serves one stage after the other, and would keep it all."""
+    for name, clear in _CACHES.items():
+        if name not in names:
+            clear()
+
+
+class Carried:
+    """The columns ``keep`` of ``docs`` (all, if None) as one struct, so that they may have any names, and the text with them
+    only once. ``frame`` has ``row`` and, where the text is not among them as it is, ``text``."""
+
+    def __init__(self, docs: DataFrame, text: str, keep: list[str] | None = None):
+        self.names = docs.columns if keep is None else list(keep)
+        held = text in self.names and docs.schema[text].dataType == T.StringType()
+        self.place = self.names.index(text) if held else None
+        own = [] if held else [docs[text].cast("string").alias("text")]
+        self.frame = docs.select(F.struct(*[docs[c].alias(c) for c in self.names]).alias("row"), *own)
+
+    def shape(self, results: str) -> T.StructType:
+        """``row`` and the results, as a schema."""
+        found = T.StructType.fromDDL(results)
+        return T.StructType([self.frame.schema["row"], *found.fields])
+
+    def unpacked(self, found: DataFrame, *results: str) -> DataFrame:
+        """The kept columns and the results; a kept column with a result's name gives way to it."""
+        return found.select(*[F.col("row").getField(c).alias(c) for c in self.names if c not in results], *results)
+
+
+def text_of(batch: pa.RecordBatch, place: int | None) -> pa.Array:
+    """The texts of a batch of a :class:`Carried` frame."""
+    return batch.column("text") if place is None else pa.compute.struct_field(batch.column("row"), place)
+
+
+def slices(batch: pa.RecordBatch, column: str | pa.Array, size: int = 4_000_000):
     """The batch in slices whose texts hold about ``size`` bytes, or one row if that is longer."""
-    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0))
+    lengths = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column) if isinstance(column, str) else column), 0))
     part = np.cumsum(lengths, dtype=np.int64) // size
     cuts = [0, *(np.flatnonzero(np.diff(part)) + 1), len(lengths)]
     for start, end in zip(cuts, cuts[1:]):

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import tokens
-from .common import slices, stored
+from .common import cached, only, slices, stored
 
 # A table of this many pairs, 13 bytes each, is sent to every worker; a larger one is joined by shuffle.
 SENT = 4_000_000
@@ -95,10 +95,12 @@ def _bounds(lists: pa.Array) -> tuple[np.ndarray, pa.Array]:
 
 
 _LOADED: dict[tuple[str, str], tuple[SpacedEncoder, SentencePieces]] = {}
+cached("crosstok", _LOADED.clear)
 
 
 def _coders(path_a: str, path_b: str) -> tuple[SpacedEncoder, SentencePieces]:
     """One pair of encoders for each worker process and pair of files."""
+    only("crosstok")
     if (path_a, path_b) not in _LOADED:
         _LOADED[path_a, path_b] = SpacedEncoder(path_a), SentencePieces(path_b)
     return _LOADED[path_a, path_b]

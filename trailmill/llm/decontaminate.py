@@ -16,7 +16,7 @@ WINDOW = 13
 GRAM = 5
 # Window starts in one row: bounds the words that a fingerprint carries along.
 STRETCH = 256
-# Benchmark windows sent to every task at once (about 300 bytes each); more are joined in as many rounds.
+# Benchmark windows sent to every task (about 300 bytes each); more are joined by shuffle.
 BROADCAST_WINDOWS = 100_000
 
 
@@ -84,13 +84,10 @@ def _marks(words: Column, starts: Column, short: list[int]) -> Column:
     return F.concat(*found) if len(found) > 1 else found[0]
 
 
-def hit_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(key, start, n, window_words) wherever a window stands in a text; ``docs`` has key and text."""
-    sizes = [r["n"] for r in windows.filter(F.col("n") < WINDOW).select("n").distinct().collect()]  # 12 at most
-    total = windows.count()
-    words = word_column(F.col("text"))
-    split = docs.select("key", words.alias("words")).filter(F.size("words") > 0)
-    stretches = split.select(
+def _stretches(docs: DataFrame) -> DataFrame:
+    """(key, offset, near): the words of each text in stretches, each with what a window at its last word needs."""
+    split = docs.select("key", word_column(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    return split.select(
         "key",
         F.explode(
             F.transform(
@@ -99,41 +96,58 @@ def hit_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
             )
         ).alias("stretch"),
     ).select("key", "stretch.offset", "stretch.near")
+
+
+def hit_windows(docs: DataFrame, windows: DataFrame, sent: int = BROADCAST_WINDOWS) -> DataFrame:
+    """(key, start, n, window_words) wherever a window stands in a text; ``docs`` has key and text.
+
+    Up to ``sent`` windows are sent to every task, which looks its fingerprints up as it makes them. More are joined by a
+    shuffle of hashes alone; the words of the stretches that meet a window are then fetched again.
+    """
+    sizes = [r["n"] for r in windows.filter(F.col("n") < WINDOW).select("n").distinct().collect()]  # 12 at most
+    stretches = _stretches(docs)
     marked = stretches.select(
         "key", "offset", "near", F.explode(_marks(F.col("near"), F.lit(STRETCH), sorted(sizes))).alias("mark")
     ).select("key", "offset", "near", F.col("mark.at").alias("place"), F.col("mark.n").alias("n"), F.col("mark.hash").alias("hash"))
-    rounds = max(1, -(-total // BROADCAST_WINDOWS))
-    found = None
-    for k in range(rounds):  # one, but for benchmarks beyond the bound
-        part = windows if rounds == 1 else windows.filter(F.pmod("hash", F.lit(rounds)) == k)
-        start = F.col("at_word") - F.col("at") + 1
-        # Few fingerprints meet: only for those are the gram's places looked up.
-        places = F.when(F.col("n") == WINDOW, gram_places(F.col("near"), F.col("hash"))).otherwise(F.array("place"))
-        hits = (
-            marked.join(F.broadcast(part), ["hash", "n"])
-            .withColumn("at_word", F.explode(places))
-            .filter((start >= 1) & (_slice(F.col("near"), F.greatest(start, F.lit(1)), F.col("n")) == F.col("window_words")))
-            .select("key", (F.col("offset") + start - 1).alias("start"), "n", "window_words")
-        )
-        found = hits if found is None else found.unionByName(hits)
-    return found
-
-
-def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    if windows.count() <= sent:
+        met = marked.join(F.broadcast(windows), ["hash", "n"])
+    else:
+        known = windows.select("hash", "n").distinct().hint("merge")
+        met = stored(marked.drop("near").join(known, ["hash", "n"], "left_semi"), "benchmark-met")
+        # Sorted by key, the merge join takes a text that holds many windows, and many texts that hold one, as they come.
+        met = stretches.join(met.hint("merge"), ["key", "offset"]).join(windows.hint("merge"), ["hash", "n"])
+    start = F.col("at_word") - F.col("at") + 1
+    # Few fingerprints meet: only for those are the gram's places looked up.
+    places = F.when(F.col("n") == WINDOW, gram_places(F.col("near"), F.col("hash"))).otherwise(F.array("place"))
+    return (
+        met.withColumn("at_word", F.explode(places))
+        .filter((start >= 1) & (_slice(F.col("near"), F.greatest(start, F.lit(1)), F.col("n")) == F.col("window_words")))
+        .select("key", (F.col("offset") + start - 1).alias("start"), "n", "window_words")
+    )
+
+
+def contamination(
+    docs: DataFrame,
+    items: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    keep: list[str] | None = None,
+    whole: bool = False,
+    sent: int = BROADCAST_WINDOWS,
+) -> DataFrame:
     """The columns ``keep`` of every row with n_words, n_hit, n_items, items_sha256 and contaminated.
 
     A word is hit if it stands inside an occurrence of any item's window. Contaminated: some word is hit, and
     at least a twentieth of the words are. Equal texts have equal results, so hits are gathered by a
     digest of the text, and rows with null or repeated keys keep their own rows. A null text has no
-    words; without items nothing is hit.
+    words; without items nothing is hit. A kept column named like a result gives way to it; with ``whole`` the kept columns
+    stay apart, in the struct ``row``.
     """
     kept = docs.columns if keep is None else keep
-    digest = F.sha2(F.col(text).cast("string"), 256)
-    rows = docs.withColumn("__key", digest)
+    plain = docs[text].cast("string")
+    rows = docs.select(F.struct(*[docs[c].alias(c) for c in kept]).alias("row"), plain.alias("text"), F.sha2(plain, 256).alias("key"))
     windows, held = benchmark_windows(items)
-    found = stored(
-        hit_windows(rows.select(F.col("__key").alias("key"), F.col(text).cast("string").alias("text")), windows).distinct(), "benchmark-hits"
-    )
+    found = stored(hit_windows(rows.select("key", "text"), windows, sent).distinct(), "benchmark-hits")
     # Words hit: the union of the windows' places, counted for each text.
     places = found.select("key", F.explode(F.sequence("start", F.col("start") + F.col("n") - 1)).alias("place")).distinct()
     words_hit = places.groupBy("key").agg(F.count("*").alias("n_hit"))
@@ -141,15 +155,17 @@ def contamination(docs: DataFrame, items: DataFrame, key: str = "doc_id", text:
     of_text = found.select("key", "window_words").distinct().join(held, "window_words").groupBy("key")
     listed = of_text.agg(F.sort_array(F.collect_set("item")).alias("items"))
     hits = stored(words_hit.join(listed, "key"), "benchmark-hit-texts")
-    counted = rows.select(*[F.col(c) for c in kept], "__key", F.size(word_column(F.col(text).cast("string"))).cast("bigint").alias("n_words"))
-    joined = counted.join(hits.withColumnRenamed("key", "__key"), "__key", "left")
+    counted = rows.select("row", "key", F.size(word_column(F.col("text"))).cast("bigint").alias("n_words"))
+    joined = counted.join(hits, "key", "left")
     n_hit = F.coalesce(F.col("n_hit"), F.lit(0)).cast("bigint")
     names = F.coalesce(F.col("items"), F.array().cast("array<string>"))
-    return joined.select(
-        *kept,
+    results = joined.select(
+        "row",
         "n_words",
         n_hit.alias("n_hit"),
         F.size(names).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(names, ","), 256).alias("items_sha256"),
         ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+    added = results.columns[1:]
+    return results if whole else results.select(*[F.col("row").getField(c).alias(c) for c in kept if c not in added], *added)

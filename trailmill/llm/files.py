@@ -29,6 +29,16 @@ def listed(uri: str, ending: str) -> list[tuple[str, int]]:
     )
 
 
+def exists(uri: str) -> bool:
+    system, path = fs.FileSystem.from_uri(uri)
+    return system.get_file_info(path).type != fs.FileType.NotFound
+
+
+def delete(uri: str) -> None:
+    system, path = fs.FileSystem.from_uri(uri)
+    system.delete_file(path)
+
+
 def fresh_name(prefix: str, ending: str) -> str:
     """A name no other attempt of the task has; only files named in a committed manifest count."""
     return f"{prefix}-{uuid.uuid4().hex}{ending}"

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import slices
+from .common import Carried, cached, only, slices, text_of
 
 # Parameters of the model; the sample they bound is the only part of the data that is sampled.
 TRAINING_CHARS = 48_000  # of each language
@@ -26,6 +26,7 @@ TRAINING_TEXTS = 200  # of each language, at most
 CHUNK = 1_000  # characters taken from the middle of a longer training text
 SEGMENT = 1_024  # a phrase ends at the latest where a stretch of so many characters ends
 UNKNOWN = "und"
+DENSE = 126  # letters of a language whose transitions are a row for each state
 _SPACE, _OTHER, _FIRST = 0, 1, 2
 
 
@@ -73,6 +74,31 @@ class SuffixAutomaton:
         out[0] = begin + 1  # a phrase begins
         return out.reshape(-1)
 
+    def edges(self, symbols: int) -> Edges:
+        """The same for any number of symbols: only transitions that exist."""
+        begin = np.zeros(symbols, np.int64)
+        for c, state in self.next[0].items():
+            begin[c] = 2 * state * symbols
+        pairs = sorted((state * symbols + c, 2 * target * symbols) for state, edges in enumerate(self.next) if state for c, target in edges.items())
+        keys, targets = (np.array(x, np.int64) for x in zip(*pairs)) if pairs else (np.zeros(0, np.int64),) * 2
+        return Edges(keys, targets, begin + 1, symbols)
+
+
+@dataclass
+class Edges:
+    """A table of transitions that are looked up by their place, as :meth:`SuffixAutomaton.table` numbers them."""
+
+    keys: np.ndarray
+    targets: np.ndarray
+    begin: np.ndarray
+    symbols: int
+
+    def __getitem__(self, place: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return self.begin[place % self.symbols]
+        at = np.minimum(np.searchsorted(self.keys, place), len(self.keys) - 1)
+        return np.where(self.keys[at] == place, self.targets[at], self.begin[place % self.symbols])
+
 
 _LETTERS = None
 
@@ -106,21 +132,27 @@ class Model:
 
 
 class Parser:
-    """The tables of a model; about 10 MB for each language."""
+    """The tables of a model; about 10 MB for each language. Every letter of a language's text is a symbol of its own.
+
+    A language of more than DENSE letters has its transitions in sorted arrays instead of a row for each state.
+    """
 
-    def __init__(self, model: Model, alphabet: int = 62):
+    def __init__(self, model: Model):
         self.model = model
-        coded = [normalised(_codes_of_text(t.lower())) for t in model.texts]
-        everything = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
-        values, counts = np.unique(everything[everything != 32], return_counts=True)
-        common = values[np.argsort(-counts, kind="stable")][:alphabet]
-        self.code = np.full(sys.maxunicode + 1, _OTHER, np.uint8)
-        self.code[32] = _SPACE
-        self.code[common] = _FIRST + np.arange(len(common))
-        self.code[~_letters()] = _SPACE
-        symbols = len(common) + _FIRST
-        self.tables = [SuffixAutomaton(self.code[c].tolist()).table(symbols) for c in coded]
-        self.weights = np.array([math.log2(max(len(c), 2)) for c in coded])
+        self.codes, self.tables, weights = [], [], []
+        space = ~_letters()
+        for text in model.texts:
+            points = normalised(_codes_of_text(text.lower()))
+            letters = np.unique(points[points != 32])
+            code = np.full(sys.maxunicode + 1, _OTHER, np.uint16 if len(letters) > 250 else np.uint8)
+            code[space] = _SPACE
+            code[letters] = _FIRST + np.arange(len(letters))
+            automaton = SuffixAutomaton(code[points].tolist())
+            symbols = len(letters) + _FIRST
+            self.codes.append(code)
+            self.tables.append(automaton.table(symbols) if len(letters) <= DENSE else automaton.edges(symbols))
+            weights.append(math.log2(max(len(points), 2)))
+        self.weights = np.array(weights)
 
     def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(languages x texts) numbers of phrases, and the letters of each text."""
@@ -128,13 +160,13 @@ class Parser:
         ends = np.flatnonzero(points == 10)
         bounds = np.concatenate([[-1], ends, [len(points)]]) + 1
         owner = np.repeat(np.arange(len(texts)), np.diff(bounds))[: len(points)]
-        code = self.code[points]
-        counts = np.bincount(owner[code != _SPACE], minlength=len(texts))
+        space = ~_letters()[points]
+        counts = np.bincount(owner[~space], minlength=len(texts))
         inside = points != 10
-        code, owner = code[inside], owner[inside]
-        again = (code[1:] == _SPACE) & (code[:-1] == _SPACE) & (owner[1:] == owner[:-1])
-        keep = np.concatenate([[True], ~again])[: len(code)]
-        code, owner = code[keep], owner[keep]
+        points, space, owner = points[inside], space[inside], owner[inside]
+        again = space[1:] & space[:-1] & (owner[1:] == owner[:-1])
+        keep = np.concatenate([[True], ~again])[: len(points)]
+        points, owner = points[keep], owner[keep]
         sizes = np.bincount(owner, minlength=len(texts))
         starts = np.cumsum(sizes) - sizes
         each = -(-sizes // self.model.segment)
@@ -147,7 +179,8 @@ class Parser:
         live = len(lane_size) - np.searchsorted(lane_size[::-1], np.arange(1, (lane_size[0] if len(order) else 0) + 1))
         found = np.zeros((len(self.tables), len(texts)), np.int64)
         for k, table in enumerate(self.tables):
-            state = np.zeros(len(lane_size), np.int32)
+            code = self.codes[k][points]
+            state = np.zeros(len(lane_size), np.int32 if isinstance(table, np.ndarray) else np.int64)
             number = np.zeros(len(lane_size), np.int32)
             for t, n in enumerate(live):  # lanes are sorted by size: the first n still have a character
                 step = table[state[:n] + code[lane_start[:n] + t]]
@@ -197,33 +230,40 @@ def train(docs: DataFrame, learn: Column, key: str = "doc_id", text: str = "text
 
 
 _PARSERS: dict[tuple, Parser] = {}
+cached("langid", _PARSERS.clear)
+
+
+def _parser(mark: tuple, model: Model) -> Parser:
+    """One parser for each worker process; other operators' memories are emptied."""
+    only("langid")
+    if mark not in _PARSERS:
+        _PARSERS.clear()
+        _PARSERS[mark] = Parser(model)
+    return _PARSERS[mark]
 
 
-def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, whole: bool = False) -> DataFrame:
     """The columns ``keep`` of every row with lang_pred, score (0 to 1) and phrase_rate.
 
     score is the share that the second-best language has of both costs: 0.5 for a tie, near 1 for
     certainty. A text that is null or has no letters is `und` with score 0. Rows are independent:
-    nulls elsewhere, repeated rows and other columns change nothing. No shuffle.
+    nulls elsewhere, repeated rows and other columns change nothing. No shuffle. A kept column named like a result gives
+    way to it; with ``whole`` the kept columns stay apart, in the struct ``row``.
     """
-    kept = docs.columns if keep is None else keep
-    frame = docs.select(*kept, docs[text].cast("string").alias("__text"))
+    carried = Carried(docs, text, keep)
     sent = docs.sparkSession.sparkContext.broadcast(model)  # TRAINING_CHARS for each language
-    mark = (tuple(model.languages), tuple(map(hash, model.texts)), model.segment)
+    mark, place = (tuple(model.languages), tuple(map(hash, model.texts)), model.segment), carried.place
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if mark not in _PARSERS:
-            _PARSERS.clear()
-            _PARSERS[mark] = Parser(sent.value)
-        parser = _PARSERS[mark]
+        parser = _parser(mark, sent.value)
         for batch in batches:
-            for part in slices(batch, "__text", 2_000_000):
-                texts = pc.utf8_lower(pc.fill_null(part.column("__text"), "")).to_pylist()
+            for part in slices(batch, text_of(batch, place), 2_000_000):
+                texts = pc.utf8_lower(pc.fill_null(text_of(part, place), "")).to_pylist()
                 languages, score, rate = parser.predict(texts)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(len(kept))), pa.array(languages, pa.string()), pa.array(score), pa.array(rate)],
-                    names=[*kept, "lang_pred", "score", "phrase_rate"],
+                    [part.column("row"), pa.array(languages, pa.string()), pa.array(score), pa.array(rate)],
+                    names=["row", "lang_pred", "score", "phrase_rate"],
                 )
 
-    shape = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in frame.schema if f.name != "__text")
-    return frame.mapInArrow(run, f"{shape}, lang_pred string, score double, phrase_rate double")
+    found = carried.frame.mapInArrow(run, carried.shape("lang_pred string, score double, phrase_rate double"))
+    return found if whole else carried.unpacked(found, "lang_pred", "score", "phrase_rate")

@@ -2,9 +2,9 @@
 
 This is not a whole LSH forest: no signatures are sorted, and no prefix longer than the fixed depth is tried. Texts that share
 the prefix of that depth in some tree are candidates; the depth is the longest at which the chance that a pair at the threshold
-shares one reaches the target recall (``prefix_depth``). Candidates that hang
-together form groups; in each group every pair is then compared exactly, in blocks, and only counts and
-a spanning set of the links leave a block, never all pairs of a group.
+shares one reaches the target recall (``prefix_depth``). Texts that hang together by shared prefixes are laid out in
+blocks; two blocks meet only if some prefix has texts of both, and of two blocks that meet only the pairs that share a
+prefix are compared, exactly. Only counts and a spanning set of the links leave a block, never all pairs of a group.
 """
 
 from __future__ import annotations
@@ -15,9 +15,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BETWEEN, LOWER, UPPER, byte_words, slices, stored
+from .common import BETWEEN, LOWER, UPPER, byte_words, cached, only, slices, stored
 
 GRAM = 5
 THRESHOLD = 0.8
@@ -88,6 +89,13 @@ def signature(grams: np.ndarray, family, step: int = 2_048) -> np.ndarray:
 
 
 _HASHER = GramHasher()
+cached("neardup", _HASHER.words.clear)
+
+
+def _hasher() -> GramHasher:
+    """The worker process's hasher; other operators' memories are emptied."""
+    only("neardup")
+    return _HASHER
 
 
 def sketches(docs: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL, threshold: float = THRESHOLD) -> DataFrame:
@@ -103,13 +111,14 @@ def sketches(docs: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: fl
         pick = (np.arange(trees)[:, None] * depth + np.arange(level)).reshape(-1)
         family = tuple(x[pick] for x in _hash_family(trees * depth))
         mix = _hash_family(level)[0]
+        hasher = _hasher()
         for batch in batches:
             for part in slices(batch, "text"):
                 digests, rows = [], []
                 for text in part.column("text").to_pylist():
                     words = byte_words(text)
                     digests.append(_digest(words))
-                    rows.append(signature(_HASHER.grams(words), family))
+                    rows.append(signature(hasher.grams(words), family))
                 signatures = np.array(rows).reshape(len(rows), trees, level).astype("<u8")
                 prefixes = np.zeros((len(rows), trees), "<u8")
                 for k in range(level):
@@ -129,11 +138,17 @@ def _digest(words: list[bytes]) -> str | None:
     return hashlib.sha256(b" ".join(words)).hexdigest() if words else None
 
 
-def candidate_links(keys: DataFrame) -> DataFrame:
-    """(a, b): each text of a shared prefix with the prefix's least id. As many rows as texts, not pairs."""
-    # The least id comes from map-side aggregation, and the join can split a prefix that a third of all rows share.
+def shared_places(keys: DataFrame) -> DataFrame:
+    """The rows of ``keys`` (id, tree, prefix) whose prefix another text has, with the prefix's least id as ``least``."""
+    # The least id comes from map-side aggregation; the join is the one that a prefix of a third of all rows would fill a task of.
     least = keys.groupBy("tree", "prefix").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    return keys.join(least, ["tree", "prefix"]).filter("id <> a").select("a", F.col("id").alias("b")).distinct()
+    # Laid out anew, for only then can adaptive execution split the prefix: it stays as an aggregate left it otherwise.
+    return keys.join(least.hint("rebalance"), ["tree", "prefix"]).select("id", "tree", "prefix", F.col("a").alias("least"))
+
+
+def candidate_links(shared: DataFrame) -> DataFrame:
+    """(a, b): each text of a shared prefix with the prefix's least id. As many rows as texts, not pairs."""
+    return shared.filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
 
 
 # ---- connected components -------------------------------------------------------------------------
@@ -148,11 +163,11 @@ def components(links: DataFrame, name: str, rounds: int = 50) -> DataFrame:
         both = edges.select("v", "u").unionByName(edges.select(F.col("u").alias("v"), F.col("v").alias("u")))
         least = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
         # Large star: larger neighbours move to the least neighbour.
-        large = both.join(least, "v").filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
+        large = both.join(least.hint("rebalance"), "v").filter("u > v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         large = stored(large.filter("u <> v"), name)
         # Small star: smaller neighbours and the node itself move to the least of them.
         low = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(low, "v").select(F.explode(F.array(F.struct(F.col("u").alias("v"), F.col("m").alias("u")), F.struct(F.col("v"), F.col("m").alias("u")))).alias("e"))
+        small = large.join(low.hint("rebalance"), "v").select(F.explode(F.array(F.struct(F.col("u").alias("v"), F.col("m").alias("u")), F.struct(F.col("v"), F.col("m").alias("u")))).alias("e"))
         new = stored(small.select("e.v", "e.u").filter("u <> v").distinct(), name)
         # A star forest: nobody is both a leaf and a root, and every leaf has one root.
         check = new.agg(F.count("*").alias("n"), F.sum(F.xxhash64("v", "u").cast("decimal(38,0)")).alias("h")).collect()[0]
@@ -167,15 +182,20 @@ def components(links: DataFrame, name: str, rounds: int = 50) -> DataFrame:
 
 
 # ---- exact comparison -----------------------------------------------------------------------------
-def similar(left: list[np.ndarray], right: list[np.ndarray], threshold: float, step: int = 8_192) -> np.ndarray:
-    """Which pairs of the two lists of sorted gram arrays reach the threshold (boolean matrix)."""
+def similar(left: list[np.ndarray], right: list[np.ndarray], threshold: float, met: np.ndarray, step: int = 8_192) -> np.ndarray:
+    """Which of the pairs ``met`` of the two lists of sorted gram arrays reach the threshold (boolean matrices)."""
     sizes_l, sizes_r = (np.array([len(x) for x in side], np.float64) for side in (left, right))
     smaller, larger = np.minimum.outer(sizes_l, sizes_r), np.maximum.outer(sizes_l, sizes_r)
-    able = smaller >= threshold * larger - 1e-9
+    able = met & (smaller >= threshold * larger - 1e-9)
     if not able.any():
         return able
+    rows, columns = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
+    if len(rows) < able.shape[0] or len(columns) < able.shape[1]:  # texts that meet nobody take no part
+        inner = similar([left[i] for i in rows], [right[j] for j in columns], threshold, able[np.ix_(rows, columns)], step)
+        able[np.ix_(rows, columns)] = inner
+        return able
     shared = np.zeros(able.shape)
-    if able.sum() <= 8:
+    if able.sum() <= max(8, able.size // 64):
         for i, j in zip(*np.nonzero(able)):
             shared[i, j] = len(np.intersect1d(left[i], right[j], assume_unique=True))
     else:
@@ -216,35 +236,38 @@ def _spanning(links: np.ndarray, left: np.ndarray, right: np.ndarray) -> list[tu
     return out
 
 
-def compare_groups(texts: DataFrame, groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, links) of exact comparison within groups: rows with b null add ``links`` to a's number of links; rows with
-    both are links enough to span what hangs together.
+def compare_groups(texts: DataFrame, groups: DataFrame, places: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, links) of exact comparison of texts that share a prefix: rows with b null add ``links`` to a's number of
+    links; rows with both are links enough to span what hangs together.
 
-    a and b are nodes. ``texts`` has id, mark and text; ``groups`` node, id, mark, digest and root: the node's text is one of
-    that id and mark, and other rows of theirs are passed over. A group's texts are laid out in blocks of bounded
-    size by a running number; each pair of blocks is compared in one row of work.
+    a and b are nodes. ``texts`` has id, mark and text; ``groups`` node, id, mark, digest, root and prefixes: the node's text is
+    one of that id and mark, and other rows of theirs are passed over. ``places`` (id, tree, prefix) has the node's prefixes. A
+    group's texts are laid out in blocks of bounded size; each two blocks that meet are one row of work.
     """
     blocked = stored(_blocks(texts, groups), "neardup-blocks")
-    counts = blocked.groupBy("root").agg(F.max("block").alias("last"))
-    # A block meets itself and each later block of its group: (last + 1)(last + 2) / 2 pairs of blocks.
-    firsts = blocked.join(counts, "root").select(
-        "root", F.col("block").alias("i"), F.explode(F.sequence("block", "last")).alias("j"), "ids", "sizes", "grams"
-    )
-    pairs = firsts.join(
-        blocked.select("root", F.col("block").alias("j"), F.col("ids").alias("ids2"), F.col("sizes").alias("sizes2"), F.col("grams").alias("grams2")),
-        ["root", "j"],
-    ).select("i", "j", "ids", "sizes", "grams", "ids2", "sizes2", "grams2")
+    # The blocks that have texts of a prefix meet each other. As many rows as a prefix has blocks, squared, not texts.
+    in_block = blocked.select("block", F.explode("ids").alias("id"))
+    touched = stored(places.join(in_block.hint("rebalance"), "id").select("tree", "prefix", "block").distinct(), "neardup-touched")
+    other = touched.select("tree", "prefix", F.col("block").alias("j")).hint("rebalance")
+    meeting = touched.withColumnRenamed("block", "i").join(other, ["tree", "prefix"]).filter("i <= j").select("i", "j").distinct()
+    firsts = meeting.join(blocked.withColumnRenamed("block", "i").hint("rebalance"), "i")
+    seconds = blocked.select(*[F.col(c).alias(f"{c}2") for c in ("ids", "sizes", "grams", "prefixes")], F.col("block").alias("j"))
+    pairs = firsts.join(seconds.hint("rebalance"), "j")
+    pairs = pairs.select("i", "j", "ids", "sizes", "grams", "prefixes", "ids2", "sizes2", "grams2", "prefixes2")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a_out, b_out, n_out = [], [], []
             for row in range(len(batch)):
                 get = lambda name: batch.column(name)[row].as_py()  # noqa: B023, E731
-                left, ids = _unpacked(get("ids"), get("sizes"), get("grams"))
-                right, ids2 = _unpacked(get("ids2"), get("sizes2"), get("grams2"))
-                links = similar(left, right, threshold)
+                left, ids, places = _unpacked(get("ids"), get("sizes"), get("grams"), get("prefixes"))
+                right, ids2, places2 = _unpacked(get("ids2"), get("sizes2"), get("grams2"), get("prefixes2"))
+                met = np.zeros((len(ids), len(ids2)), bool)
+                for tree in range(places.shape[1]):
+                    met |= places[:, None, tree] == places2[None, :, tree]
                 if get("i") == get("j"):
-                    links = np.triu(links, 1)
+                    met = np.triu(met, 1)
+                links = similar(left, right, threshold, met)
                 for side, counted in ((ids, links.sum(axis=1)), (ids2, links.sum(axis=0))):
                     some = counted > 0
                     a_out.extend(side[some].tolist())
@@ -261,63 +284,58 @@ def compare_groups(texts: DataFrame, groups: DataFrame, threshold: float = THRES
     return pairs.mapInArrow(run, "a bigint, b bigint, links bigint")
 
 
-def _unpacked(ids: bytes, sizes: bytes, grams: bytes) -> tuple[list[np.ndarray], np.ndarray]:
+def _unpacked(ids: list[int], sizes: bytes, grams: bytes, prefixes: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
     counts = np.frombuffer(sizes, "<i8")
-    return np.split(np.frombuffer(grams, "<u8"), np.cumsum(counts)[:-1]), np.frombuffer(ids, "<i8")
+    return np.split(np.frombuffer(grams, "<u8"), np.cumsum(counts)[:-1]), np.array(ids), np.frombuffer(prefixes, "<i8").reshape(len(ids), -1)
 
 
 def _blocks(texts: DataFrame, groups: DataFrame) -> DataFrame:
-    """(root, block, ids, sizes, grams): a group's texts, so many in each row; ids are nodes.
+    """(block, ids, sizes, grams, prefixes): a group's texts, so many in each row; ids are nodes, blocks are numbered.
 
     Texts of a group are spread over slices by a hash of the node, each small by the group's own size; a slice is cut
-    further where its grams are many. Block numbers are then made gapless.
+    further where its grams are many. Groups of few texts share a block.
     """
-    from pyspark.sql import Window as W
-
     sizes = groups.groupBy("root").agg(F.count("*").alias("n"))
-    sliced = groups.join(sizes, "root").select(
-        "node", "id", "mark", "digest", "root", F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / (BLOCK_TEXTS * 0.75))).cast("int").alias("slice")
+    many = F.ceil(F.col("n") / (BLOCK_TEXTS * 0.75))
+    sliced = groups.join(sizes.hint("rebalance"), "root").select(
+        "node", "id", "mark", "digest", "root", "prefixes", F.pmod(F.xxhash64("node"), many).cast("int").alias("slice")
     )
     # Always by shuffle: the members grow with the texts.
-    members = texts.join(sliced.hint("merge"), ["id", "mark"]).select("root", "slice", "node", "digest", "text")
+    members = texts.join(sliced.hint("merge"), ["id", "mark"]).select("root", "slice", "node", "digest", "prefixes", "text")
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, held, total, last = None, [], 0, None
+        hasher = _hasher()
+        number, held, total, last = TaskContext.get().partitionId() << 40, [], 0, None
 
         def row():
+            nonlocal number
+            number += 1
             return {
-                "root": at[0], "slice": at[1], "ids": np.array([k for k, _ in held], "<i8").tobytes(),
-                "sizes": np.array([len(g) for _, g in held], "<i8").tobytes(), "grams": b"".join(g.tobytes() for _, g in held),
+                "block": number, "ids": [k for k, _, _ in held], "sizes": np.array([len(g) for _, g, _ in held], "<i8").tobytes(),
+                "grams": b"".join(g.tobytes() for _, g, _ in held), "prefixes": np.array([p for _, _, p in held], "<i8").tobytes(),
             }
 
         for batch in batches:
             out = []
             for part in slices(batch, "text"):
-                for root, piece, key, digest, text in zip(*(part.column(c).to_pylist() for c in ("root", "slice", "node", "digest", "text"))):
+                for key, digest, text, places in zip(*(part.column(c).to_pylist() for c in ("node", "digest", "text", "prefixes"))):
                     words = byte_words(text)
                     if _digest(words) != digest or key == last:
                         continue
                     last = key
-                    grams = _HASHER.grams(words)
-                    if held and ((root, piece) != at or len(held) >= BLOCK_TEXTS or total + len(grams) > BLOCK_GRAMS):
+                    grams = hasher.grams(words)
+                    if held and (len(held) >= BLOCK_TEXTS or total + len(grams) > BLOCK_GRAMS):
                         out.append(row())
                         held, total = [], 0
-                    at = (root, piece)
-                    held.append((key, grams))
+                    held.append((key, grams, places))
                     total += len(grams)
             yield pa.RecordBatch.from_pylist(out, schema=shape)
         if held:
             yield pa.RecordBatch.from_pylist([row()], schema=shape)
 
-    shape = pa.schema([("root", pa.int64()), ("slice", pa.int32()), ("ids", pa.binary()), ("sizes", pa.binary()), ("grams", pa.binary())])
+    shape = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("grams", pa.binary()), ("prefixes", pa.binary())])
     ordered = members.repartition("root", "slice").sortWithinPartitions("root", "slice", "node")
-    packed = ordered.mapInArrow(pack, "root bigint, slice int, ids binary, sizes binary, grams binary")
-    packed = stored(packed, "neardup-packed")
-    # Numbers over short rows (one for each block): the block's place in its group.
-    numbered = packed.select("root", "slice", F.xxhash64("ids").alias("mark")).withColumn(
-        "block", F.row_number().over(W.partitionBy("root").orderBy("slice", "mark")).cast("int") - 1
-    )
-    return packed.withColumn("mark", F.xxhash64("ids")).join(numbered, ["root", "slice", "mark"]).select("root", "block", "ids", "sizes", "grams")
+    return ordered.mapInArrow(pack, "block bigint, ids array<bigint>, sizes binary, grams binary, prefixes binary")
 
 
 # ---- the operator ----------------------------------------------------------------------------------
@@ -342,13 +360,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", re
     nodes = stored(nodes, "neardup-nodes")
     keyed = nodes.withColumnRenamed("copy_id", "id")
     places = sketched.join(keyed, ["id", "digest"]).select(F.col("node").alias("id"), F.posexplode("prefixes").alias("tree", "prefix"))
-    links = candidate_links(places)
+    shared = stored(shared_places(places), "neardup-places")
+    links = candidate_links(shared)
     texts = rows.filter("id IS NOT NULL")
     groups = components(links, "neardup-candidates").withColumnRenamed("id", "node").join(keyed, "node")
     # A key may have many texts: they are fetched by key and mark, the least mark of the texts with the node's words.
-    groups = sketched.select("id", "digest", "mark").join(groups, ["id", "digest"])
-    groups = stored(groups.groupBy("node", "id", "digest", "root").agg(F.min("mark").alias("mark")), "neardup-groups")
-    compared = stored(compare_groups(texts, groups, threshold), "neardup-compared")
+    groups = sketched.select("id", "digest", "mark", "prefixes").join(groups, ["id", "digest"])
+    groups = groups.groupBy("node", "id", "digest", "root").agg(F.min("mark").alias("mark"), F.min("prefixes").alias("prefixes"))
+    groups = stored(groups, "neardup-groups")
+    compared = stored(compare_groups(texts, groups, shared, threshold), "neardup-compared")
     classes = components(compared.filter("b IS NOT NULL").select("a", "b"), "neardup-links").withColumnRenamed("id", "node")
     classes = classes.join(nodes.select(F.col("node").alias("root"), F.col("copy_id").alias("class_id")), "root")
     counts = compared.filter("b IS NULL").groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("n_links"))
@@ -378,11 +398,16 @@ def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Dat
     """
     classes = stored(near_duplicates(docs, key, text, with_digest=True), "neardup-rows")
     stands = F.col("digest").isNotNull() & F.col("first") & F.col(key).eqNullSafe(F.col("class_id"))
-    stay = classes.filter(stands).groupBy(F.col(key).alias("k"), "digest").count()
+    stay = classes.filter(stands).groupBy(F.col(key).alias("k"), F.col("digest").alias("d")).count()
     stay = stored(stay, "neardup-stay")
-    rows = docs.withColumn("__digest", word_digest(docs[text].cast("string")))
-    matched = F.col(key).eqNullSafe(F.col("k")) & F.col("__digest").eqNullSafe(F.col("digest"))
-    kept = rows.filter("__digest IS NOT NULL").join(stay.select("k", "digest"), matched, "left_semi")
+    # The rows travel as a struct, so their columns may have any names.
+    rows = docs.select(
+        F.struct(*[docs[c].alias(c) for c in docs.columns]).alias("row"),
+        docs[key].cast("bigint").alias("key"),
+        word_digest(docs[text].cast("string")).alias("digest"),
+    )
+    matched = F.col("key").eqNullSafe(F.col("k")) & (F.col("digest") == F.col("d"))
+    kept = rows.filter("digest IS NOT NULL").join(stay.select("k", "d"), matched, "left_semi")
     if stay.filter("count > 1").limit(1).count():
-        kept = kept.dropDuplicates([key, "__digest"])
-    return kept.unionByName(rows.filter("__digest IS NULL")).select(*docs.columns)
+        kept = kept.dropDuplicates(["key", "digest"])
+    return kept.unionByName(rows.filter("digest IS NULL")).select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

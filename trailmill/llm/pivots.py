@@ -9,27 +9,40 @@ reaches their k-th best score.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+import pyarrow.compute
+from pyspark.sql import DataFrame, Window as W, functions as F
 
 from .common import stored
 
 # Parameters: pivots are fitted on about PIVOT_SAMPLE vectors (chosen by a hash of the vector); all vectors are indexed.
-PIVOTS, ANNULI, PIVOT_SAMPLE = 24, 32, 4_096
+PIVOTS, ANNULI, PIVOT_SAMPLE = 24, 32, 4_096  # annuli of a pivot at least, see annuli_for
 BLOCK = 2_048  # vectors in a row of the index
 QUERIES = 256  # queries in a row of work
 SCALE = 1_024
 
 
-def whole_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
-    """(id, v): floor(scale * x) of each component as double; rows with a null or non-finite part, or without components, are left out."""
+def usable_vectors(table: DataFrame, key: str = "vec_id", vector: str = "embedding", scale: int = SCALE) -> DataFrame:
+    """(id, x, wide): rows whose components are all finite numbers, one at least.
+
+    The operator's whole numbers are floor(scale * x). A vector is wide if one of them is so large that sums of products
+    could leave what doubles hold exactly; the index has the others.
+    """
     rows = table.select(F.col(key).cast("bigint").alias("id"), F.col(vector).cast("array<double>").alias("x"))
     good = F.forall("x", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     kept = rows.filter(F.col("id").isNotNull() & (F.size("x") > 0)).filter(F.coalesce(good, F.lit(False)))
-    return kept.select("id", F.transform("x", lambda x: F.floor(x * scale).cast("bigint")).alias("v"))
+    largest = F.array_max(F.transform("x", F.abs)) * scale + 1
+    return kept.select("id", "x", (largest > F.sqrt(F.lit(float(2**52)) / F.size("x"))).alias("wide")).dropDuplicates(["id", "x"])
+
+
+def whole_vectors(narrow: DataFrame, scale: int = SCALE) -> DataFrame:
+    """(id, v): the whole numbers of vectors that are not wide, a repeated row once."""
+    return narrow.select("id", F.transform("x", lambda x: F.floor(x * scale).cast("bigint")).alias("v")).dropDuplicates(["id", "v"])
 
 
 def classes(vectors: DataFrame, k: int) -> DataFrame:
@@ -37,8 +50,6 @@ def classes(vectors: DataFrame, k: int) -> DataFrame:
 
     The row numbers are limited before the shuffle, so a vector that a third of all rows share sends few rows.
     """
-    from pyspark.sql import Window as W
-
     nth = F.row_number().over(W.partitionBy("v").orderBy("id"))
     first = vectors.withColumn("nth", nth).filter(F.col("nth") <= k + 1)
     return first.groupBy("v").agg(F.sort_array(F.collect_list("id")).alias("ids"))
@@ -69,11 +80,16 @@ def _matrix(column: pa.Array, width: int) -> np.ndarray:
     return np.asarray(column.flatten(), np.int64).reshape(-1, width)
 
 
+def annuli_for(count: int, pivots: int = PIVOTS) -> int:
+    """Annuli of a pivot: with the square root of the vectors, so that a query's bounds and its visits grow alike."""
+    return max(ANNULI, math.isqrt(count // (8 * pivots)))
+
+
 def build_index(vectors: DataFrame, width: int, longest: int, pivots: np.ndarray, annuli: int = ANNULI) -> tuple[DataFrame, dict]:
     """(blocks, rings): blocks (ring, n, mat, sizes, ids) hold all vectors; rings bounds each annulus.
 
-    ``longest`` is the greatest squared length. Annuli are cut at quantiles of the distance from the pivot, so there are pivots
-    * annuli of them whatever the number of vectors; an annulus has as many blocks as it needs.
+    ``longest`` is the greatest squared length. Annuli are cut at quantiles of the distance from the pivot; there are
+    pivots * annuli of them, and one has as many blocks as it needs.
     """
     sent = vectors.sparkSession.sparkContext.broadcast(pivots)
 
@@ -85,7 +101,7 @@ def build_index(vectors: DataFrame, width: int, longest: int, pivots: np.ndarray
 
     keyed = stored(vectors.mapInArrow(assign, "v array<bigint>, ids array<bigint>, pivot int, distance double"), "pivot-keys")
     # The pivots times the annuli, at most, come back.
-    cuts = keyed.groupBy("pivot").agg(F.percentile_approx("distance", [i / annuli for i in range(1, annuli)], 1_000).alias("cuts"))
+    cuts = keyed.groupBy("pivot").agg(F.percentile_approx("distance", [i / annuli for i in range(1, annuli)], 4 * max(250, annuli)).alias("cuts"))
     edges = {r["pivot"]: np.unique(r["cuts"]) for r in cuts.collect()}
 
     def ring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -253,27 +269,59 @@ def _exact_products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def _best(scores: DataFrame, k: int) -> DataFrame:
-    from pyspark.sql import Window as W
-
     nth = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return scores.withColumn("nth", nth).filter(F.col("nth") <= k).drop("nth")
 
 
-def top_k(table: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(query_id, rank, vec_id, score) for every row where ``is_query`` (a condition on ``id``) holds, against all other rows.
+# ---- wide vectors ---------------------------------------------------------------------------------
+def _whole(x: float, scale: int = SCALE) -> int:
+    """floor(scale * x) of any finite double; beyond a double's range x is a whole number itself."""
+    scaled = x * scale
+    return int(x) * scale if math.isinf(scaled) else math.floor(scaled)
+
+
+def _distinct(ids: list[int], rows: list[list[float]]) -> tuple[list[int], np.ndarray]:
+    """The ids and their vectors of whole numbers, repeated rows once."""
+    found = list(dict.fromkeys((key, tuple(map(_whole, x))) for key, x in zip(ids, rows)))
+    return [key for key, _ in found], np.array([v for _, v in found], object)
+
+
+_MOST = 10**38 - 1
+
 
-    Ties go to the smaller id. Vectors of a length other than the most common one, and rows without a key, take no part;
-    a repeated row is one candidate. Fewer than k candidates are all returned; an empty table has no rows.
+def exact_scores(queries: DataFrame, candidates: DataFrame, k: int) -> DataFrame:
+    """(query_id, vec_id, score decimal): the k best by whole numbers of any size, of vectors (id, x) as long as the query.
+
+    Groups of queries meet groups of candidates, each pair in a row of work. Scores of more than 38 digits count as the
+    greatest, or least, that have 38.
     """
-    from pyspark.sql import Window as W
+    sizes = [max(1, -(-side.count() // 256)) for side in (queries, candidates)]
+    grouped = [
+        side.groupBy(F.size("x").alias("width"), F.pmod(F.xxhash64("id"), F.lit(n)).alias(f"g{i}"))
+        .agg(F.collect_list("id").alias(f"id{i}"), F.collect_list("x").alias(f"x{i}"))
+        for i, (side, n) in enumerate(zip((queries, candidates), sizes))
+    ]
+    every = grouped[0].withColumn("g1", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(sizes[1] - 1).cast("bigint"))))
+    work = every.join(grouped[1].hint("merge"), ["width", "g1"]).select("id0", "x0", "id1", "x1")
 
-    spark = table.sparkSession
-    vectors = stored(whole_vectors(table, key, vector).dropDuplicates(["id", "v"]), "pivot-vectors")
-    lengths = vectors.groupBy(F.size("v").alias("width")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "width").limit(1).collect()
-    if not lengths:
-        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    width = lengths[0]["width"]
-    vectors = vectors.filter(F.size("v") == width)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for ids, xs, others, ys in zip(*(batch.column(c).to_pylist() for c in ("id0", "x0", "id1", "x1"))):
+                (ids, a), (others, b) = _distinct(ids, xs), _distinct(others, ys)
+                for query, row in zip(ids, a @ b.T):
+                    best = sorted((-int(s), other) for s, other in zip(row, others) if other != query)[:k]
+                    out += [(query, other, Decimal(max(-_MOST, min(_MOST, -s)))) for s, other in best]
+            columns = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["query_id", "vec_id", "score"])
+
+    types = (pa.int64(), pa.int64(), pa.decimal128(38, 0))
+    return _best(work.mapInArrow(run, "query_id bigint, vec_id bigint, score decimal(38,0)"), k)
+
+
+# ---- the operator ---------------------------------------------------------------------------------
+def _indexed(vectors: DataFrame, is_query, k: int, width: int) -> DataFrame:
+    """(query_id, vec_id, score) among the vectors (id, v) of one length."""
     square = F.aggregate("v", F.lit(0).cast("bigint"), lambda s, x: s + x * x)
     known = vectors.agg(F.max(square).alias("longest"), F.count("*").alias("n")).collect()[0]
     share = min(1.0, PIVOT_SAMPLE / known["n"])
@@ -282,7 +330,31 @@ def top_k(table: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector:
     if not rows:  # the hash may choose none of a few distinct vectors
         rows = vectors.select("v").limit(1).collect()
     pivots = fit_pivots(np.array([r["v"] for r in rows], np.int64))
-    blocks, rings = build_index(classes(vectors, k), width, known["longest"], pivots)
-    found = search(blocks, rings, vectors.filter(is_query), pivots, width, known["longest"], k)
+    blocks, rings = build_index(classes(vectors, k), width, known["longest"], pivots, annuli_for(known["n"]))
+    return search(blocks, rings, vectors.filter(is_query), pivots, width, known["longest"], k)
+
+
+def top_k(table: DataFrame, is_query, k: int = 10, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(query_id, rank, vec_id, score) for every row where ``is_query`` (a condition on ``id``) holds, against all other rows.
+
+    Ties go to the smaller id. A vector is scored against those of its own length, each length in an index of its own. Vectors with
+    components so large that 64 bits might not do are compared in whole numbers of any size; a score beyond
+    64 bits is ranked by its value and given as the greatest, or least, that 64 bits hold. Rows without a key or with
+    a null or non-finite component take no part; a repeated row is one candidate. Fewer than k candidates are all returned; an
+    empty table has no rows.
+    """
+    spark = table.sparkSession
+    usable = stored(usable_vectors(table, key, vector), "pivot-usable")
+    vectors = stored(whole_vectors(usable.filter("NOT wide")), "pivot-vectors")
+    found = spark.createDataFrame([], "query_id bigint, vec_id bigint, score decimal(38,0)")
+    for row in vectors.groupBy(F.size("v").alias("width")).count().orderBy("width").collect():  # a row for each length
+        one = _indexed(vectors.filter(F.size("v") == row["width"]), is_query, k, row["width"])
+        found = found.unionByName(one.withColumn("score", F.col("score").cast("decimal(38,0)")))
+    wide = usable.filter("wide")
+    if not wide.isEmpty():
+        asked = usable.filter(is_query)
+        found = found.unionByName(exact_scores(asked.filter("NOT wide"), wide, k)).unionByName(exact_scores(asked.filter("wide"), usable, k))
     rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return found.select("query_id", rank.cast("int").alias("rank"), "vec_id", "score")
+    best = found.withColumn("rank", rank.cast("int")).filter(F.col("rank") <= k)
+    bounded = F.greatest(F.lit(-(2**63)).cast("decimal(38,0)"), F.least(F.lit(2**63 - 1).cast("decimal(38,0)"), F.col("score")))
+    return best.select("query_id", "rank", "vec_id", bounded.cast("bigint").alias("score"))

@@ -15,7 +15,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from . import tokens
-from .common import slices
+from .common import cached, only, slices
 
 
 def whole_tokens(path: str) -> frozenset[str]:
@@ -74,6 +74,15 @@ class Counter:
 
 
 _COUNTERS: dict[str, Counter] = {}
+cached("tokencount", _COUNTERS.clear)
+
+
+def _counter(path: str, whole: frozenset[str]) -> Counter:
+    """One counter for each worker process and vocabulary file; other operators' memories are emptied."""
+    only("tokencount")
+    if path not in _COUNTERS:
+        _COUNTERS[path] = Counter(path, whole)
+    return _COUNTERS[path]
 
 
 def token_counts(docs: DataFrame, path: str, limit: int = 2048, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -86,9 +95,7 @@ def token_counts(docs: DataFrame, path: str, limit: int = 2048, key: str = "doc_
     proven = spark.sparkContext.broadcast(whole_tokens(path))  # at most the vocabulary
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _COUNTERS:
-            _COUNTERS[path] = Counter(path, proven.value)
-        counter = _COUNTERS[path]
+        counter = _counter(path, proven.value)
         for batch in batches:
             for part in slices(batch, "text"):
                 texts = part.column("text")

@@ -16,6 +16,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from .common import cached, only
+
 # Letters whose class, case and normal form are the same for every library: one pre-token whatever stands
 # around them, and so is plain punctuation behind them, before white space or the end.
 _PLAIN = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ]+|[.,!?;:]+")
@@ -124,10 +126,12 @@ class PieceEncoder:
 
 
 _LOADED: dict[str, PieceEncoder] = {}
+cached("tokens", _LOADED.clear)
 
 
 def encoder(path: str) -> PieceEncoder:
-    """One encoder for each worker process and vocabulary file."""
+    """One encoder for each worker process and vocabulary file; other operators' memories are emptied."""
+    only("tokens")
     if path not in _LOADED:
         _LOADED[path] = PieceEncoder(path)
     return _LOADED[path]

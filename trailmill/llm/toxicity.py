@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import LOWER, UPPER, slices, stored
+from .common import LOWER, UPPER, Carried, cached, only, slices, stored, text_of
 
 # Parameters of the model. Lexicons and trees are fitted on a sample of about SAMPLE labelled rows, chosen by a
 # hash of their key; everything else covers all rows.
@@ -77,9 +77,39 @@ def clean_word(token: str) -> tuple[str, bool]:
     return ("".join(c for c in plain.translate(DISGUISE) if c.isalpha()) if disguised else plain), disguised
 
 
+class Marks:
+    """Marks of tokens for one lexicon, each token's computed once; ``kept`` bounds what is remembered."""
+
+    def __init__(self, lexicon: Lexicon, kept: int = 200_000):
+        self.lexicon, self.kept = lexicon, kept
+        self.places: dict[str, int] = {}
+        self.rows = np.zeros((0, 9), np.float32)
+
+    def of(self, tokens: list[str]) -> np.ndarray:
+        """A row of :func:`_term_marks` for each of the distinct tokens."""
+        known = self.places
+        places = list(map(known.get, tokens))
+        missing = [i for i, x in enumerate(places) if x is None]
+        if not missing:
+            return self.rows[places].astype(np.float64)
+        new = _term_marks(self.lexicon, [tokens[i] for i in missing])
+        out = np.empty((len(tokens), 9))
+        out[missing] = new
+        there = [i for i, x in enumerate(places) if x is not None]
+        out[there] = self.rows[[places[i] for i in there]]
+        short = [(k, i) for k, i in enumerate(missing) if len(tokens[i]) <= 40]
+        if len(known) + len(short) > self.kept:
+            known.clear()
+            self.rows = self.rows[:0]
+        base = len(self.rows)
+        self.rows = np.concatenate([self.rows, new[[k for k, _ in short]].astype(np.float32)])
+        known.update((tokens[i], base + n) for n, (_, i) in enumerate(short))
+        return out
+
+
 def _term_marks(lexicon: Lexicon, tokens: list[str]) -> np.ndarray:
     """For each distinct token: word weight, start weight, second person, capitals, shouted, exclaiming,
-    punctuation, disguised, repeated."""
+    punctuation, disguised, repeated. Weights are rounded to single precision, in which they are remembered."""
     out = np.zeros((len(tokens), 9))
     words, starts = lexicon.words, lexicon.starts
     for i, token in enumerate(tokens):
@@ -99,11 +129,11 @@ def _term_marks(lexicon: Lexicon, tokens: list[str]) -> np.ndarray:
             row[5] = token.count("!") + token.count("?")
             row[6] = sum(not c.isalnum() for c in token)
             row[7] = disguised
-    return out
+    return out.astype(np.float32).astype(np.float64)
 
 
-def feature_matrix(lexicon: Lexicon, texts: pa.Array) -> np.ndarray:
-    """One row of FEATURES for each text; a null or empty text has zeros."""
+def feature_matrix(lexicon: Lexicon, texts: pa.Array, marked: Marks | None = None) -> np.ndarray:
+    """One row of FEATURES for each text; a null or empty text has zeros. ``marked`` remembers tokens of earlier texts."""
     spaced = pc.replace_substring_regex(pc.fill_null(texts, ""), r"\s", " ")
     lists = pc.split_pattern(spaced, " ")
     counts = np.asarray(pc.list_value_length(lists), np.int64)
@@ -113,7 +143,7 @@ def feature_matrix(lexicon: Lexicon, texts: pa.Array) -> np.ndarray:
     index = np.asarray(coded.indices)
     real = np.array([bool(x) for x in pieces], bool)[index] if pieces else np.zeros(0, bool)
     owner, index = owner[real], index[real]
-    marks = _term_marks(lexicon, pieces)[index]
+    marks = (marked or Marks(lexicon)).of(pieces)[index]
     n = len(texts)
     add = lambda x: np.bincount(owner, x, n)
     words = np.maximum(np.bincount(owner, minlength=n), 1)
@@ -137,24 +167,36 @@ def feature_matrix(lexicon: Lexicon, texts: pa.Array) -> np.ndarray:
     return np.column_stack(columns)
 
 
-def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text") -> DataFrame:
-    """``docs`` without the text column, with ``features`` (array of doubles). No shuffle."""
-    kept = [c for c in docs.columns if c != text]
+_MARKS: dict[int, Marks] = {}
+cached("toxicity", _MARKS.clear)
+
+
+def _marks(mark: int, lexicon: Lexicon) -> Marks:
+    """One memory for each worker process; other operators' are emptied."""
+    only("toxicity")
+    if mark not in _MARKS:
+        _MARKS.clear()
+        _MARKS[mark] = Marks(lexicon)
+    return _MARKS[mark]
+
+
+def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """``row``, the columns ``keep`` as a struct, with ``features`` (array of doubles). No shuffle."""
+    carried = Carried(docs, text, keep)
+    place, mark = carried.place, hash((tuple(lexicon.words.items()), tuple(lexicon.starts.items())))
     sent = docs.sparkSession.sparkContext.broadcast(lexicon)  # LEXICON entries at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marked = _marks(mark, sent.value)
         for batch in batches:
-            for part in slices(batch, "__text", 2_000_000):
-                matrix = feature_matrix(sent.value, part.column("__text"))
+            for part in slices(batch, text_of(batch, place), 2_000_000):
+                matrix = feature_matrix(sent.value, text_of(part, place), marked)
                 offsets = np.arange(len(matrix) + 1, dtype=np.int32) * len(FEATURES)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(i) for i in range(len(kept))), pa.ListArray.from_arrays(offsets, matrix.reshape(-1))],
-                    names=[*kept, "features"],
+                    [part.column("row"), pa.ListArray.from_arrays(offsets, matrix.reshape(-1))], names=["row", "features"]
                 )
 
-    frame = docs.select(*kept, docs[text].cast("string").alias("__text"))
-    shape = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in frame.schema if f.name != "__text")
-    return frame.mapInArrow(run, f"{shape}features array<double>")
+    return carried.frame.mapInArrow(run, carried.shape("features array<double>"))
 
 
 def _starts(size: int) -> Column:
@@ -199,12 +241,12 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     chosen = usable.filter(F.pmod(F.xxhash64("key"), F.lit(1_000_000)) < int(share * 1_000_000))
     # About SAMPLE rows of two numbers, whatever the size of the tables: small enough to send.
     rows = docs.select(F.col(key).alias("key"), F.col(text).cast("string").alias("text")).filter("text IS NOT NULL")
-    sample = stored(rows.join(F.broadcast(chosen), "key").withColumn("toxic", F.col("toxic")), "toxicity-sample")
-    lexicon = learn_lexicon(sample)
-    # The lexicon, the trees and the calibration each see rows of their own as far as they can: the
-    # calibration's are kept from the trees.
-    table = with_features(sample, lexicon).withColumn("fold", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(4)))
-    table = stored(table.select("toxic", "fold", "features"), "toxicity-features")
+    sample = stored(rows.join(F.broadcast(chosen), "key"), "toxicity-sample")
+    # A quarter of the sample is the calibration's own: neither the lexicon nor the trees see it.
+    sample = sample.withColumn("fold", F.pmod(F.xxhash64("key", F.lit(1)), F.lit(4)))
+    lexicon = learn_lexicon(sample.filter("fold <> 3"))
+    table = with_features(sample, lexicon, keep=["toxic", "fold"]).select("row.toxic", "row.fold", "features")
+    table = stored(table, "toxicity-features")
     values = {(r["calibrates"], r["toxic"]) for r in table.select((F.col("fold") == 3).alias("calibrates"), "toxic").distinct().collect()}
     if not {(False, 0), (False, 1)} <= values:
         return Model(lexicon, constant=float(max((x for _, x in values), default=0)))
@@ -220,22 +262,23 @@ def _as_vector(frame: DataFrame) -> DataFrame:
     return frame.withColumn("raw", array_to_vector(F.array("raw")))
 
 
-def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None, whole: bool = False) -> DataFrame:
     """The columns ``keep`` of every row with toxicity (0 to 1) and lexicon_hits.
 
     Every row gets a score, empty and null texts too; rows are independent of each other, so nulls elsewhere,
-    repeated rows and other columns change nothing. No shuffle.
+    repeated rows and other columns change nothing. No shuffle. A kept column named like a result gives way to it; with
+    ``whole`` the kept columns stay apart, in the struct ``row``.
     """
-    kept = [c for c in (docs.columns if keep is None else keep)]
-    frame = docs.select(*[docs[c] for c in kept], docs[text].alias("__t"))
-    table = with_features(frame, model.lexicon, "__t")
-    hits = F.expm1(F.col("features")[1]) + F.expm1(F.col("features")[3])
+    table = with_features(docs, model.lexicon, text, keep)
+    hits = F.round(F.expm1(F.col("features")[1]) + F.expm1(F.col("features")[3])).cast("long").alias("lexicon_hits")
     if model.trees is None:
-        return table.select(*kept, F.lit(model.constant).alias("toxicity"), F.round(hits).cast("long").alias("lexicon_hits"))
-    ready = table.select(*[F.col(c) for c in kept], F.round(hits).cast("long").alias("lexicon_hits"), array_to_vector("features").alias("features"))
-    raw = model.trees.transform(ready).withColumn("raw", vector_to_array("probability")[1])
-    if model.calibration is None:
-        return raw.select(*kept, F.col("raw").alias("toxicity"), "lexicon_hits")
-    shaped = model.calibration.setPredictionCol("__calibrated").transform(_as_vector(raw))
-    bounded = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("__calibrated")))
-    return shaped.select(*kept, bounded.alias("toxicity"), "lexicon_hits")
+        found = table.select("row", F.lit(model.constant).alias("toxicity"), hits)
+    else:
+        raw = model.trees.transform(table.select("row", hits, array_to_vector("features").alias("features")))
+        raw = raw.withColumn("raw", vector_to_array("probability")[1])
+        toxicity = F.col("raw")
+        if model.calibration is not None:
+            raw = model.calibration.setPredictionCol("calibrated").transform(_as_vector(raw))
+            toxicity = F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("calibrated")))
+        found = raw.select("row", toxicity.alias("toxicity"), "lexicon_hits")
+    return found if whole else Carried(docs, text, keep).unpacked(found, "toxicity", "lexicon_hits")

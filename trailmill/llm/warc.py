@@ -5,13 +5,15 @@ conditions on the record type and on other header fields are pushed down, and a
 so its payload is neither read into memory nor decoded. With the option ``payload`` = false no payload is.
 ``df.write.format("warc")`` writes response and revisit records, each body compressed by itself.
 
-A folder's manifest names the files of finished tasks. Files of lost attempts are in no manifest and never read.
+Every job that writes to a folder leaves a manifest of its own, which names the files of its finished tasks: appending adds
+one, overwriting takes the earlier ones away once the new one stands. Files of lost attempts are in no manifest and never read.
 """
 
 from __future__ import annotations
 
 import gzip
 import json
+import operator
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -23,9 +25,13 @@ from pyspark.sql.datasource import (
     DataSourceArrowWriter,
     DataSourceReader,
     EqualTo,
+    GreaterThan,
+    GreaterThanOrEqual,
     In,
     InputPartition,
     IsNotNull,
+    LessThan,
+    LessThanOrEqual,
     WriterCommitMessage,
 )
 
@@ -37,7 +43,7 @@ from .common import reach_package, stored
 VERSION = b"WARC/1.1\r\n"
 LEAST_SHARED = 100
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-MANIFEST = "_warc_manifest.json"
+MANIFEST = ".warc-manifest.json"
 # A file is closed once it holds so much, and the next one begun.
 FILE_BYTES = 128 << 20
 
@@ -46,6 +52,8 @@ SCHEMA = (
     "payload_digest string, payload_bytes bigint, payload binary, offset bigint"
 )
 # Columns that header fields answer: these conditions are pushed down.
+RANGES = {GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le}
+RANGED = ("page_id", "refers_to", "payload_bytes")  # numbers; Spark orders text otherwise than Python
 PUSHED = ("record_type", "page_id", "target_uri", "payload_digest", "refers_to", "payload_bytes", "record_id")
 
 
@@ -155,6 +163,8 @@ class WarcReader(DataSourceReader):
                 self.tests.append((name, "in", tuple(f.value)))
             elif name in PUSHED and isinstance(f, IsNotNull):
                 self.tests.append((name, "given", None))
+            elif name in RANGED and type(f) in RANGES and f.value is not None:
+                self.tests.append((name, RANGES[type(f)], f.value))
             else:
                 yield f
 
@@ -162,7 +172,11 @@ class WarcReader(DataSourceReader):
         return [FilePartition(uri) for uri in manifest_files(self.folder)]
 
     def _passes(self, row: dict) -> bool:
-        return all(row[n] is not None and (kind == "given" or row[n] in values) for n, kind, values in self.tests)
+        for name, kind, wanted in self.tests:
+            value = row[name]
+            if value is None or (kind == "in" and value not in wanted) or (callable(kind) and not kind(value, wanted)):
+                return False
+        return True
 
     def read(self, partition):
         if partition is None:  # a folder without archives is planned as one empty partition
@@ -194,12 +208,15 @@ def _batch(rows: list[dict], names: list[str]) -> pa.RecordBatch:
 
 
 def manifest_files(folder: str) -> list[str]:
-    """The archives in a folder: those the manifest names, or all if it was written elsewhere."""
+    """The archives in a folder: those its manifests name, or all if it was written elsewhere."""
     found = files.listed(folder, MANIFEST)
     if not found:
         return [uri for uri, _ in files.listed(folder, ".warc")]
-    with files.open_input(found[0][0]) as f:
-        return [f"{folder.rstrip('/')}/{name}" for name in json.loads(f.read())]
+    names = []
+    for uri, _ in found:
+        with files.open_input(uri) as f:
+            names += json.loads(f.read())
+    return [f"{folder.rstrip('/')}/{name}" for name in sorted(names)]
 
 
 @dataclass
@@ -208,8 +225,8 @@ class Written(WriterCommitMessage):
 
 
 class WarcWriter(DataSourceArrowWriter):
-    def __init__(self, options):
-        self.folder = options["path"].rstrip("/")
+    def __init__(self, options, overwrite: bool):
+        self.folder, self.overwrite = options["path"].rstrip("/"), overwrite
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         names, out, size = [], None, 0
@@ -230,9 +247,12 @@ class WarcWriter(DataSourceArrowWriter):
         return Written(names)
 
     def commit(self, messages) -> None:
+        earlier = [uri for uri, _ in files.listed(self.folder, MANIFEST)] if self.overwrite and files.exists(self.folder) else []
         names = sorted(n for m in messages if m is not None for n in m.names)
-        with files.open_output(f"{self.folder}/{MANIFEST}") as f:
+        with files.open_output(f"{self.folder}/{files.fresh_name('job', MANIFEST)}") as f:
             f.write(json.dumps(names).encode())
+        for uri in earlier:
+            files.delete(uri)
 
     def abort(self, messages) -> None:
         """Without a manifest of its own nothing of the job counts."""
@@ -250,7 +270,7 @@ class WarcSource(DataSource):
         return WarcReader(self.options, schema)
 
     def writer(self, schema, overwrite) -> WarcWriter:
-        return WarcWriter(self.options)
+        return WarcWriter(self.options, overwrite)
 
 
 def register(spark: SparkSession) -> None:
@@ -284,9 +304,13 @@ def records(pages: DataFrame, key: str = "page_id", uri: str = "url", html: str
     )
 
 
-def write(pages: DataFrame, folder: str) -> None:
+def write(pages: DataFrame, folder: str, mode: str = "append") -> None:
+    """Add archives to a folder, or with the mode ``overwrite`` put them in the place of those it has.
+
+    Revisits refer to responses of the same job. A manifest that is there is whole: it is written last.
+    """
     register(pages.sparkSession)
-    records(pages).write.format("warc").mode("append").save(folder)
+    records(pages).write.format("warc").mode(mode).save(folder)
 
 
 def read(spark: SparkSession, folder: str, payload: bool = True) -> DataFrame:
