@@ -14,39 +14,70 @@ from trailmill.llm.common import id_remainder, read_table, stored
 
 TOKENIZER = "word_bpe_49k.json"
 TOXIC = 0.5
+# The languages to keep; None keeps every language that the labelled rows teach.
+WANTED: tuple[str, ...] | None = None
+# The score is at least one half by its meaning. Text in none of the learned languages parses about as badly in all of them.
+LEAST_SCORE = 0.5
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents of no language: null texts and texts without a letter."""
+    """Rejects documents whose predicted language is not among WANTED (every learned language, if None), or is predicted with
+    a score below LEAST_SCORE; texts that are null or have no letter are in no language.
+
+    The model learns from labelled rows of ``docs`` itself. Rows are judged one by one: null ids, other nulls and repeated
+    rows change nothing, a very long text is parsed whole, an empty table stays empty, and all columns stay as they are, whatever their names.
+    """
     model = langid.train(docs, F.coalesce(id_remainder(F.col("doc_id"), 3) != 1, F.lit(False)))
-    found = langid.identify(docs, model)
-    return found.filter(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    found = langid.identify(docs, model, whole=True)
+    wanted = F.col("lang_pred") != langid.UNKNOWN if WANTED is None else F.col("lang_pred").isin(*WANTED)
+    return _rows(found.filter(wanted & (F.col("score") >= LEAST_SCORE)), docs)
 
 
 def toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents whose calibrated toxicity reaches one half."""
+    """Rejects documents whose calibrated toxicity reaches one half.
+
+    The model learns from the rows of ``labels`` that are not held out. Every row is scored by itself, null and empty texts too, and
+    very long ones whole; null ids and repeated rows change nothing, an empty table stays empty, and all columns stay as they are.
+    """
     labels = read_table(spark, sf_dir, "labels")
     labels = labels.filter(F.coalesce(id_remainder(F.col("doc_id"), 5) != 0, F.lit(False)))
     model = toxicity.train(docs, labels)
-    return toxicity.score(docs, model).filter(F.col("toxicity") < TOXIC).select(*docs.columns)
+    return _rows(toxicity.score(docs, model, whole=True).filter(F.col("toxicity") < TOXIC), docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates, the one with the least doc_id."""
+    """Keeps one document of each group of near duplicates, the one with the least doc_id.
+
+    Texts without words all stay. A null id stays if nothing with an id has its words, once; of rows that repeat id and
+    words one stays. Very long texts are compared whole, an empty table stays empty, and all columns stay as they are.
+    """
     return neardup.one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents contaminated by benchmark items."""
-    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"))
-    return found.filter(~F.col("contaminated")).select(*docs.columns)
+    """Rejects documents contaminated by benchmark items.
+
+    Null texts and texts without words are not. Equal texts fare alike, also under null or repeated ids; very long ones are
+    searched whole, an empty table stays empty, and all columns stay as they are.
+    """
+    found = decontaminate.contamination(docs, read_table(spark, sf_dir, "benchmark"), whole=True)
+    return _rows(found.filter(~F.col("contaminated")), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Places every remaining document's tokens in sequences."""
+    """Places every remaining document's tokens in sequences.
+
+    A null text is its end id alone; null ids and repeated rows keep their pieces; very long texts are cut into many; other
+    columns are ignored; an empty table has no pieces.
+    """
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
+def _rows(found: DataFrame, docs: DataFrame) -> DataFrame:
+    """The documents that stay, with the columns they came with."""
+    return found.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])
+
+
 STAGES = [
     ("language", language),
     ("toxicity", toxic),
