@@ -5,6 +5,9 @@ from pyspark.sql import functions as F
 from test_neardup import brute
 from test_text_scans import _contamination
 
+from trailmill.llm import langid
+from trailmill.llm.common import id_remainder
+
 FOLDER = "/root/testdata/sf0.001"
 
 
@@ -16,7 +19,7 @@ def test_each_stage_follows_its_rule(spark, tmp_path):
     assert names == ["language", "toxicity", "near_duplicates", "decontamination", "packing"]
     before = {r.doc_id: r for r in docs.collect()}
     for name, stage in corpus_pipeline.STAGES:
-        path = f"{tmp_path}/{name}"
+        path, stage_docs = f"{tmp_path}/{name}", docs
         stage(spark, docs, FOLDER).write.parquet(path)
         docs = spark.read.parquet(path)
         if name == "packing":
@@ -25,7 +28,11 @@ def test_each_stage_follows_its_rule(spark, tmp_path):
         kept = {r.doc_id: r for r in docs.collect()}
         assert all(before[k] == r for k, r in kept.items())
         if name == "language":
-            assert kept.keys() == {k for k, r in before.items() if any(map(str.isalpha, r.text or ""))}  # no language is unwanted
+            model = langid.train(stage_docs, F.coalesce(id_remainder(F.col("doc_id"), 3) != 1, F.lit(False)))
+            told = {r.doc_id: r for r in langid.identify(stage_docs, model, keep=["doc_id"]).collect()}
+            assert kept.keys() == {k for k, r in told.items() if r.lang_pred != "und" and r.score >= corpus_pipeline.LEAST_SCORE}
+            assert kept.keys() <= {k for k, r in before.items() if any(map(str.isalpha, r.text or ""))}
+            assert all(len(before[k].text or "") < 100 for k in before.keys() - kept.keys())  # too short to tell
         if name == "near_duplicates":
             rows = [(k, r.text) for k, r in before.items()]
             assert kept.keys() == {k for k, root, _, _ in brute(rows) if k == root}

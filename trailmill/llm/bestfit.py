@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import tokens
-from .common import slices, stored
+from .common import lean, slices, stored
 from .pfor import with_end
 
 CAPACITY = 1024
@@ -71,7 +71,7 @@ def cut_pieces(
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = docs.select(docs[key].cast("bigint").alias("key"), docs[text].cast("string").alias("text"))
-    return rows.mapInArrow(cut, _PIECE + ", ids array<int>" * with_ids)
+    return rows.mapInArrow(lean(cut), _PIECE + ", ids array<int>" * with_ids)
 
 
 # ---- one round ------------------------------------------------------------------------------------

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import os
+import re
 from collections.abc import Callable
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..plans import scratch
@@ -53,6 +57,7 @@ def reach_package(spark: SparkSession) -> None:
 
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     reach_package(spark)
+    bounded_batches(spark)
     return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
 
 
@@ -74,6 +79,86 @@ def only(*names: str) -> None:
     for name, clear in _CACHES.items():
         if name not in names:
             clear()
+    give_back()
+
+
+# Bytes of one batch on its way to Python, where Spark can bound them: rows may be long.
+_BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the batches of rows sent to Python in this session, unless somebody has set a lower bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        now = spark.conf.get(key)
+    except PySparkException:  # a Spark without this setting
+        return
+    found = re.fullmatch(r"(\d+)b?", now)
+    if found is None or int(found[1]) > _BATCH_BYTES:
+        spark.conf.set(key, str(_BATCH_BYTES))
+
+
+def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    reach_package(spark)
+    bounded_batches(spark)
+    return spark.read.parquet(f"{folder.rstrip('/')}/{name}.parquet")
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written to the shared folder and read back: computed once, and no lineage behind it."""
+    return scratch.stored(df, f"llm-{name}")
+
+
+_CACHES: dict[str, Callable[[], None]] = {}
+
+
+def cached(name: str, clear: Callable[[], None]) -> None:
+    """Notes how to empty what an operator remembers in a worker process."""
+    _CACHES[name] = clear
+
+
+def only(*names: str) -> None:
+    """Empties what other operators remember: a worker serves one stage after the other, and would keep it all."""
+    for name, clear in _CACHES.items():
+        if name not in names:
+            clear()
+    give_back()
+
+
+# Bytes of one batch on its way to Python, where Spark can bound them: rows may be long.
+_BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bounds the batches of rows sent to Python in this session, unless somebody has set a lower bound."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    try:
+        now = int(spark.conf.get(key))
+    except Exception:  # a Spark without this setting, or one with a unit
+        return
+    if now > _BATCH_BYTES or now <= 0:
+        spark.conf.set(key, str(_BATCH_BYTES))
+
+
+def lean(run: Callable) -> Callable:
+    """A function of Arrow batches that gives memory back to the system when its task ends: workers wait for their next task
+    beside stages that need it."""
+
+    @functools.wraps(run)
+    def inner(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return inner
+
+
+def give_back() -> None:
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library alone
+    if trim is not None:
+        trim(0)
 
 
 class Carried:

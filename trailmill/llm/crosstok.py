@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import tokens
-from .common import cached, only, slices, stored
+from .common import cached, lean, only, slices, stored
 
 # A table of this many pairs, 13 bytes each, is sent to every worker; a larger one is joined by shuffle.
 SENT = 4_000_000
@@ -260,7 +260,7 @@ def _tokens(docs: DataFrame, path_a: str, path_b: str, key: str, text: str, with
     shape = "row bigint, doc_id bigint, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
     shape += "groups string, " * with_groups + "pairs array<bigint>, times array<bigint>, pair bigint, docs bigint"
     rows = docs.select(docs[key].cast("bigint").alias("key"), docs[text].cast("string").alias("text"))
-    seen = stored(rows.mapInArrow(align, shape), "crosstok-tokens")
+    seen = stored(rows.mapInArrow(lean(align), shape), "crosstok-tokens")
     return seen.filter(F.col("row").isNotNull()).drop("pair", "docs"), seen.filter(F.col("pair").isNotNull()).select("pair", "docs")
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from .common import Carried, cached, only, slices, text_of
+from .common import Carried, cached, lean, only, slices, text_of
 
 # Parameters of the model; the sample they bound is the only part of the data that is sampled.
 TRAINING_CHARS = 48_000  # of each language
@@ -265,5 +265,5 @@ def identify(docs: DataFrame, model: Model, text: str = "text", keep: list[str]
                     names=["row", "lang_pred", "score", "phrase_rate"],
                 )
 
-    found = carried.frame.mapInArrow(run, carried.shape("lang_pred string, score double, phrase_rate double"))
+    found = carried.frame.mapInArrow(lean(run), carried.shape("lang_pred string, score double, phrase_rate double"))
     return found if whole else carried.unpacked(found, "lang_pred", "score", "phrase_rate")

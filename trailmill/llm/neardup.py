@@ -18,7 +18,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import BETWEEN, LOWER, UPPER, byte_words, cached, only, slices, stored
+from .common import BETWEEN, LOWER, UPPER, byte_words, cached, lean, only, slices, stored
 
 GRAM = 5
 THRESHOLD = 0.8
@@ -41,7 +41,7 @@ def prefix_depth(recall: float = RECALL, threshold: float = THRESHOLD, trees: in
 class GramHasher:
     """64-bit hashes of word 5-grams. ``kept`` bounds the remembered words."""
 
-    def __init__(self, kept: int = 500_000):
+    def __init__(self, kept: int = 200_000):
         self.kept, self.words = kept, {}
         self.powers = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], "<u8")
 
@@ -131,7 +131,7 @@ def sketches(docs: DataFrame, trees: int = TREES, depth: int = DEPTH, recall: fl
                     names=["id", "mark", "digest", "prefixes"],
                 )
 
-    return docs.select("id", "mark", "text").mapInArrow(run, "id bigint, mark bigint, digest string, prefixes array<bigint>")
+    return docs.select("id", "mark", "text").mapInArrow(lean(run), "id bigint, mark bigint, digest string, prefixes array<bigint>")
 
 
 def _digest(words: list[bytes]) -> str | None:
@@ -281,7 +281,7 @@ def compare_groups(texts: DataFrame, groups: DataFrame, places: DataFrame, thres
                 [pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64()), pa.array(n_out, pa.int64())], names=["a", "b", "links"]
             )
 
-    return pairs.mapInArrow(run, "a bigint, b bigint, links bigint")
+    return pairs.mapInArrow(lean(run), "a bigint, b bigint, links bigint")
 
 
 def _unpacked(ids: list[int], sizes: bytes, grams: bytes, prefixes: bytes) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
@@ -335,7 +335,7 @@ def _blocks(texts: DataFrame, groups: DataFrame) -> DataFrame:
 
     shape = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("grams", pa.binary()), ("prefixes", pa.binary())])
     ordered = members.repartition("root", "slice").sortWithinPartitions("root", "slice", "node")
-    return ordered.mapInArrow(pack, "block bigint, ids array<bigint>, sizes binary, grams binary, prefixes binary")
+    return ordered.mapInArrow(lean(pack), "block bigint, ids array<bigint>, sizes binary, grams binary, prefixes binary")
 
 
 # ---- the operator ----------------------------------------------------------------------------------

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import tokens
-from .common import slices, stored
+from .common import lean, slices, stored
 from .pfor import with_end
 
 CAPACITY = 4096
@@ -161,7 +161,7 @@ def token_pieces(
 
     shape = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint" + ", ids array<int>" * with_ids
     rows = docs.select(docs[key].cast("bigint").alias("key"), docs[text].cast("string").alias("text"))
-    return rows.mapInArrow(cut, shape)
+    return rows.mapInArrow(lean(cut), shape)
 
 
 # ---- placing --------------------------------------------------------------------------------------

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Window as W, functions as F
 
 from . import files, tokens
 from ..plans import scratch
-from .common import slices, stored
+from .common import lean, slices, stored
 
 # Fixed values of the format.
 MAGIC = b"TMPFOR1\n"
@@ -56,8 +56,7 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     out[starts[:, None] + np.arange(_HEAD.itemsize)] = head.view(np.uint8).reshape(count, -1)
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
-        bits = np.unpackbits(above[rows].view(np.uint8).reshape(len(rows), BLOCK, 4), axis=2, bitorder="little")
-        packed = np.packbits(bits[:, :, :w].reshape(len(rows), -1), axis=1, bitorder="little")
+        packed = _packed(above[rows], int(w))
         out[(starts[rows] + _HEAD.itemsize)[:, None] + np.arange(packed.shape[1])] = packed
     row, place = np.nonzero(wide)
     if len(row):
@@ -69,6 +68,32 @@ def pack(ids: np.ndarray) -> tuple[bytes, np.ndarray]:
     return out.tobytes(), starts
 
 
+def _packed(values: np.ndarray, w: int) -> np.ndarray:
+    """The low ``w`` bits of each value of the blocks, end to end. Eight values fill ``w`` bytes, so each of the eight is shifted
+    to its place in all groups at once."""
+    low = (values & np.uint32((1 << w) - 1)).astype(np.uint64).reshape(len(values), BLOCK // 8, 8)
+    out = np.zeros((len(values), BLOCK // 8, w), np.uint8)
+    for i in range(8):
+        at, shift = divmod(i * w, 8)
+        moved = low[:, :, i] << np.uint64(shift)
+        for k in range(-(-(shift + w) // 8)):
+            out[:, :, at + k] |= ((moved >> np.uint64(8 * k)) & np.uint64(255)).astype(np.uint8)
+    return out.reshape(len(values), -1)
+
+
+def _unpacked(packed: np.ndarray, w: int) -> np.ndarray:
+    """The values that :func:`_packed` took."""
+    groups = packed.reshape(len(packed), BLOCK // 8, w)
+    out = np.empty((len(packed), BLOCK // 8, 8), np.uint32)
+    for i in range(8):
+        at, shift = divmod(i * w, 8)
+        held = np.zeros(groups.shape[:2], np.uint64)
+        for k in range(-(-(shift + w) // 8)):
+            held |= groups[:, :, at + k].astype(np.uint64) << np.uint64(8 * k)
+        out[:, :, i] = (held >> np.uint64(shift)) & np.uint64((1 << w) - 1)
+    return out.reshape(len(packed), BLOCK)
+
+
 def _bits(values: np.ndarray) -> np.ndarray:
     """The number of bits each value takes."""
     return np.frexp(values.astype(np.float64))[1].astype(np.uint8)
@@ -86,9 +111,7 @@ def unpack(data: bytes, starts: np.ndarray) -> np.ndarray:
     for w in np.unique(width[width > 0]):
         rows = np.flatnonzero(width == w)
         packed = raw[(starts[rows] + _HEAD.itemsize)[:, None] + np.arange(BLOCK // 8 * w)]
-        bits = np.zeros((len(rows), BLOCK, 32), np.uint8)
-        bits[:, :, :w] = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, w)
-        above[rows] = np.packbits(bits.reshape(-1, 32), axis=1, bitorder="little").view("<u4").reshape(-1, BLOCK)
+        above[rows] = _unpacked(packed, int(w))
     total = int(exceptions.sum())
     if total:
         row = np.repeat(np.arange(len(starts)), exceptions)
@@ -216,7 +239,7 @@ def write_tokens(
                 ),
             )
 
-    manifest = stored(ordered.select("key", "text").mapInArrow(write, _MANIFEST), "pfor-manifest")
+    manifest = stored(ordered.select("key", "text").mapInArrow(lean(write), _MANIFEST), "pfor-manifest")
     # One row for each file: the running total over them is small.
     so_far = W.orderBy(F.col("first").asc_nulls_first(), "part").rowsBetween(W.unboundedPreceding, -1)
     return manifest.withColumn("before", F.coalesce(F.sum("ids").over(so_far), F.lit(0)))

@@ -22,7 +22,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import slices
+from .common import lean, slices
 
 # White space that separates words, and the least repetitions and words of a run.
 SPACE = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -165,7 +165,7 @@ def periodic_runs(docs: DataFrame, key: str = "doc_id", text: str = "text", seed
         (F.lit(None) if seed is None else seed).cast("bigint").alias("seed"),
     )
     shape = "doc_id bigint, n_words bigint, runs array<struct<start: bigint, length: bigint, period: bigint>>, collapsed string"
-    return rows.mapInArrow(find, shape)
+    return rows.mapInArrow(lean(find), shape)
 
 
 def digests(found: DataFrame) -> DataFrame:

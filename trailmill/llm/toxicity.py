@@ -20,7 +20,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import LOWER, UPPER, Carried, cached, only, slices, stored, text_of
+from .common import LOWER, UPPER, Carried, cached, lean, only, slices, stored, text_of
 
 # Parameters of the model. Lexicons and trees are fitted on a sample of about SAMPLE labelled rows, chosen by a
 # hash of their key; everything else covers all rows.
@@ -80,7 +80,7 @@ def clean_word(token: str) -> tuple[str, bool]:
 class Marks:
     """Marks of tokens for one lexicon, each token's computed once; ``kept`` bounds what is remembered."""
 
-    def __init__(self, lexicon: Lexicon, kept: int = 200_000):
+    def __init__(self, lexicon: Lexicon, kept: int = 100_000):
         self.lexicon, self.kept = lexicon, kept
         self.places: dict[str, int] = {}
         self.rows = np.zeros((0, 9), np.float32)
@@ -196,7 +196,7 @@ def with_features(docs: DataFrame, lexicon: Lexicon, text: str = "text", keep: l
                     [part.column("row"), pa.ListArray.from_arrays(offsets, matrix.reshape(-1))], names=["row", "features"]
                 )
 
-    return carried.frame.mapInArrow(run, carried.shape("features array<double>"))
+    return carried.frame.mapInArrow(lean(run), carried.shape("features array<double>"))
 
 
 def _starts(size: int) -> Column:
