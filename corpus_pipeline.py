@@ -10,14 +10,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from trailmill.llm import decontaminate, langid, neardup, packing, toxicity
-from trailmill.llm.common import id_remainder, read_table, stored
+from trailmill.llm.common import bounded_batches, id_remainder, read_table, stored
 
 TOKENIZER = "word_bpe_49k.json"
 TOXIC = 0.5
 # The languages to keep; None keeps every language that the labelled rows teach.
 WANTED: tuple[str, ...] | None = None
-# The score is at least one half by its meaning. Text in none of the learned languages parses about as badly in all of them.
-LEAST_SCORE = 0.5
+# The score is at least one half by its meaning. Below this the second language would need hardly more phrases: text of a word
+# or two, or in none of the learned languages, which parses about as badly in all of them.
+LEAST_SCORE = 0.501
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,6 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     The model learns from labelled rows of ``docs`` itself. Rows are judged one by one: null ids, other nulls and repeated
     rows change nothing, a very long text is parsed whole, an empty table stays empty, and all columns stay as they are, whatever their names.
     """
+    bounded_batches(spark)
     model = langid.train(docs, F.coalesce(id_remainder(F.col("doc_id"), 3) != 1, F.lit(False)))
     found = langid.identify(docs, model, whole=True)
     wanted = F.col("lang_pred") != langid.UNKNOWN if WANTED is None else F.col("lang_pred").isin(*WANTED)
@@ -51,6 +53,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Texts without words all stay. A null id stays if nothing with an id has its words, once; of rows that repeat id and
     words one stays. Very long texts are compared whole, an empty table stays empty, and all columns stay as they are.
     """
+    bounded_batches(spark)
     return neardup.one_of_each(docs)
 
 
@@ -70,6 +73,7 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A null text is its end id alone; null ids and repeated rows keep their pieces; very long texts are cut into many; other
     columns are ignored; an empty table has no pieces.
     """
+    bounded_batches(spark)
     return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
 
 
