@@ -24,6 +24,7 @@ from .pfor import with_end
 
 CAPACITY = 4096
 GRAIN = 16
+SLICE_BYTES = 4_000_000
 
 
 # ---- the linear program -------------------------------------------------------------------------
@@ -129,16 +130,27 @@ def make_plan(demand: np.ndarray, sizes: np.ndarray, room: int) -> Plan:
 
 # ---- pieces ---------------------------------------------------------------------------------------
 def token_pieces(
-    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 2, key: str = "doc_id", text: str = "text", with_ids: bool = False
+    docs: DataFrame,
+    path: str,
+    capacity: int = CAPACITY,
+    end_id: int = 2,
+    key: str = "doc_id",
+    text: str = "text",
+    with_ids: bool = False,
+    slice_bytes: int = SLICE_BYTES,
+    remembered: int = tokens.KEPT,
 ) -> DataFrame:
     """Each document's ids with ``end_id``, cut every ``capacity`` ids: doc_id, start, length, ids_crc32,
-    doc_tokens, and the ids themselves on request. A null text is empty and has the end id alone."""
+    doc_tokens, and the ids themselves on request. A null text is empty and has the end id alone.
+
+    A worker encodes about ``slice_bytes`` of text at a time and remembers so many pieces: less memory, more time.
+    """
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", *["ids"] * with_ids]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder = tokens.encoder(path)
+        coder = tokens.encoder(path, remembered)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", slice_bytes):
                 offsets, ids = with_end(*coder.encode(part.column("text")), end_id)
                 total = np.diff(offsets)
                 pieces = -(-total // capacity)
@@ -255,13 +267,22 @@ def _slots(table, kind: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.nd
     return sequence, slot
 
 
-def pack_documents(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 2, key: str = "doc_id", text: str = "text") -> DataFrame:
+def pack_documents(
+    docs: DataFrame,
+    path: str,
+    capacity: int = CAPACITY,
+    end_id: int = 2,
+    key: str = "doc_id",
+    text: str = "text",
+    slice_bytes: int = SLICE_BYTES,
+    remembered: int = tokens.KEPT,
+) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset for every piece.
 
     Null keys and repeated rows keep their rows; other columns are ignored; an empty table has no pieces.
     """
     # Written before it is sorted into key ranges: finding the ranges would otherwise encode every text once more.
-    return place(stored(token_pieces(docs, path, capacity, end_id, key, text), "packing-tokens"), capacity)
+    return place(stored(token_pieces(docs, path, capacity, end_id, key, text, False, slice_bytes, remembered), "packing-tokens"), capacity)
 
 
 def sequences(placed: DataFrame, capacity: int = CAPACITY, pad_id: int = 0) -> DataFrame:

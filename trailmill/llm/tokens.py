@@ -28,6 +28,7 @@ _ODD = (
     "\\x{202f}\\x{205f}\\x{3000}]|[ \\n][ \\n]|\\A[ \\n]|[ \\n]\\z"
 )
 _LONGEST_KEPT = 64
+KEPT = 1_000_000  # pieces, about 180 bytes each
 # How byte-level vocabularies write bytes: printable ones as themselves, the others from U+0100 on.
 _SHOWN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 _WRITTEN = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SHOWN)}
@@ -49,7 +50,7 @@ def _punctuation_apart(texts: pa.Array, mark: str) -> pa.Array:
 class PieceEncoder:
     """Encodes Arrow arrays of texts. ``kept`` bounds what is remembered: strings of 64 characters at most."""
 
-    def __init__(self, path: str, kept: int = 600_000):
+    def __init__(self, path: str, kept: int = KEPT):
         self.tokenizer = load(path)
         self.drops_space = self.tokenizer.normalizer is not None
         self.kept, self.pieces = kept, {}
@@ -114,24 +115,21 @@ class PieceEncoder:
         texts = pc.fill_null(texts.cast(pa.string()), "")
         bounds, flat = self.split(texts)
         coded = flat.dictionary_encode()
-        found = self.resolve(coded.dictionary.to_pylist())
-        pool = np.frombuffer(b"".join(found), "<u4")
-        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
-        firsts = np.cumsum(sizes) - sizes
-        index = np.asarray(coded.indices)
-        each = sizes[index]
-        ends = np.concatenate([[0], np.cumsum(each)])
-        take = np.repeat(firsts[index] - ends[:-1], each) + np.arange(ends[-1])
-        return ends[bounds], pool[take]
+        found = pa.array(self.resolve(coded.dictionary.to_pylist()), pa.large_binary())
+        # The pieces' ids, taken in the texts' order, lie end to end.
+        laid = found.take(coded.indices)
+        ends = np.frombuffer(laid.buffers()[1], np.int64)[: len(laid) + 1] // 4
+        data = laid.buffers()[2]
+        return ends[bounds], np.frombuffer(data, "<u4")[: ends[-1]] if data is not None else np.zeros(0, "<u4")
 
 
 _LOADED: dict[str, PieceEncoder] = {}
 cached("tokens", _LOADED.clear)
 
 
-def encoder(path: str) -> PieceEncoder:
-    """One encoder for each worker process and vocabulary file; other operators' memories are emptied."""
+def encoder(path: str, kept: int = KEPT) -> PieceEncoder:
+    """One encoder for each worker process and vocabulary file, remembering ``kept`` pieces; other operators' memories are emptied."""
     only("tokens")
-    if path not in _LOADED:
-        _LOADED[path] = PieceEncoder(path)
+    if path not in _LOADED or _LOADED[path].kept != kept:
+        _LOADED[path] = PieceEncoder(path, kept)
     return _LOADED[path]
