@@ -74,7 +74,8 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     columns are ignored; an empty table has no pieces.
     """
     bounded_batches(spark)
-    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER))
+    # The workers and executors have come through four stages by now: a little more time for less memory.
+    return packing.pack_documents(docs, public_tokenizers.path(TOKENIZER), slice_bytes=1_000_000, remembered=150_000)
 
 
 def _rows(found: DataFrame, docs: DataFrame) -> DataFrame:
