@@ -7,6 +7,7 @@ import os
 import pytest
 from fixtures import tuples
 
+from trailmill.plans import scratch
 from trailmill.sinks.days import DayTable, open_from
 
 SCHEMA = "date string, k long, click_count long"
@@ -88,3 +89,12 @@ def test_days_behind_the_watermark(spark):
     assert open_from(spark, "2024-03-02", "1 day") == "2024-03-01"
     assert open_from(spark, "2024-03-02", "60 minutes") == "2024-03-01"
     assert open_from(spark, "2024-03-02", "0 seconds") == "2024-03-02"
+
+
+def test_scratch_tables_go_with_their_block(spark):
+    kept = scratch.stored(spark.range(3), "kept")
+    with scratch.released():
+        gone = scratch.stored(spark.range(5), "gone")
+        paths = [name.removeprefix("file://") for name in gone.inputFiles()]
+        assert gone.count() == 5 and all(map(os.path.exists, paths))
+    assert kept.count() == 3 and not any(map(os.path.exists, paths))

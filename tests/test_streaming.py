@@ -49,7 +49,7 @@ class Feed:
 
     def run_clean(self):
         adclicks.start_clean_query(
-            self.stream(), self.tables, trigger=UNTIL_CAUGHT_UP
+            self.stream(), self.tables, trigger=UNTIL_CAUGHT_UP, buckets=3, copies=2
         ).awaitTermination()
 
     def run_clean_by_lookup(self):
@@ -265,6 +265,25 @@ def test_lost_publication_is_repeated_from_the_checkpoint(spark, feed, monkeypat
     assert tuples(feed.tables.blacklist.latest(spark), "user_id") == [(1,)]
 
 
+def test_clean_clicks_are_deleted_once_everybody_has_counted_them(spark, feed):
+    for n in range(4):
+        feed.add(*[(n * HOUR + k, "p", "c", k, k % 2) for k in range(5)])
+    feed.run_clean()
+    clean = adclicks.clean_stream(spark, feed.tables, 1)
+    stat = adclicks.start_stat_query(clean, feed.tables, trigger=UNTIL_CAUGHT_UP)
+    assert stat.awaitTermination() is None
+    assert adclicks.trim_clean(spark, feed.tables, []) == 0
+    feed.run_trend()  # its progress is not asked for
+    assert adclicks.trim_clean(spark, feed.tables, [stat]) == 3
+    assert feed.tables.clean_log.since_snapshot(spark) == [3]
+    feed.add(*[(9 * HOUR + k, "p", "c", k, k % 2) for k in range(5)])
+    feed.run_clean()
+    feed.run_stat()
+    feed.run_trend()
+    assert tuples(feed.tables.stat.latest(spark), *STAT) == tuples(ads.ad_stat(feed.batch()), *STAT)
+    assert feed.tables.trend.latest(spark).count() == 10
+
+
 def test_state_in_rocksdb(spark, feed):
     """The state store recommended for large state gives the same counts."""
     key = "spark.sql.streaming.stateStore.providerClass"

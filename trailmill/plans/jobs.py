@@ -53,6 +53,10 @@ def _parser() -> argparse.ArgumentParser:
     return parser
 
 
+# How often the streaming jobs delete the clean clicks that were counted.
+_TRIM_SECONDS = 60
+
+
 def _add_options(parser: argparse.ArgumentParser, flag: str, of: str) -> None:
     parser.add_argument(flag, action="append", default=[], metavar="NAME=VALUE", type=_pair, help=f"option {of}")
 
@@ -76,8 +80,9 @@ def run(args: argparse.Namespace, spark: SparkSession) -> None:
         lines = adlog.kafka_lines(spark, args.brokers, args.topics, args.starting, **options)
         kept = adclicks.AdTables(args.out)
         adclicks.start_reject_query(lines, kept)
-        adclicks.start_all(adlog.parse_ad_log(lines), kept, args.threshold)
-        spark.streams.awaitAnyTermination()
+        followers = adclicks.start_all(adlog.parse_ad_log(lines), kept, args.threshold)[2:]
+        while not spark.streams.awaitAnyTermination(_TRIM_SECONDS):
+            adclicks.trim_clean(spark, kept, followers)
         return
     params = JobParams.from_task(args.task_id, args.params)
     actions = tables.read_table(spark, args.actions, "user_visit_action", args.format)

@@ -6,6 +6,7 @@ import atexit
 import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +39,18 @@ def remove(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+@contextlib.contextmanager
+def released() -> Iterator[None]:
+    """Deletes the scratch tables made in its block when that ends: their results have then been written or taken."""
+    before = len(_MADE)
+    try:
+        yield
+    finally:
+        for spark, folder in _MADE[before:]:
+            remove(spark, folder)
+        del _MADE[before:]
+
+
 def _remove_all() -> None:
     for spark, folder in _MADE:
         with contextlib.suppress(Exception):  # the session may be gone

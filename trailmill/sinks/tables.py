@@ -173,6 +173,14 @@ class BatchTable:
             fs.delete(folders[name], True)
         return len(old)
 
+    def forget(self, spark: SparkSession, before: int) -> int:
+        """Delete the batches before the given one, of a table that is only passed on."""
+        fs, path = self._fs(spark)
+        old = [i for i in self._published(spark)[1] if i < before]
+        for batch_id in old:
+            fs.delete(path(self.batch_path(batch_id)), True)
+        return len(old)
+
     def tidy(self, spark: SparkSession, every: int, additive: bool = False) -> None:
         """Once so many batches follow the last snapshot, write one and drop what the one before stands for."""
         if len(self._published(spark)[1]) >= every:

@@ -19,7 +19,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
@@ -28,7 +28,7 @@ from ..functions import times
 from ..operators import ads
 from ..sources import adlog
 from ..sinks.days import DayTable, open_from
-from ..sinks.tables import BatchTable, read_slices, replace_slices
+from ..sinks.tables import BATCH, BatchTable, read_slices, replace_slices
 
 EVERY_5_SECONDS = {"processingTime": "5 seconds"}
 UNTIL_CAUGHT_UP = {"availableNow": True}
@@ -63,13 +63,10 @@ class AdTables:
 
     @property
     def blacklist(self) -> BatchTable:
+        """Every user on the list once, in a folder for each batch that listed someone. Snapshots make it quick to read; the
+        folders stay, for they are streamed."""
         return BatchTable(f"{self.root}/ad_blacklist", schemas.AD_BLACKLIST, ("user_id",), self.files)
 
-    @property
-    def listings(self) -> BatchTable:
-        """Every addition to the blacklist, a folder for each batch that listed someone; never compacted, so it streams."""
-        return BatchTable(f"{self.root}/ad_blacklist_log", schemas.AD_BLACKLIST, ("user_id",), self.files)
-
     @property
     def clean_log(self) -> BatchTable:
         return BatchTable(f"{self.root}/clean_log", schemas.AD_LOG, ())
@@ -132,9 +129,10 @@ def start(
     )
 
 
-def _tend(spark: SparkSession, table: DayTable, days: list[str], every: int, watermark: str) -> None:
-    """Compact the days a batch touched, and close those that get no more rows."""
-    table.tidy(spark, days, every)
+def _tend(spark: SparkSession, table: DayTable, batch_id: int, days: list[str], every: int, watermark: str) -> None:
+    """Every so many batches compact the days that are open and have as many; close those that get no more rows."""
+    if batch_id % every == every - 1:
+        table.tidy(spark, table.open_days(spark), every)
     table.close(spark, open_from(spark, days[-1], watermark))
 
 
@@ -155,13 +153,12 @@ def start_user_ad_query(
             return
         # Read back what was published rather than running the stateful plan again.
         found = ads.blacklist(counts.batch_rows(spark, batch_id, days), threshold)
-        listed.publish(found.join(listed.latest(spark), "user_id", "left_anti"), batch_id)
-        if listed.has_batch(spark, batch_id):
-            new = listed.batch_rows(spark, batch_id)
-            if not new.isEmpty():
-                tables.listings.publish(new, batch_id)
-        listed.tidy(spark, tables.compact_every)
-        _tend(spark, counts, days, tables.compact_every, watermark)
+        new = found.join(listed.latest(spark), "user_id", "left_anti")
+        if not new.isEmpty():
+            listed.publish(new, batch_id)
+            if len(listed.since_snapshot(spark)) >= tables.compact_every:
+                listed.compact(spark)
+        _tend(spark, counts, batch_id, days, tables.compact_every, watermark)
 
     counts = ads.user_ad_daily(log.withWatermark("ts", watermark))
     return start(counts, "user_ad", tables, save, trigger)
@@ -203,17 +200,24 @@ def unlisted(log: DataFrame, listings: DataFrame, buckets: int = _BUCKETS, copie
 
 def listing_stream(spark: SparkSession, tables: AdTables) -> DataFrame:
     """The additions to the blacklist as a stream."""
-    tables.listings.create(spark)
-    return spark.readStream.schema(schemas.AD_BLACKLIST).parquet(f"{tables.listings.path}/batch-*")
+    tables.blacklist.create(spark)
+    return spark.readStream.schema(schemas.AD_BLACKLIST).parquet(f"{tables.blacklist.path}/batch-*")
 
 
-def start_clean_query(log: DataFrame, tables: AdTables, trigger: dict = EVERY_5_SECONDS) -> StreamingQuery:
-    """Store the clicks of users whom nobody had listed when their batch began."""
+def start_clean_query(
+    log: DataFrame, tables: AdTables, trigger: dict = EVERY_5_SECONDS, buckets: int = _BUCKETS, copies: int = _COPIES
+) -> StreamingQuery:
+    """Store the clicks of users whom nobody had listed when their batch began.
+
+    At least as many groups (``buckets`` times ``copies``) as there are shuffle partitions keep all of them at work; their
+    number stays with the checkpoint.
+    """
 
     def save(batch: DataFrame, batch_id: int) -> None:
         tables.clean_log.publish(batch, batch_id)
 
-    return start(unlisted(log, listing_stream(log.sparkSession, tables)), "clean", tables, save, trigger, mode="append")
+    kept = unlisted(log, listing_stream(log.sparkSession, tables), buckets, copies)
+    return start(kept, "clean", tables, save, trigger, mode="append")
 
 
 def start_clean_by_lookup(
@@ -239,14 +243,36 @@ def start_clean_by_lookup(
     return start(log, "clean", tables, save, trigger, mode="append")
 
 
+_CLEAN = "clean_log"
+
+
 def clean_stream(
     spark: SparkSession, tables: AdTables, files_per_batch: int | None = None
 ) -> DataFrame:
-    """The stored clean clicks as a stream."""
-    reader = spark.readStream.schema(schemas.AD_LOG)
+    """The stored clean clicks as a stream; a query over it tells, with its progress, how far it has come (:func:`trim_clean`)."""
+    schema = T.StructType([*schemas.AD_LOG.fields, T.StructField(BATCH, T.LongType())])
+    reader = spark.readStream.schema(schema)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.parquet(f"{tables.clean_log.path}/batch-*")
+    stored = reader.parquet(f"{tables.clean_log.path}/batch-*")
+    return stored.observe(_CLEAN, F.max(BATCH).alias("upto")).select(*schemas.AD_LOG.names)
+
+
+def _read_upto(query: StreamingQuery) -> int | None:
+    """The last stored batch of clean clicks that a query has taken rows of, as far as it is known."""
+    seen = [p["observedMetrics"][_CLEAN]["upto"] for p in query.recentProgress if _CLEAN in p["observedMetrics"]]
+    return max((n for n in seen if n is not None), default=None)
+
+
+def trim_clean(spark: SparkSession, tables: AdTables, followers: list[StreamingQuery]) -> int:
+    """Delete the stored clean clicks that all ``followers`` have gone past, and return how many batches that was.
+
+    Files are streamed by age, so a query that has rows of one batch has taken all of the batches before it.
+    """
+    upto = [_read_upto(query) for query in followers]
+    if not upto or None in upto:  # somebody has not said yet
+        return 0
+    return tables.clean_log.forget(spark, min(upto))
 
 
 def start_stat_query(
@@ -269,7 +295,7 @@ def start_stat_query(
             # Joined last, when a province has only its top rows left.
             changed = stat.batch_rows(spark, batch_id, days).select(*slices).distinct()
             replace_slices(best.join(changed, slices, "left_semi"), tables.province_top, slices)
-        _tend(spark, stat, days, tables.compact_every, watermark)
+        _tend(spark, stat, batch_id, days, tables.compact_every, watermark)
 
     counts = ads.ad_stat(clean.withWatermark("ts", watermark))
     return start(counts, "stat", tables, save, trigger)
@@ -285,7 +311,7 @@ def start_trend_query(
 
     def save(batch: DataFrame, batch_id: int) -> None:
         if days := tables.trend.publish(batch, batch_id):
-            _tend(batch.sparkSession, tables.trend, days, tables.compact_every, watermark)
+            _tend(batch.sparkSession, tables.trend, batch_id, days, tables.compact_every, watermark)
 
     counts = ads.minute_parts(ads.minute_clicks(clean.withWatermark("ts", watermark)))
     return start(counts, "trend", tables, save, trigger)
@@ -326,7 +352,7 @@ def start_all(
     top: int | None = 3,
     trigger: dict = EVERY_5_SECONDS,
 ) -> list[StreamingQuery]:
-    """Start the four queries over one log; they run until stopped."""
+    """Start the four queries over one log; they run until stopped. The last two follow the clean clicks (:func:`trim_clean`)."""
     spark = log.sparkSession
     tables.clean_log.create(spark)
     clean = clean_stream(spark, tables)
