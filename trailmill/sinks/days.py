@@ -49,6 +49,10 @@ class DayTable:
     def open_days(self, spark: SparkSession) -> list[str]:
         return self._named(spark, f"{self.path}/_open")
 
+    def newest_before(self, spark: SparkSession, batch_id: int) -> str | None:
+        """The newest open day that a batch before the given one has rows of. A batch replayed gets the same answer."""
+        return next((day for day in reversed(self.open_days(spark)) if self.day(day).began_before(spark, batch_id)), None)
+
     def create(self, spark: SparkSession) -> None:
         fs, path = self._fs(spark)
         fs.mkdirs(path(self.path))
@@ -153,8 +157,9 @@ class DayTable:
 
 
 def open_from(spark: SparkSession, newest: str, watermark: str) -> str:
-    """The first day that may still get rows once ``newest`` has had some: the watermark was, or soon is, no earlier than
-    that day's beginning less the delay."""
+    """The first day that may still get rows once the watermark has seen ``newest``: it is no earlier than that day's
+    beginning less the delay. What the next batch brings is held against the watermark of this one, which has seen the
+    batches before it alone (:meth:`DayTable.newest_before`)."""
     start = F.to_timestamp(F.lit(newest), "yyyy-MM-dd") - F.expr(f"INTERVAL {watermark}")
     # One row without a source: no job runs for it.
     return spark.sql("SELECT 1 AS one").select(F.date_format(start, "yyyy-MM-dd").alias("day")).first()["day"]

@@ -208,6 +208,14 @@ class BatchTable:
         snapshot, batches = self._published(spark)
         return batch_id in batches or (snapshot is not None and batch_id <= snapshot)
 
+    def began_before(self, spark: SparkSession, batch_id: int) -> bool:
+        """Whether a batch before the given one is published, by itself or within a snapshot older than that."""
+        fs, path = self._fs(spark)
+        if not fs.exists(path(self.path)):
+            return False
+        names = [status.getPath().getName().partition("-") for status in fs.listStatus(path(self.path))]
+        return any(int(number) < batch_id for kind, _, number in names if kind in ("batch", "snapshot"))
+
     def changes(self, spark: SparkSession) -> DataFrame:
         """Every published row with its ``batch_id``."""
         folders = self.folders(spark)

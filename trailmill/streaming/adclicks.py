@@ -129,11 +129,17 @@ def start(
     )
 
 
-def _tend(spark: SparkSession, table: DayTable, batch_id: int, days: list[str], every: int, watermark: str) -> None:
-    """Every so many batches compact the days that are open and have as many; close those that get no more rows."""
+def _tend(spark: SparkSession, table: DayTable, batch_id: int, every: int, watermark: str) -> None:
+    """Every so many batches compact the days that are open and have as many; close those that get no more rows.
+
+    The next batch may still bring rows that are late by this one's newest: Spark drops those behind the watermark that
+    this batch began with.
+    """
+    seen = table.newest_before(spark, batch_id)
     if batch_id % every == every - 1:
         table.tidy(spark, table.open_days(spark), every)
-    table.close(spark, open_from(spark, days[-1], watermark))
+    if seen is not None:
+        table.close(spark, open_from(spark, seen, watermark))
 
 
 def start_user_ad_query(
@@ -158,7 +164,7 @@ def start_user_ad_query(
             listed.publish(new, batch_id)
             if len(listed.since_snapshot(spark)) >= tables.compact_every:
                 listed.compact(spark)
-        _tend(spark, counts, batch_id, days, tables.compact_every, watermark)
+        _tend(spark, counts, batch_id, tables.compact_every, watermark)
 
     counts = ads.user_ad_daily(log.withWatermark("ts", watermark))
     return start(counts, "user_ad", tables, save, trigger)
@@ -295,7 +301,7 @@ def start_stat_query(
             # Joined last, when a province has only its top rows left.
             changed = stat.batch_rows(spark, batch_id, days).select(*slices).distinct()
             replace_slices(best.join(changed, slices, "left_semi"), tables.province_top, slices)
-        _tend(spark, stat, batch_id, days, tables.compact_every, watermark)
+        _tend(spark, stat, batch_id, tables.compact_every, watermark)
 
     counts = ads.ad_stat(clean.withWatermark("ts", watermark))
     return start(counts, "stat", tables, save, trigger)
@@ -310,8 +316,8 @@ def start_trend_query(
     """Clicks per minute and ad. A minute is counted once, not in every window it falls into."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
-        if days := tables.trend.publish(batch, batch_id):
-            _tend(batch.sparkSession, tables.trend, batch_id, days, tables.compact_every, watermark)
+        if tables.trend.publish(batch, batch_id):
+            _tend(batch.sparkSession, tables.trend, batch_id, tables.compact_every, watermark)
 
     counts = ads.minute_parts(ads.minute_clicks(clean.withWatermark("ts", watermark)))
     return start(counts, "trend", tables, save, trigger)
