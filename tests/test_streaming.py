@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import os
+from datetime import datetime
 
 import pytest
 from fixtures import tuples
 
 from pyspark.sql import functions as F
 
+from trailmill import schemas
+from trailmill.catalog import inputs, streams
 from trailmill.operators import ads
 from trailmill.plans.session import CLUSTER_SETTINGS
 from trailmill.sinks.tables import BatchTable
@@ -326,3 +329,22 @@ def test_a_batch_may_bring_rows_of_days_behind_the_newest_one_before(spark, feed
     table = {"users": feed.tables.user_counts, "stat": feed.tables.stat, "trend": feed.tables.trend}[kind]
     assert "2024-01-05" not in table.open_days(spark) and table.open_days(spark)[-1] == "2024-01-14"
     assert table.newest_before(spark, 0) is None and table.newest_before(spark, 4) == "2024-01-14"
+
+
+def test_the_log_is_read_once_for_all_its_parts(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("bigint")
+    def counted(ad_id):
+        seen.add(1)
+        return ad_id
+
+    rows = [(datetime(2024, 1, day), "p", "c", day, 1) for day in range(1, 31)]
+    log = spark.createDataFrame(rows, schemas.AD_LOG).withColumn("ad_id", counted.asNondeterministic()("ad_id"))
+    monkeypatch.setattr(inputs, "ad_log", lambda *_: log)
+    lines, _ = streams._arrived(spark, "")
+    assert seen.value == 30
+    expected = sorted(f"{DAY + (day - 1) * 24 * HOUR * 1000} p c {day} 1" for day in range(1, 31))
+    assert sorted(r.value for r in spark.read.text(lines).collect()) == expected
+    counts = [spark.read.text(path).count() for path in streams._arriving(spark, "", {3: 1}, beats=1)]
+    assert seen.value == 60 and counts == [6, 13, 21, 30, 31]

@@ -43,17 +43,29 @@ def _part(late: dict[int, int]) -> Column:
     return F.least(place, F.lit(len(_PARTS) - 1))
 
 
+def _dealt(spark: SparkSession, folder: str, late: dict[int, int]) -> str:
+    """The log's lines in a folder for each part: the log is read and parsed once, not once for every part."""
+    path = scratch.new_folder(spark, "ad-lines-by-part")
+    line = F.concat_ws(" ", F.unix_millis("ts"), "province", "city", "user_id", "ad_id").alias("value")
+    inputs.ad_log(spark, folder).select(line, _part(late).alias("part")).write.partitionBy("part").parquet(path)
+    return path
+
+
+def _share(spark: SparkSession, dealt: str, part: int) -> DataFrame:
+    """The lines of one part; the others' folders are not read."""
+    return spark.read.schema("value string, part int").parquet(dealt).where(F.col("part") == part).select("value")
+
+
 def _arriving(spark: SparkSession, folder: str, late: dict[int, int] | None = None, beats: int = 0) -> Iterator[str]:
     """A folder of the log's lines, each time one part fuller. All tasks write their share of a part.
 
     ``beats`` parts with a single line far ahead follow, which move the watermark past everything.
     """
-    path = scratch.new_folder(spark, "ad-lines")
-    log = inputs.ad_log(spark, folder).withColumn("part", _part(late or {}))
-    line = F.concat_ws(" ", F.unix_millis("ts"), "province", "city", "user_id", "ad_id")
+    path, dealt = scratch.new_folder(spark, "ad-lines"), _dealt(spark, folder, late or {})
     for part in range(len(_PARTS)):
-        log.where(F.col("part") == part).select(line).write.mode("append").text(path)
+        _share(spark, dealt, part).write.mode("append").text(path)
         yield path
+    scratch.remove(spark, dealt)
     for beat in range(beats):
         spark.createDataFrame([(f"{_FAR_AHEAD + beat * _MONTH} beat beat -1 -1",)], "value string").write.mode("append").text(path)
         yield path
@@ -71,10 +83,10 @@ def _events_arriving(spark: SparkSession, folder: str) -> Iterator[str]:
 def _arrived(spark: SparkSession, folder: str) -> tuple[str, int]:
     """The whole log, its parts written one after the other, and how many files a part has: a micro-batch takes as many."""
     path, files = scratch.new_folder(spark, "ad-lines"), int(spark.conf.get("spark.sql.shuffle.partitions"))
-    log = inputs.ad_log(spark, folder).withColumn("part", _part({}))
-    line = F.concat_ws(" ", F.unix_millis("ts"), "province", "city", "user_id", "ad_id")
+    dealt = _dealt(spark, folder, {})
     for part in range(len(_PARTS)):
-        log.where(F.col("part") == part).select(line).repartition(files).write.mode("append").text(path)
+        _share(spark, dealt, part).repartition(files).write.mode("append").text(path)
+    scratch.remove(spark, dealt)
     return path, files
 
 
