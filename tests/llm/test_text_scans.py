@@ -159,3 +159,11 @@ def test_native_plans(spark, docs_of):
     for found in (licenses.scan(rows), decontaminate.contamination(rows, table, keep=["doc_id"])):
         plan = found._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|InArrow", plan)
+
+
+def test_a_text_is_split_into_words_once_for_its_windows(spark, docs_of):
+    docs = docs_of([(1, "a b c d e f g h i j k l m n"), (2, ""), (3, "?!"), (4, None)]).selectExpr("doc_id AS key", "text")
+    table = spark.createDataFrame([(1, "a b c d e f g h i j k l m n")], "item_id bigint, text string")
+    found = decontaminate.hit_windows(docs, decontaminate.benchmark_windows(table)[0])
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("array_remove(split(") == 1
+    assert sorted((r.key, r.start) for r in found.collect()) == [(1, 0), (1, 1)]

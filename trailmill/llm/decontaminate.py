@@ -86,13 +86,16 @@ def _marks(words: Column, starts: Column, short: list[int]) -> Column:
 
 def _stretches(docs: DataFrame) -> DataFrame:
     """(key, offset, near): the words of each text in stretches, each with what a window at its last word needs."""
-    split = docs.select("key", word_column(F.col("text")).alias("words")).filter(F.size("words") > 0)
+    split = docs.select("key", word_column(F.col("text")).alias("words"))
+    # Texts without words give no stretch here: a filter would be moved below the split, and split every text once more.
     return split.select(
         "key",
         F.explode(
             F.transform(
-                F.sequence(F.lit(0), F.floor((F.size("words") - 1) / STRETCH).cast("int")),
-                lambda k: F.struct((k * STRETCH).alias("offset"), _slice(F.col("words"), k * STRETCH + 1, STRETCH + WINDOW - 1).alias("near")),
+                _range(F.ceil(F.size("words") / STRETCH).cast("int")),
+                lambda k: F.struct(
+                    ((k - 1) * STRETCH).alias("offset"), _slice(F.col("words"), (k - 1) * STRETCH + 1, STRETCH + WINDOW - 1).alias("near")
+                ),
             )
         ).alias("stretch"),
     ).select("key", "stretch.offset", "stretch.near")
